@@ -1,39 +1,43 @@
-"""Join every fact row to the first entry of a lookup that it can reach.
+"""Join every fact row to the first of several lookups that knows it.
 
-A fact row may reach a lookup table by several keys ("probes").  Of all entries
-reached, the one with the lowest ``hit.step`` belongs to the row.  Instead of
-one wide join per key, the work is done on the distinct key combinations:
+Lookups may be asked by different keys ("ways").  Joining wide facts once per
+way would shuffle them once per way, and a hot key would sit in one task each
+time.  So the ways are walked on the distinct key combinations only:
 
-1. facts are pre-aggregated to their distinct keys (map-side combined, so any
-   number of copies of a key costs one row per map task);
-2. the distinct keys are unfolded into probes and joined to the lookup once;
-3. the lowest step per key combination is aggregated;
-4. the facts meet the verdicts in one join - the only shuffle of wide rows.
+1. facts are pre-aggregated to their distinct keys, map-side combined: any
+   number of copies of a key is one row per map task from here on;
+2. those narrow rows are joined to each lookup in turn, keeping the best hit;
+3. the facts meet the verdicts in one join - the only shuffle of wide rows.
 
-Hot key combinations are salted in step 4.  A key is hot when it owns more than
+Hot key combinations are salted in step 3.  A key is hot when it owns more than
 ``hot_rows`` rows and more than ``1 / hot_limit`` of all rows, so fewer than
 ``hot_limit`` keys can be hot: the broadcast list is bounded by its definition,
 whatever the data.
 """
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# The unit leads: a sort looks at the first key before it compares whole rows.
-PROBE = ["unit", "month", "kind", "attr"]
-
 HOT_ROWS = 1_000_000
 HOT_LIMIT = 10_000
 
 
-def probe(kind: int, unit: str, attr: str, month: str) -> str:
-    """SQL of one way into the lookup; a null attr or month is not eligible."""
-    return (
-        f"named_struct('unit', {unit}, 'month', {month},"
-        f" 'kind', {kind}, 'attr', string({attr}))"
-    )
+@dataclass(frozen=True)
+class Way:
+    """One way to a hit.
+
+    ``lookup`` has one row per combination of the columns named in ``on``, which
+    maps each to SQL over the keys.  ``hit`` is SQL over the keys and the
+    lookup's other columns: a struct that sorts by its first field, the step.
+    It must be null where those columns are.
+    """
+
+    lookup: DataFrame
+    on: Mapping[str, str]
+    hit: str = "hit"
 
 
 def key_profile(
@@ -49,14 +53,24 @@ def key_profile(
     return counted.select(*keys, salts.cast("int").alias("_salts"))
 
 
-def spread_verdicts(hits: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """First hit per key and salt: one copy, or one per salt of a hot key."""
-    salts = F.expr("if(_salts = 1, array(0), sequence(0, _salts - 1))")
-    return (
-        hits.select(*keys, "hit", F.explode(salts).alias("_salt"))
-        .groupBy(*keys, "_salt")
-        .agg(F.min("hit").alias("hit"))
-    )
+def best_hits(profile: DataFrame, ways: Sequence[Way]) -> DataFrame:
+    """``profile`` with the lowest-step ``hit`` of all ways; rows without are gone.
+
+    Both sides of each join may be large, and Spark cannot estimate what
+    building a lookup does to its size, hence the merge hint: a small-looking
+    plan must not end in a large broadcast.
+    """
+    kept = list(profile.columns)
+    walked = profile
+    for way in ways:
+        lookup = way.lookup.withColumnsRenamed({c: f"_on_{c}" for c in way.on})
+        condition = F.expr(" AND ".join(f"_on_{c} = {sql}" for c, sql in way.on.items()))
+        walked = walked.withColumnRenamed("hit", "_best").join(
+            lookup.hint("merge"), condition, "left"
+        )
+        best = f"least(_best, {way.hit})" if "_best" in walked.columns else way.hit
+        walked = walked.selectExpr(*kept, f"{best} AS hit")
+    return walked.where("hit IS NOT NULL")
 
 
 def join_verdicts(
@@ -64,9 +78,9 @@ def join_verdicts(
 ) -> DataFrame:
     """Left join to at most one verdict per key, hot keys spread over salts.
 
-    The salt mixes the row's content with the number of its input partition:
-    equal copies of a row are spread too, and a task that runs again gives its
-    rows the same salts as before.
+    A hot key's verdict is copied once per salt.  The salt of a fact mixes its
+    content with the number of its input partition: equal copies of a row are
+    spread too, and a task that runs again gives its rows the same salts.
     """
     content = F.xxhash64(F.spark_partition_id(), *facts.columns)
     spread = F.pmod(content, F.col("_salts")).cast("int")
@@ -76,32 +90,22 @@ def join_verdicts(
         .withColumn("_salt", salt)
         .drop("_salts")
     )
-    return salted.join(verdicts, [*keys, "_salt"], "left").drop("_salt")
+    copies = F.expr("explode(if(_salts = 1, array(0), sequence(0, _salts - 1)))")
+    copied = verdicts.select(*keys, "hit", copies.alias("_salt"))
+    return salted.join(copied.hint("merge"), [*keys, "_salt"], "left").drop("_salt")
 
 
 def first_hit(
     facts: DataFrame,
     keys: Sequence[str],
-    probes: Sequence[str],
-    lookup: DataFrame,
+    ways: Sequence[Way],
     hot_rows: int = HOT_ROWS,
     hot_limit: int = HOT_LIMIT,
 ) -> DataFrame:
-    """``facts`` plus a struct ``hit``, null where no probe reaches an entry.
+    """``facts`` plus the struct ``hit`` of the lowest step, null without a hit.
 
-    ``keys`` are non-null columns of ``facts`` that decide the probes;
-    ``lookup`` has the columns of ``PROBE``, unique, and ``hit`` whose first
-    field is the step.
-
-    Both sides of the probe join may be large, and Spark cannot estimate what
-    unfolding does to their size, hence the merge hint: a small-looking plan
-    must not end in a large broadcast.
+    ``keys`` are non-null columns of ``facts`` that decide the outcome.
     """
     profile = key_profile(facts, keys, hot_rows, hot_limit)
-    hits = (
-        profile.select(*keys, "_salts", F.expr(f"inline(array({', '.join(probes)}))"))
-        .join(lookup.hint("merge"), PROBE)
-        .select(*keys, "_salts", "hit")
-    )
     hot = profile.where("_salts > 1")
-    return join_verdicts(facts, spread_verdicts(hits, keys), hot, keys)
+    return join_verdicts(facts, best_hits(profile, ways), hot, keys)

@@ -7,24 +7,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymill.functions.domain import code_class, month_number
-from tallymill.operators.first_hit import PROBE, probe
 from tallymill.plans.rules import Rule
+from tallymill.schema import CODE_CLASS
 
 # Key values that stand for "missing"; no real value equals them.
 NO_NUMBER = -(2**63)
 NO_MONTH = -1
 NO_CLASS = "<none>"
 
-# Presence of a unit with the code, with the class, or at all, in any month.
-PRESENCE = ("code", "class", "unit")
-ANY_MONTH = "0"
+# There are few classes, so the classes of a unit fit the bits of a number.
+_CLASSES = sorted(set(CODE_CLASS.values()))
 
 
 @dataclass(frozen=True)
 class Family:
     """Rules that ask with the same key of the increment share one lookup key."""
 
-    kind: int
     by: str
     inc_month: str
     null_safe: bool
@@ -36,10 +34,7 @@ def families(rules: Sequence[Rule]) -> list[Family]:
     for step, rule in enumerate(rules, start=1):
         key = (rule.by, rule.inc_month, rule.null_safe)
         grouped.setdefault(key, []).append((step, rule))
-    return [
-        Family(kind, *key, tuple(steps))
-        for kind, (key, steps) in enumerate(grouped.items())
-    ]
+    return [Family(*key, tuple(steps)) for key, steps in grouped.items()]
 
 
 def keep_first_order(tie_breakers: Sequence[str] = ()) -> list[Column]:
@@ -97,84 +92,89 @@ def first_reports(reports: DataFrame, tie_breakers: Sequence[str] = ()) -> DataF
     )
 
 
-def _entries(grouped: Sequence[Family]) -> dict[tuple, str]:
-    """SQL of every key a report is found by, per (kind, report month, lag)."""
-    entries = {}
-    for family in grouped:
-        attr = "nullif(code, 0)" if family.by == "code" else "class"
-        if family.null_safe:
-            attr = f"coalesce(class, '{NO_CLASS}')"
-        for _, rule in family.steps:
-            part = (family.kind, rule.rep_month, rule.lag)
-            month = f"{rule.rep_month}_month + {rule.lag}"
-            if all(
-                r.open_only
-                for _, r in family.steps
-                if (family.kind, r.rep_month, r.lag) == part
-            ):
-                month = f"if(open, {month}, null)"
-            entries[part] = probe(family.kind, "unit", attr, month)
-    for i, by in enumerate(PRESENCE):
-        kind = len(grouped) + i
-        attr = "''" if by == "unit" else by
-        entries[kind, None, 0] = probe(kind, "unit", attr, ANY_MONTH)
-    return entries
-
-
-def report_lookup(
-    reports: DataFrame, rules: Sequence[Rule], tie_breakers: Sequence[str] = ()
-) -> DataFrame:
-    """All keys of all rules in one table.
+def hit_struct(step: str, equipe="string(null)", day="date(null)", code="bigint(null)"):
+    """SQL of a hit: its step and what a match takes from the report."""
+    return (
+        f"named_struct('step', {step}, 'equipe', {equipe},"
+        f" 'data_exec_rep', {day}, 'irregularidade', {code})"
+    )
+
 
-    Each report is unfolded into the few keys it can be found by.  One grouped
-    ``min`` per rule keeps the first report of every key (before the team is
-    looked at: a first report without a team hides later ones), then the first
-    rule with a team gives the ``hit``.
+def family_lookup(reports: DataFrame, family: Family) -> DataFrame:
+    """Per unit, code or class, and month: the hit that the family's rules give.
+
+    ``reports`` are ``first_reports``.  A report is unfolded into the months it
+    answers for.  One grouped ``min`` per rule keeps the first report of its
+    key (before the team is looked at: a first report without a team hides
+    later ones); the first rule whose report has a team gives the ``hit``.
     """
-    grouped = families(rules)
-    entries = _entries(grouped)
-    part_of = {part: i for i, part in enumerate(entries)}
-    unfolded = (
-        first_reports(reports, tie_breakers)
-        .withColumn("class", code_class(F.col("code")))
-        .withColumn("open", F.expr("baixa_month IS NULL"))
+    months = list(dict.fromkeys((r.rep_month, r.lag) for _, r in family.steps))
+    entries = []
+    for part, (month, lag) in enumerate(months):
+        rivals = [r for _, r in family.steps if (r.rep_month, r.lag) == (month, lag)]
+        at = f"{month}_month + {lag}"
+        if all(r.open_only for r in rivals):
+            at = f"if(open, {at}, null)"
+        entries.append(f"named_struct('part', {part}, 'month', {at})")
+
+    firsts, hits = [], ""
+    for step, rule in family.steps:
+        accepted = f"part = {months.index((rule.rep_month, rule.lag))}"
+        if rule.open_only:
+            accepted += " AND open"
+        firsts.append(F.expr(f"min(if({accepted}, report, null)) AS first{step}"))
+        hit = hit_struct(
+            str(step),
+            f"first{step}.equipe",
+            f"first{step}.data_exec_rep",
+            f"first{step}.irregularidade",
+        )
+        hits += f" WHEN first{step}.equipe IS NOT NULL THEN {hit}"
+
+    attr = F.expr("nullif(code, 0)") if family.by == "code" else code_class(F.col("code"))
+    if family.null_safe:
+        attr = F.coalesce(attr, F.lit(NO_CLASS))
+    return (
+        reports.withColumns({"attr": attr, "open": F.expr("baixa_month IS NULL")})
+        .where("attr IS NOT NULL")
         .selectExpr(
+            "unit",
+            "attr",
             "report",
             "open",
-            "inline(array({}))".format(
-                ", ".join(
-                    f"named_struct('part', {part_of[part]}, 'at', {at})"
-                    for part, at in entries.items()
-                )
-            ),
+            f"inline(array({', '.join(entries)}))",
         )
-        .selectExpr("report", "open", "part", "at.*")
-        .where("attr IS NOT NULL AND month IS NOT NULL")
+        .where("month IS NOT NULL")
+        .groupBy("unit", "attr", "month")
+        .agg(*firsts)
+        .selectExpr("unit", "attr", "month", f"CASE{hits} END AS hit")
+        .where("hit IS NOT NULL")
     )
 
-    slots, hits = [], []
-    for i in range(max(len(f.steps) for f in grouped)):
-        accepts, step = [], "CASE kind"
-        for family in grouped:
-            if i < len(family.steps):
-                number, rule = family.steps[i]
-                part = part_of[family.kind, rule.rep_month, rule.lag]
-                accepts.append(f"part = {part}" + (" AND open" if rule.open_only else ""))
-                step += f" WHEN {family.kind} THEN {number}"
-        slots.append(F.expr(f"min(if({' OR '.join(accepts)}, report, null))").alias(f"slot{i}"))
-        hits.append(
-            f"WHEN slot{i}.equipe IS NOT NULL THEN named_struct('step', {step} END,"
-            f" 'equipe', slot{i}.equipe, 'data_exec_rep', slot{i}.data_exec_rep,"
-            f" 'irregularidade', slot{i}.irregularidade)"
+
+def class_bit(cls: str) -> str:
+    """SQL of the bit of a class, 0 for any other text."""
+    whens = " ".join(f"WHEN '{c}' THEN {1 << i}" for i, c in enumerate(_CLASSES))
+    return f"CASE {cls} {whens} ELSE 0 END"
+
+
+def unit_lookup(reports: DataFrame) -> DataFrame:
+    """Units of the report table, and the classes each has in any month."""
+    return (
+        reports.select(
+            F.expr("bigint(instalacao) AS unit"),
+            code_class(F.expr("bigint(irregularidade)")).alias("class"),
         )
-    present = (
-        f"WHEN kind >= {len(grouped)} THEN named_struct("
-        f"'step', kind - {len(grouped)} + {len(rules)} + 1, 'equipe', string(null),"
-        f" 'data_exec_rep', date(null), 'irregularidade', bigint(null))"
+        .groupBy("unit")
+        .agg(F.expr(f"bit_or({class_bit('class')}) AS class_bits"))
     )
+
+
+def unit_code_lookup(reports: DataFrame, hit: str) -> DataFrame:
+    """Units and the codes each has in any month, with a fixed ``hit``."""
     return (
-        unfolded.groupBy(*PROBE)
-        .agg(*slots)
-        .selectExpr(*PROBE, f"CASE {present} {' '.join(hits)} END AS hit")
-        .where("hit IS NOT NULL")
+        reports.selectExpr("bigint(instalacao) AS unit", "bigint(irregularidade) AS attr")
+        .where("attr IS NOT NULL")
+        .distinct()
+        .selectExpr("unit", "attr", f"{hit} AS hit")
     )

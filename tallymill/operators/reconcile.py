@@ -11,14 +11,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymill.operators.first_hit import HOT_LIMIT, HOT_ROWS, first_hit, probe
+from tallymill.operators.first_hit import HOT_LIMIT, HOT_ROWS, Way, first_hit
 from tallymill.operators.lookup import (
-    ANY_MONTH,
     NO_CLASS,
     NO_MONTH,
     NO_NUMBER,
+    class_bit,
     families,
-    report_lookup,
+    family_lookup,
+    first_reports,
+    hit_struct,
+    unit_code_lookup,
+    unit_lookup,
 )
 from tallymill.plans.rules import WATERFALL, Rule
 from tallymill.schema import (
@@ -40,9 +44,6 @@ _KEYED = {
 _MONTHS = {"DATA_EXECUCAO": "_exec", "DATA_BAIXA": "_baixa"}
 KEYS = [key for key, _ in _KEYED.values()] + list(_MONTHS.values())
 
-_REAL_CODE = "nullif(_code, {})".format(_KEYED["IRREGULARIDADE"][1])
-_REAL_CLASS = f"nullif(_class, '{NO_CLASS}')"
-
 
 def _keyed(increments: DataFrame) -> DataFrame:
     kept = [f"`{c}`" for c in increments.columns if c not in _KEYED]
@@ -61,18 +62,24 @@ def _restored(found: DataFrame) -> DataFrame:
     return found.selectExpr("*", *back)
 
 
-def _probes(rules: Sequence[Rule]) -> list[str]:
-    grouped = families(rules)
-    probes = []
-    for family in grouped:
-        attr = f"nullif({_REAL_CODE}, 0)" if family.by == "code" else _REAL_CLASS
-        if family.null_safe:
-            attr = "_class"
-        month = f"nullif(_{family.inc_month}, {NO_MONTH})"
-        probes.append(probe(family.kind, "_unit", attr, month))
-    for i, attr in enumerate((_REAL_CODE, _REAL_CLASS, "''")):
-        probes.append(probe(len(grouped) + i, "_unit", attr, ANY_MONTH))
-    return probes
+def _ways(reports: DataFrame, rules: Sequence[Rule], tie_breakers: Sequence[str]) -> list[Way]:
+    firsts = first_reports(reports, tie_breakers)
+    ways = [
+        Way(
+            family_lookup(firsts, family),
+            {"unit": "_unit", "attr": f"_{family.by}", "month": f"_{family.inc_month}"},
+        )
+        for family in families(rules)
+    ]
+    n = len(rules)
+    same_class = f"if(class_bits & {class_bit('_class')} <> 0, {n + 2}, {n + 3})"
+    known_unit = f"if(class_bits IS NOT NULL, {hit_struct(same_class)}, null)"
+    known_code = hit_struct(str(n + 1))
+    ways.append(Way(unit_lookup(reports), {"unit": "_unit"}, known_unit))
+    ways.append(
+        Way(unit_code_lookup(reports, known_code), {"unit": "_unit", "attr": "_code"})
+    )
+    return ways
 
 
 def match(
@@ -91,8 +98,7 @@ def match(
     found = first_hit(
         _keyed(increments),
         KEYS,
-        _probes(rules),
-        report_lookup(reports, rules, tie_breakers),
+        _ways(reports, rules, tie_breakers),
         hot_rows,
         hot_limit,
     )

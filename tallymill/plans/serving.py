@@ -11,8 +11,9 @@ month before any join, so no pairs within a unit are ever formed.
 """
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallymill.operators.first_hit import HOT_LIMIT, HOT_ROWS, first_hit, probe
+from tallymill.operators.first_hit import HOT_LIMIT, HOT_ROWS, Way, first_hit
 
 # --- Fixed values -----------------------------------------------------------
 VIEW_FILTER = "STATUS <> 'CANCELADO' AND REGIONAL = 'SUL' AND GRUPO = 'BT'"
@@ -20,19 +21,15 @@ VIEW_SINCE = "2026-01-01"
 VIEW_COLUMNS = ["UC / MD", "STATUS", "DATA_EXECUCAO", "COD", "EQUIPE"]
 # --- End of fixed values ----------------------------------------------------
 
-_SAME_DAY_AND_CODE, _SAME_DAY, _SAME_MONTH = 1, 2, 3
 _NO_CODE = "<none>"
-_KEYS = ["_unit", "_day", "_code"]
+_KEYS = ["_unit", "_day", "_month", "_code"]
 
-
-def _ways(unit: str, day: str, code: str) -> list[str]:
-    """Keys a report and an increment can meet by, best first."""
-    number, month = f"unix_date({day})", f"year({day}) * 12 + month({day})"
-    return [
-        probe(_SAME_DAY_AND_CODE, unit, code, number),
-        probe(_SAME_DAY, unit, "''", number),
-        probe(_SAME_MONTH, unit, "''", month),
-    ]
+# How a report and an increment may meet, best first.
+_MEETINGS = (
+    ("unit", "day", "code"),
+    ("unit", "day"),
+    ("unit", "month"),
+)
 
 
 def best_match(
@@ -47,23 +44,27 @@ def best_match(
     facts = wanted.selectExpr(
         *[f"`{c}`" for c in VIEW_COLUMNS],
         "coalesce(`UC / MD`, '') AS _unit",
-        "unix_date(DATA_EXECUCAO) AS _day",
+        "DATA_EXECUCAO AS _day",
+        "trunc(DATA_EXECUCAO, 'MM') AS _month",
         f"coalesce(COD, '{_NO_CODE}') AS _code",
     )
-    day = "date_from_unix_date(_day)"
-    probes = _ways("nullif(_unit, '')", day, f"nullif(_code, '{_NO_CODE}')")
-    offers = _ways("string(INSTALACAO)", "DATA_EXECUCAO", "IRREGULARIDADE")
-    lookup = (
-        increments.selectExpr("INC_TOTAL", f"inline(array({', '.join(offers)}))")
-        .where("attr IS NOT NULL AND month IS NOT NULL")
-        .groupBy("unit", "month", "kind", "attr")
-        .agg({"INC_TOTAL": "max"})
-        .selectExpr(
-            "unit", "month", "kind", "attr",
-            "named_struct('step', kind, 'total', `max(INC_TOTAL)`) AS hit",
-        )
+    offers = increments.selectExpr(
+        "string(INSTALACAO) AS unit",
+        "DATA_EXECUCAO AS day",
+        "trunc(DATA_EXECUCAO, 'MM') AS month",
+        "string(IRREGULARIDADE) AS code",
+        "INC_TOTAL AS total",
     )
-    found = first_hit(facts, _KEYS, probes, lookup, hot_rows, hot_limit)
+    ways = []
+    for step, columns in enumerate(_MEETINGS, start=1):
+        lookup = (
+            offers.dropna(subset=columns)
+            .groupBy(*columns)
+            .agg(F.max("total").alias("total"))
+            .selectExpr(*columns, f"named_struct('step', {step}, 'total', total) AS hit")
+        )
+        ways.append(Way(lookup, {c: f"_{c}" for c in columns}))
+    found = first_hit(facts, _KEYS, ways, hot_rows, hot_limit)
     return found.selectExpr(
         *[f"`{c}`" for c in VIEW_COLUMNS], "coalesce(hit.total, 0) AS INC_TOTAL"
     )
