@@ -1,0 +1,236 @@
+"""Each step of the waterfall by hand: hit, near miss, missing keys, precedence."""
+
+from dataclasses import dataclass, field
+from datetime import date
+
+import pytest
+
+from tallymill.operators.diagnose import (
+    group_counts,
+    open_report_count,
+    rule_metrics,
+    unit_profiles,
+)
+from tallymill.operators.reconcile import reconcile
+from tallymill.plans.rules import WATERFALL, Rule, null_safe
+from tallymill.schema import INCREMENT_COLUMNS, RESULT_COLUMNS, RESULT_SCHEMA
+from tests.frames import inc, increments, rep, reports
+
+def run(spark, incs, reps, rules=WATERFALL, **options):
+    """Outcome per increment, in the given order."""
+    rows = [i | {"NOTA": str(n)} for n, i in enumerate(incs)]
+    result = reconcile(increments(spark, *rows), reports(spark, *reps), rules, **options)
+    assert result.columns == RESULT_COLUMNS
+    return sorted(result.collect(), key=lambda r: int(r["NOTA"]))
+
+
+def at(unit, an_inc):
+    return an_inc | {"INSTALACAO": unit}
+
+
+# Step, an increment, the report it matches.  Code 109 is C100, code 115 too.
+HITS = [
+    ("R1", inc(exec="2026-01-05", code=109), rep(exec="2026-01-30", code=109)),
+    ("R2", inc(baixa="2026-01-05"), rep(exec="2020-01-01", baixa="2026-01-30")),
+    ("R3", inc(baixa="2026-01-05", cls="C100"), rep(code=115, baixa="2026-01-30")),
+    ("R4", inc(baixa="2026-01-05"), rep(exec="2026-01-30")),
+    ("R4", inc(baixa="2026-01-05"), rep(exec="2025-12-30")),
+    ("R5", inc(baixa="2026-01-05", cls="C100"), rep(code=115, exec="2026-01-30")),
+    ("R5", inc(baixa="2026-01-05", cls="C100"), rep(code=115, exec="2025-12-30")),
+    ("R4-1", inc(baixa="2026-01-05"), rep(exec="2025-12-30", baixa="2030-01-01")),
+    ("R5-1", inc(baixa="2026-01-05", cls="C100"),
+     rep(code=115, exec="2025-12-30", baixa="2030-01-01")),
+]
+
+
+@pytest.mark.parametrize("step", range(9))
+def test_each_rule_alone(spark, step):
+    name, an_inc, a_rep = HITS[step]
+    assert WATERFALL[step].id == name
+    long_ago = {k: date(1990, 1, 1) for k in ("DATA_EXECUCAO", "DATA_BAIXA") if an_inc[k]}
+    miss = "SEM_MATCH"
+    cases = [
+        (an_inc, name),
+        (at(2, an_inc), miss),
+        (an_inc | long_ago, miss),
+        (an_inc | {"DATA_EXECUCAO": None, "DATA_BAIXA": None}, miss),
+        (an_inc | {"IRREGULARIDADE": 300, "CLASSIFICACAO_IRREG": "ACAO"}, miss),
+        # Code 0 matches by class only.
+        (an_inc | {"IRREGULARIDADE": 0}, name if WATERFALL[step].by == "class" else miss),
+        # Without a closing date only the first rule works.
+        (
+            an_inc | {"DATA_BAIXA": None, "DATA_EXECUCAO": date(2026, 1, 5)},
+            name if step == 0 else miss,
+        ),
+    ]
+    got = run(spark, [c[0] for c in cases], [a_rep], [WATERFALL[step]])
+    assert [r["REGRA_ORIGEM"] for r in got] == [c[1] for c in cases]
+    assert got[0]["EQUIPE"] == "T" and got[0]["MOTIVO_PENDENCIA"] is None
+    assert got[1]["MOTIVO_PENDENCIA"] == "sem_uc_no_reports"
+
+
+@dataclass
+class Scenario:
+    """Increments and reports of unit 1, and what the first increment becomes."""
+
+    name: str
+    incs: list
+    reps: list
+    want: dict = field(default_factory=dict)
+
+
+def scenario(name, an_inc, reps, rule, team=None, reason=None, **want):
+    want |= {"REGRA_ORIGEM": rule, "EQUIPE": team, "MOTIVO_PENDENCIA": reason}
+    want["MATCH_OK"] = rule != "SEM_MATCH"
+    return Scenario(name, an_inc if isinstance(an_inc, list) else [an_inc], reps, want)
+
+
+BOTH = inc(exec="2026-01-05", baixa="2026-01-05", cls="C100")
+TIED = [
+    rep(exec="2026-01-05", baixa="2026-02-01", team="older closing"),
+    rep(exec="2026-01-05", baixa="2026-02-03", team="newest closing"),
+    rep(exec="2026-01-05", team="open"),
+]
+KNOWN = [rep(code=109, exec="2020-01-01"), rep(code=None, exec="2020-01-01")]
+
+SCENARIOS = [
+    *[scenario(f"step {n}", i, [r], name, "T") for n, (name, i, r) in enumerate(HITS, start=1)],
+    scenario("earliest step wins", BOTH, [h[2] for h in HITS], "R1", "T"),
+    scenario("next step without date", BOTH | {"DATA_EXECUCAO": None}, [h[2] for h in HITS], "R2", "T"),
+    scenario("first report without team hides later ones", inc(exec="2026-01-05"),
+             [rep(exec="2026-01-30", team=None), rep(exec="2026-01-02")],
+             "SEM_MATCH", None, "mismatch_mes"),
+    scenario("a later report without team hides nothing", inc(exec="2026-01-05"),
+             [rep(exec="2026-01-30", team="A"), rep(exec="2026-01-02", team=None)], "R1", "A"),
+    scenario("hidden step falls through", BOTH,
+             [rep(exec="2026-01-30", team=None), rep(baixa="2026-01-10", team="B")], "R2", "B"),
+    scenario("an empty team is a team", inc(exec="2026-01-05"),
+             [rep(exec="2026-01-05", team="")], "R1", ""),
+    scenario("dateless reports come last", inc(baixa="2026-01-05"),
+             [rep(baixa="2026-01-09", team="none"), rep(exec="2019-05-05", baixa="2026-01-09")],
+             "R2", "T", DATA_EXECUCAO=date(2019, 5, 5)),
+    scenario("ties, one order", inc(exec="2026-01-09"), TIED, "R1", "newest closing"),
+    scenario("ties, another order", inc(exec="2026-01-09"), TIED[::-1], "R1", "newest closing"),
+    scenario("gaps are filled from the winning report only",
+             inc(code=0, baixa="2026-01-05", cls="C100"),
+             [rep(code=115, baixa="2026-01-30", team="winner"),
+              rep(code=115, exec="2026-01-30", team="later step")],
+             "R3", "winner", DATA_EXECUCAO=None, IRREGULARIDADE=115,
+             CLASSIFICACAO_IRREG="C100", DATA_BAIXA=date(2026, 1, 5)),
+    scenario("present values are kept",
+             inc(code=168, exec="2019-09-09", baixa="2026-01-05", cls="C100"),
+             [rep(code=115, exec="2026-01-02", baixa="2026-01-30")],
+             "R3", "T", DATA_EXECUCAO=date(2019, 9, 9), IRREGULARIDADE=168),
+    scenario("a report serves many increments", [inc(exec="2026-01-05")] * 3,
+             [rep(exec="2026-01-05")], "R1", "T"),
+    scenario("missing class is no class", inc(code=0, baixa="2026-01-05", cls=None),
+             [rep(code=999, baixa="2026-01-30")], "SEM_MATCH", None, "outros"),
+    scenario("missing code", inc(code=None, exec="2026-01-05"),
+             [rep(exec="2026-01-05")], "SEM_MATCH", None, "outros", IRREGULARIDADE=None),
+    scenario("unit unknown", inc(exec="2026-01-05"), [], "SEM_MATCH", None, "sem_uc_no_reports"),
+    scenario("same code, other month", inc(cls="C100"), KNOWN, "SEM_MATCH", None, "mismatch_mes"),
+    scenario("same class", inc(code=115, cls="C100"), KNOWN, "SEM_MATCH", None, "mismatch_cod"),
+    scenario("same unit only", inc(code=300, cls="ACAO"), KNOWN, "SEM_MATCH", None, "outros"),
+    scenario("code 0 is a code among reasons", inc(code=0), [rep(code=0, exec="2020-01-01")],
+             "SEM_MATCH", None, "mismatch_mes"),
+]
+
+
+@pytest.fixture(scope="module")
+def outcomes(spark):
+    """All scenarios in one run, each under a unit of its own."""
+    incs, reps = [], []
+    for unit, s in enumerate(SCENARIOS, start=1):
+        incs += [(s.name, at(unit, i)) for i in s.incs]
+        reps += [(unit, *r[1:]) for r in s.reps]
+    rows = run(spark, [i for _, i in incs], reps)
+    return {
+        s.name: [r for (name, _), r in zip(incs, rows) if name == s.name] for s in SCENARIOS
+    }
+
+
+@pytest.mark.parametrize("s", SCENARIOS, ids=lambda s: s.name)
+def test_scenario(outcomes, s):
+    rows = outcomes[s.name]
+    assert len(rows) == len(s.incs)
+    for row in rows:
+        assert {k: row[k] for k in s.want} == s.want
+
+
+def test_tie_breaker_column_decides(spark):
+    rows = [rep(exec="2026-01-05", team=t) + (i,) for i, t in ((2, "two"), (1, "one"))]
+    schema = reports(spark, rows[0][:5]).schema.add("rep_id", "long")
+    got = reconcile(
+        increments(spark, inc(exec="2026-01-09")),
+        spark.createDataFrame(rows, schema),
+        tie_breakers=["rep_id"],
+    )
+    assert got.first()["EQUIPE"] == "one"
+
+
+def test_missing_classes_match_when_null_safe(spark):
+    reps = [rep(code=999, baixa="2026-01-30"), rep(unit=2, code=None, baixa="2026-01-30")]
+    an_inc = inc(code=0, baixa="2026-01-05", cls=None)
+    incs = [an_inc, at(2, an_inc), an_inc | {"CLASSIFICACAO_IRREG": ""}]
+    got = run(spark, incs, reps, null_safe())
+    assert [r["REGRA_ORIGEM"] for r in got] == ["R3", "R3", "SEM_MATCH"]
+    assert [r["IRREGULARIDADE"] for r in got] == [999, None, 0]
+    assert [r["CLASSIFICACAO_IRREG"] for r in got] == [None, None, ""]
+
+
+def test_missing_unit_stays_missing(spark):
+    got = run(spark, [inc(unit=None), inc(unit=0)], [])
+    assert [r["INSTALACAO"] for r in got] == [None, 0]
+    assert {r["MOTIVO_PENDENCIA"] for r in got} == {"sem_uc_no_reports"}
+
+
+def test_no_increments_at_all(spark):
+    result = reconcile(increments(spark), reports(spark, rep()))
+    assert result.collect() == [] and result.columns == RESULT_COLUMNS
+    assert [f.dataType for f in result.schema] == [f.dataType for f in RESULT_SCHEMA]
+
+
+def test_a_rule_is_checked():
+    with pytest.raises(ValueError):
+        Rule("X", "unit", "exec", "exec")
+    with pytest.raises(ValueError):
+        Rule("X", "code", "exec", "open")
+
+
+def test_other_rules_than_the_built_in(spark):
+    rules = [Rule("two months", "code", "baixa", "exec", lag=2)]
+    got = run(spark, [inc(baixa="2026-01-05")], [rep(exec="2025-11-05")], rules)
+    assert got[0]["REGRA_ORIGEM"] == "two months"
+
+
+def test_metrics(spark):
+    incs = [h[1] for h in HITS] + [inc(code=0), inc(unit=9, exec="2026-01-05")]
+    units = [i | {"INSTALACAO": n} for n, i in enumerate(incs, start=1)]
+    reps = [(n, *h[2][1:]) for n, h in enumerate(HITS, start=1)]
+    got = rule_metrics(increments(spark, *units), reports(spark, *reps)).collect()
+    assert [(r["step"], r["rule"], r["resolved"]) for r in got] == [
+        (n, rule.id, 1) for n, rule in enumerate(WATERFALL, start=1)
+    ]
+    # R1: two with execution date; later ones: pending rows with closing date.
+    assert [r["tried"] for r in got] == [2, 8, 7, 6, 5, 4, 3, 2, 1]
+
+
+def test_group_counts_and_open_reports(spark):
+    incs = [inc(exec="2026-01-05"), inc(unit=2), inc(group="X")]
+    reps = reports(spark, rep(exec="2026-01-05"), rep(baixa="2026-01-05"))
+    counts = group_counts(reconcile(increments(spark, *incs), reps)).collect()
+    assert {tuple(r) for r in counts} == {("BAIXA TENSAO", 2, 1, 1), ("X", 1, 0, 1)}
+    assert tuple(open_report_count(reps).first()) == (2, 1)
+
+
+def test_unit_profiles(spark):
+    reps = [rep(code=c) for c in (1000, 109, 109, None, 300)] + [rep(unit=2, code=None)]
+    got = {r["instalacao"]: tuple(r)[1:] for r in unit_profiles(reports(spark, *reps)).collect()}
+    assert got == {1: ("109,300,1000", "ACAO,C100"), 2: ("", "")}
+
+
+def test_extra_columns_and_missing_columns(spark):
+    rows = increments(spark, inc(exec="2026-01-05")).drop("PROJETO", "MES_07")
+    got = reconcile(rows, reports(spark, rep(exec="2026-01-05")))
+    assert got.columns == [c for c in RESULT_COLUMNS if c not in ("PROJETO", "MES_07")]
+    assert set(INCREMENT_COLUMNS) - set(got.columns) == {"PROJETO", "MES_07"}
