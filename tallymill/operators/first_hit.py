@@ -73,26 +73,25 @@ def best_hits(profile: DataFrame, ways: Sequence[Way]) -> DataFrame:
     return walked.where("hit IS NOT NULL")
 
 
+def salted_facts(facts: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Facts with a salt: 0, or for hot keys dealt out by input partition.
+
+    That needs no column beyond the keys, spreads equal copies of a row too,
+    and a task that runs again gives its rows the same salts as before.
+    """
+    salt = F.expr("if(_salts IS NULL, 0, pmod(spark_partition_id(), _salts))")
+    marked = facts.join(F.broadcast(hot), list(keys), "left")
+    return marked.withColumn("_salt", salt).drop("_salts")
+
+
 def join_verdicts(
     facts: DataFrame, verdicts: DataFrame, hot: DataFrame, keys: Sequence[str]
 ) -> DataFrame:
-    """Left join to at most one verdict per key, hot keys spread over salts.
-
-    A hot key's verdict is copied once per salt.  The salt of a fact mixes its
-    content with the number of its input partition: equal copies of a row are
-    spread too, and a task that runs again gives its rows the same salts.
-    """
-    content = F.xxhash64(F.spark_partition_id(), *facts.columns)
-    spread = F.pmod(content, F.col("_salts")).cast("int")
-    salt = F.when(F.col("_salts").isNull(), 0).otherwise(spread)
-    salted = (
-        facts.join(F.broadcast(hot), list(keys), "left")
-        .withColumn("_salt", salt)
-        .drop("_salts")
-    )
+    """Left join to at most one verdict per key; a hot key's is copied per salt."""
     copies = F.expr("explode(if(_salts = 1, array(0), sequence(0, _salts - 1)))")
-    copied = verdicts.select(*keys, "hit", copies.alias("_salt"))
-    return salted.join(copied.hint("merge"), [*keys, "_salt"], "left").drop("_salt")
+    copied = verdicts.select(*keys, "hit", copies.alias("_salt")).hint("merge")
+    salted = salted_facts(facts, hot, keys)
+    return salted.join(copied, [*keys, "_salt"], "left").drop("_salt")
 
 
 def first_hit(

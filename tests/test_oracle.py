@@ -1,0 +1,44 @@
+"""Every registered query against DuckDB on the test tables."""
+
+from collections import Counter
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry_points
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings"
+    " pages benchmark labels conversations"
+).split()
+QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "date": "DATE",
+    "boolean": "BOOLEAN",
+}
+
+
+@pytest.fixture(scope="module")
+def duck(sf_dir):
+    con = duckdb.connect()
+    for table in TABLES:
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    return con
+
+
+def test_every_query_has_its_sql():
+    assert QUERIES.keys() == ORACLE.keys()
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_query(spark, duck, sf_dir, name):
+    got, want = QUERIES[name](spark, sf_dir), duck.sql(ORACLE[name])
+    types = {f.name: TYPES[f.dataType.simpleString()] for f in got.schema}
+    assert types == dict(zip(want.columns, map(str, want.types)))
+    rows = Counter(tuple(r) for r in got.select([f"`{c}`" for c in want.columns]).collect())
+    assert rows == Counter(want.fetchall())
+    assert rows
+
+
+def test_entry(spark):
+    assert entry_points.entry(spark).count() == 6000

@@ -1,0 +1,204 @@
+"""Publishing, pending export, serving view and the daily run."""
+
+import uuid
+from datetime import date
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from tallymill.operators.reconcile import reconcile
+from tallymill.plans.daily import run_daily
+from tallymill.plans.serving import best_match, create_serving_view
+from tallymill.schema import INCREMENT_COLUMNS, MATCH_COLUMNS, RESULT_COLUMNS
+from tallymill.sinks.pending import export_pending, pending_rows
+from tallymill.sinks.publish import live_paths, publish
+from tallymill.sinks.shared import shared_folder
+from tests.frames import inc, increments, rep, reports
+
+BT, AT = "BAIXA TENSAO", "GESTAO CENTRALIZADA"
+
+
+@pytest.fixture
+def routes():
+    run = uuid.uuid4().hex
+    return {BT: f"bt_{run}", AT: f"at_{run}"}
+
+
+@pytest.fixture
+def unpacked(spark):
+    """Keep small partitions apart, which Spark would pack into one file."""
+    packing = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(packing, "false")
+    yield
+    spark.conf.unset(packing)
+
+
+def result(spark, *incs):
+    return reconcile(increments(spark, *incs), reports(spark, rep(exec="2026-01-05", team="T")))
+
+
+def notes(spark, table):
+    return sorted(r["NOTA"] for r in spark.read.table(table).collect())
+
+
+def row(nota, group=BT, **values):
+    return inc(nota=nota, group=group, **values)
+
+
+def test_groups_go_to_their_tables(spark, tmp_path, routes):
+    rows = result(spark, row("a"), row("b", AT), row("c", "OUTROS"), row("d"))
+    assert publish(rows, str(tmp_path), routes) == {routes[BT]: 2, routes[AT]: 1}
+    assert notes(spark, routes[BT]) == ["a", "d"] and notes(spark, routes[AT]) == ["b"]
+    table = spark.read.table(routes[BT])
+    assert table.columns == RESULT_COLUMNS
+    assert dict(table.dtypes)["MATCH_OK"] == "boolean"
+    assert dict(table.dtypes)["DATA_BAIXA"] == "date"
+
+
+def test_replace_replaces_and_views_on_top_survive(spark, tmp_path, routes):
+    publish(result(spark, row("old"), row("x", AT)), str(tmp_path), routes)
+    view = f"above_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE VIEW {view} AS SELECT * FROM {routes[BT]}")
+    publish(result(spark, row("new")), str(tmp_path), routes)
+    assert notes(spark, routes[BT]) == ["new"] and notes(spark, view) == ["new"]
+    # The group that is absent now keeps its old rows.
+    assert notes(spark, routes[AT]) == ["x"]
+
+
+def test_append_adds_and_creates(spark, tmp_path, routes):
+    publish(result(spark, row("1")), str(tmp_path), routes, strategy="append")
+    publish(result(spark, row("2")), str(tmp_path), routes, strategy="append")
+    assert notes(spark, routes[BT]) == ["1", "2"]
+    assert len(live_paths(spark, routes[BT])) == 2
+    publish(result(spark, row("3")), str(tmp_path), routes)
+    assert notes(spark, routes[BT]) == ["3"]
+
+
+def test_nothing_to_publish(spark, tmp_path, routes):
+    assert publish(result(spark, row("a", "OUTROS")), str(tmp_path), routes) == {}
+    assert not spark.catalog.tableExists(routes[BT])
+
+
+def test_unknown_strategy_and_layout(spark, tmp_path, routes):
+    with pytest.raises(ValueError):
+        publish(result(spark, row("a")), str(tmp_path), routes, strategy="drop")
+    with pytest.raises(ValueError):
+        publish(result(spark, row("a")), str(tmp_path), routes, layout="zorder")
+
+
+def test_too_long_a_text_is_refused_and_the_old_snapshot_stays(spark, tmp_path, routes):
+    publish(result(spark, row("old")), str(tmp_path), routes)
+    long = result(spark, row("new")).withColumn("REGRA_ORIGEM", F.lit("x" * 17))
+    with pytest.raises(PySparkException):
+        publish(long, str(tmp_path), routes)
+    assert notes(spark, routes[BT]) == ["old"]
+
+
+def test_range_layout_clusters_units(spark, tmp_path, routes, unpacked):
+    rows = result(spark, *[row(str(n), unit=n % 40) for n in range(400)]).repartition(5)
+    publish(rows, str(tmp_path), routes, layout="range")
+    files = (
+        spark.read.table(routes[BT])
+        .groupBy(F.input_file_name())
+        .agg(F.min("INSTALACAO").alias("low"), F.max("INSTALACAO").alias("high"))
+        .orderBy("low")
+        .collect()
+    )
+    assert len(files) > 1
+    assert all(a["high"] <= b["low"] for a, b in zip(files, files[1:]))
+
+
+def test_pending_export(spark, tmp_path):
+    rows = result(spark, row("a"), row("m", exec="2026-01-05"), row("b", AT), row("c", "OUTROS"))
+    path = str(tmp_path / "pending")
+    assert pending_rows(rows).columns == [*INCREMENT_COLUMNS, *MATCH_COLUMNS]
+    export_pending(rows, path)
+    got = {(r["grupo_sufixo"], r["NOTA"]) for r in spark.read.parquet(path).collect()}
+    assert got == {("bt", "a"), ("at", "b")}
+    export_pending(result(spark, row("z", AT)), path)
+    got = {(r["grupo_sufixo"], r["NOTA"]) for r in spark.read.parquet(path).collect()}
+    assert got == {("bt", "a"), ("at", "z")}
+
+
+def test_pending_export_as_csv_and_of_nothing(spark, tmp_path):
+    path = str(tmp_path / "pending")
+    export_pending(result(spark, row("m", exec="2026-01-05")), path, source="csv")
+    assert not list((tmp_path / "pending").glob("grupo_sufixo=*"))
+    export_pending(result(spark, row("a")), path, source="csv")
+    assert spark.read.option("header", True).csv(path).first()["NOTA"] == "a"
+
+
+def view_reports(spark, *rows):
+    names = "`UC / MD` string, COD string, DATA_EXECUCAO date, STATUS string, REGIONAL string,"
+    rows = [(u, c, d and date.fromisoformat(d), s, r, g) for u, c, d, s, r, g in rows]
+    return spark.createDataFrame(rows, names + " GRUPO string").withColumn("EQUIPE", F.lit("E"))
+
+
+def test_view_priorities_filters_and_named_view(spark, tmp_path):
+    ok = ("OK", "SUL", "BT")
+    cases = [
+        ("1", "109", "2026-01-05", *ok),  # same day and code
+        ("1", "115", "2026-01-05", *ok),  # same day, largest total
+        ("1", None, "2026-01-09", *ok),  # same month, largest total
+        ("1", "109", "2026-02-05", *ok),  # other month
+        ("01", "109", "2026-01-05", *ok),  # padded text is another unit
+        (None, "109", "2026-01-05", *ok),
+        ("2", "109", "2026-01-05", *ok),  # best increment has no total
+        ("1", "109", "2025-12-31", *ok),  # too old
+        ("1", "109", None, *ok),
+        ("1", "109", "2026-01-05", None, "SUL", "BT"),
+        ("1", "109", "2026-01-05", "CANCELADO", "SUL", "BT"),
+        ("1", "109", "2026-01-05", "OK", "NORTE", "BT"),
+        ("1", "109", "2026-01-05", "OK", "SUL", "AT"),
+        ("1", "109", "2026-01-05", *ok),  # a report row twice stays twice
+    ]
+    incs = increments(
+        spark,
+        inc(exec="2026-01-05", code=109, total=3),
+        inc(exec="2026-01-05", code=300, total=7),
+        inc(exec="2026-01-20", code=115, total=11),
+        inc(code=109, total=99),
+        inc(unit=2, exec="2026-01-05", total=None),
+        inc(unit=2, exec="2026-01-06", total=8),
+    )
+    reps = view_reports(spark, *cases)
+    want = sorted([
+        ("1", "109", 3), ("1", "115", 7), ("1", None, 11), ("1", "109", 0), ("01", "109", 0),
+        (None, "109", 0), ("2", "109", 0), ("1", "109", 3),
+    ], key=str)
+
+    def got(df):
+        assert df.columns == ["UC / MD", "STATUS", "DATA_EXECUCAO", "COD", "EQUIPE", "INC_TOTAL"]
+        return sorted(((r["UC / MD"], r["COD"], r["INC_TOTAL"]) for r in df.collect()), key=str)
+
+    assert got(best_match(reps, incs)) == want
+    assert got(best_match(reps.repartition(3), incs, hot_rows=1)) == want
+    run = uuid.uuid4().hex
+    for name, df in (("r", reps), ("i", incs)):
+        path = str(tmp_path / name)
+        df.write.parquet(path)
+        spark.sql(f"CREATE VIEW {name}_{run} AS SELECT * FROM parquet.`{path}`")
+    create_serving_view(spark, f"r_{run}", f"i_{run}", f"v_{run}")
+    assert got(spark.read.table(f"v_{run}")) == want
+
+
+def test_daily_run(spark, tmp_path, routes):
+    raw = increments(spark, row("a", exec="2026-01-05"), row("b", AT), row("c", "X")).select(
+        [F.col(c).cast("string") for c in INCREMENT_COLUMNS]
+    )
+    raw.write.option("header", True).csv(str(tmp_path / "in" / "2026-01-05.csv"))
+    reps = reports(spark, rep(exec="2026-01-05"))
+    counts = run_daily(spark, str(tmp_path / "in"), reps, str(tmp_path / "out"), routes=routes)
+    assert counts["rows"] == 3 and counts["matched"] == 1 and counts["pending"] == 2
+    assert counts["unrouted"] == 1 and counts["rule R1"] == 1 and counts["rule SEM_MATCH"] == 2
+    assert counts[f"table {routes[BT]}"] == 1 and counts[f"table {routes[AT]}"] == 1
+    assert notes(spark, routes[BT]) == ["a"]
+    pending = spark.read.parquet(str(tmp_path / "out" / "pending"))
+    assert [(r["NOTA"], r["grupo_sufixo"]) for r in pending.collect()] == [("b", "at")]
+
+
+def test_shared_folder_is_the_cluster_s(spark):
+    base = spark.conf.get("spark.checkpoint.dir")
+    one, two = shared_folder(spark, "x"), shared_folder(spark, "x")
+    assert one.startswith(f"{base}/x-") and one != two
