@@ -38,8 +38,8 @@ def test_dates_with_another_format(spark):
 
 
 def test_integers(spark):
-    texts = ["0311", " 12 ", "1e3", "1,2", "n/a", "", None, "-7", "50.0", "\t8 "]
-    want = [311, 12, 1000, None, None, None, None, -7, 50, 8]
+    texts = ["0311", " 12 ", "1e3", "1,2", "n/a", "", None, "-7", "50.0", "\t8 ", "8\u00a0"]
+    want = [311, 12, 1000, None, None, None, None, -7, 50, 8, None]
     assert apply(spark, lenient_int, texts) == want
     assert apply(spark, int_or_zero, texts) == [w or 0 for w in want]
 
