@@ -6,12 +6,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from suite import oracle
+from suite import queries as suite_queries
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings"
     " pages benchmark labels conversations"
 ).split()
-QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, ORACLE = suite_queries.queries(), oracle.oracle_sql()
 TYPES = {
     "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "date": "DATE",
     "boolean": "BOOLEAN",
@@ -28,6 +30,8 @@ def duck(sf_dir):
 
 def test_every_query_has_its_sql():
     assert QUERIES.keys() == ORACLE.keys()
+    assert QUERIES.keys() <= entry_points.queries().keys()
+    assert entry_points.oracle_sql().keys() <= entry_points.queries().keys()
 
 
 @pytest.mark.parametrize("name", QUERIES)
