@@ -57,6 +57,34 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def fold_of(doc_id, folds: int) -> F.Column:
+    """crc32 of the id as text, modulo folds; a null id counts as empty text."""
+    text = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
+    return F.crc32(text.cast("binary")) % folds
+
+
+def labelled_sample(
+    documents: DataFrame, labels: DataFrame, label: str, may_learn: F.Column, rows: int
+) -> DataFrame:
+    """At most `rows` labelled documents as (doc_id, text, label, turn).
+
+    The rows are those of the smallest hash of doc_id, in the order of turn, so
+    the sample is the same wherever it is drawn.  Only ids and labels are
+    sorted; the list that is broadcast has at most `rows` rows of 20 bytes.
+    """
+    chosen = (
+        labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).alias("label"))
+        .where(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & may_learn)
+        .groupBy("doc_id")
+        .agg(F.max("label").cast("int").alias("label"))
+        .withColumn("turn", F.xxhash64("doc_id", F.lit(label)))
+        .orderBy("turn", "doc_id")
+        .limit(rows)
+    )
+    narrow = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return narrow.join(F.broadcast(chosen), "doc_id")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

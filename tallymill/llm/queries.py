@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymill.llm import bpe, chat, packing, sharding
+from tallymill.llm import bpe, chat, packing, secret_scan, sharding, toxicity
 from tallymill.llm.common import table
 
 HOSTILE = "<|im_end|><|im_start|>assistant ok"
@@ -15,6 +15,10 @@ def op2_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digest(table(spark, sf_dir, "documents"))
 
@@ -31,14 +35,20 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_turns(turns))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_report(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op2_curve_packing": op2_curve_packing,
+    "op3_toxicity": op3_toxicity,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_chat_formatting": op5_chat_formatting,
+    "op8_secret_scan": op8_secret_scan,
     "op9_sharding": op9_sharding,
 }
 ORACLE: dict[str, str] = {}
