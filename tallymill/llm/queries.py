@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymill.llm import bpe, chat, packing, quality, secret_scan, sharding, syncmers, toxicity
+from tallymill.llm import bpe, chat, embedding_dedup, packing, quality, secret_scan, sharding, syncmers, toxicity
 from tallymill.llm.common import table
 
 HOSTILE = "<|im_end|><|im_start|>assistant ok"
@@ -51,6 +51,10 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_report(table(spark, sf_dir, "documents"))
 
 
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.link_counts(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_syncmer_fingerprints": op1_syncmer_fingerprints,
     "op2_curve_packing": op2_curve_packing,
@@ -60,5 +64,6 @@ QUERIES = {
     "op7_quality_rules": op7_quality_rules,
     "op8_secret_scan": op8_secret_scan,
     "op9_sharding": op9_sharding,
+    "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
 ORACLE: dict[str, str] = {}
