@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymill.llm import bpe, chat, embedding_dedup, packing, quality, secret_scan, sharding, syncmers, toxicity
+from tallymill.llm import bpe, chat, embedding_dedup, packing, quality, secret_scan, sharding, syncmers, toxicity, weighted_minhash
 from tallymill.llm.common import table
 
 HOSTILE = "<|im_end|><|im_start|>assistant ok"
@@ -39,6 +39,10 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_turns(turns))
 
 
+def op6_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_minhash.groups(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -61,6 +65,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op5_chat_formatting": op5_chat_formatting,
+    "op6_weighted_minhash": op6_weighted_minhash,
     "op7_quality_rules": op7_quality_rules,
     "op8_secret_scan": op8_secret_scan,
     "op9_sharding": op9_sharding,
