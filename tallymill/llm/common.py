@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
-
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,16 +30,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def arrow_map(df: DataFrame, function, schema: str) -> DataFrame:
-    """mapInArrow with a function of one RecordBatch -> RecordBatch or None."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = function(batch)
-            if out is not None and out.num_rows:
-                yield out
-
-    return df.mapInArrow(run, schema)
+def unused_name(df: DataFrame, stem: str) -> str:
+    """stem, made longer until no column of df is called so."""
+    taken = {c.lower() for c in df.columns}
+    while stem in taken:
+        stem += "_"
+    return stem
 
 
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:

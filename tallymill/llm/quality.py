@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymill.llm.common import fold_of, labelled_sample
+from tallymill.llm.common import fold_of, labelled_sample, unused_name
 from tallymill.llm.words import Words, shingle_hashes
 
 SAMPLE = 12_000
@@ -88,8 +88,8 @@ def statistics(text: str) -> tuple[float, ...]:
     )
 
 
-def with_statistics(documents: DataFrame) -> DataFrame:
-    """The documents and their statistics as a struct _stats."""
+def with_statistics(documents: DataFrame, name: str = "stats") -> DataFrame:
+    """The documents and their statistics as a struct of this name."""
 
     @F.pandas_udf(STATISTICS_SCHEMA)
     def of_texts(texts):
@@ -98,7 +98,7 @@ def with_statistics(documents: DataFrame) -> DataFrame:
         rows = [statistics(t or "") for t in texts]
         return pd.DataFrame(rows, columns=STATISTICS, dtype="float64")
 
-    return documents.withColumn("_stats", of_texts("text"))
+    return documents.withColumn(name, of_texts("text"))
 
 
 @dataclass(frozen=True)
@@ -110,10 +110,10 @@ class Rule:
     def holds(self, x: np.ndarray) -> np.ndarray:
         return reduce(and_, [(x[:, s] > b) == above for s, above, b in self.terms])
 
-    def column(self) -> Column:
+    def column(self, stats: str) -> Column:
         tests = []
         for s, above, bound in self.terms:
-            value = F.col(f"_stats.{STATISTICS[s]}")
+            value = F.col(f"{stats}.{STATISTICS[s]}")
             tests.append(value > bound if above else value <= bound)
         return reduce(and_, tests)
 
@@ -124,11 +124,11 @@ class Model:
     weights: list[float]
     intercept: float
 
-    def column(self) -> Column:
-        """The score as a column over _stats."""
+    def column(self, stats: str = "stats") -> Column:
+        """The score as a column over the struct of statistics."""
         logit = F.lit(self.intercept)
         for rule, weight in zip(self.rules, self.weights):
-            logit = logit + F.when(rule.column(), weight).otherwise(0.0)
+            logit = logit + F.when(rule.column(stats), weight).otherwise(0.0)
         return 1 / (1 + F.exp(-logit))
 
     def scores(self, x: np.ndarray) -> np.ndarray:
@@ -226,15 +226,15 @@ def train(documents: DataFrame, labels: DataFrame) -> Model | None:
     sample = labelled_sample(
         documents, labels, "quality", fold_of("doc_id", FOLDS) != HELD_OUT, SAMPLE
     )
-    rows = with_statistics(sample).select("turn", "label", "_stats.*").toPandas()
+    rows = with_statistics(sample).select("turn", "label", "stats.*").toPandas()
     if rows.empty:
         return None
     rows = rows.sort_values(["turn", "label", *STATISTICS])
     return fit(rows[[*STATISTICS]].to_numpy(np.float64), rows["label"].to_numpy(np.float64))
 
 
-def score_column(model: Model | None) -> Column:
-    return F.lit(1.0) if model is None else model.column()
+def score_column(model: Model | None, stats: str = "stats") -> Column:
+    return F.lit(1.0) if model is None else model.column(stats)
 
 
 def score(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -252,8 +252,6 @@ def score(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(documents: DataFrame, model: Model | None) -> DataFrame:
     """Rows and columns of the documents that are predicted good."""
-    return (
-        with_statistics(documents)
-        .where(score_column(model) >= THRESHOLD)
-        .drop("_stats")
-    )
+    name = unused_name(documents, "stats")
+    good = score_column(model, name) >= THRESHOLD
+    return with_statistics(documents, name).where(good).drop(name)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymill.llm.common import fold_of, labelled_sample, texts_of
+from tallymill.llm.common import fold_of, labelled_sample, texts_of, unused_name
 from tallymill.llm.words import Words, mixed
 
 SAMPLE = 16_000
@@ -147,13 +147,13 @@ def train(documents: DataFrame, labels: DataFrame) -> Model | None:
     return Model(place[:-1].copy(), weight[:-1].copy(), float(weight[-1]))
 
 
-def scored(documents: DataFrame, model: Model | None) -> DataFrame:
-    """The documents with their toxicity score in a column _score."""
+def scored(documents: DataFrame, model: Model | None, name: str = "score") -> DataFrame:
+    """The documents with their toxicity score in a column of this name."""
     if model is None:
-        return documents.withColumn("_score", F.lit(0.0))
+        return documents.withColumn(name, F.lit(0.0))
 
     @F.pandas_udf("double")
-    def score(texts):
+    def of_texts(texts):
         import pandas as pd
 
         table = model.dense()
@@ -164,7 +164,7 @@ def scored(documents: DataFrame, model: Model | None) -> DataFrame:
             out.append(model.intercept + float(table[at].sum(dtype=np.float64)))
         return pd.Series(_sigmoid(np.array(out, dtype=np.float64)))
 
-    return documents.withColumn("_score", score("text"))
+    return documents.withColumn(name, of_texts("text"))
 
 
 def score(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -172,11 +172,12 @@ def score(documents: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (fold_of("doc_id", FOLDS) == HELD_OUT).alias("held_out"),
-        F.col("_score").alias("score"),
-        (F.col("_score") >= THRESHOLD).cast("int").alias("predicted"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )
 
 
 def keep_clean(documents: DataFrame, model: Model | None) -> DataFrame:
     """Rows and columns of the documents that are not predicted toxic."""
-    return scored(documents, model).where(F.col("_score") < THRESHOLD).drop("_score")
+    name = unused_name(documents, "score")
+    return scored(documents, model, name).where(F.col(name) < THRESHOLD).drop(name)

@@ -5,7 +5,10 @@ occurs times its inverse document frequency.  Each of BANDS * ROWS samples picks
 one shingle, such that two documents pick alike with the probability of their
 weighted Jaccard similarity.  ROWS samples make a band; documents that share a
 band are candidates, and a candidate is a link only if the weighted Jaccard
-similarity of the whole texts is THRESHOLD or more.
+similarity of the whole texts is THRESHOLD or more.  Copying makes a passage
+frequent and so lowers its weight, which would hide the copies of a text that
+was copied most; a candidate is therefore a link as well if the similarity
+reaches THRESHOLD with all weights equal.
 
 Documents of equal word sequences are one class from the start, so groups of
 copies of any size are a single candidate.  A bucket of a band is not unfolded
@@ -35,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymill.llm.common import components, session_of, staged, texts_of
+from tallymill.llm.common import components, session_of, staged, texts_of, unused_name
 from tallymill.llm.words import Words, mixed, shingle_hashes
 
 SHINGLE = 5
@@ -245,14 +248,16 @@ def signed(documents: DataFrame, known: Frequencies) -> DataFrame:
 # Candidates and links ------------------------------------------------------
 
 
-def weighted_jaccard(known: Frequencies, one: tuple, other: tuple) -> float:
-    """Of two (distinct shingles, counts): sum of minima over sum of maxima."""
+def similarities(known: Frequencies, one: tuple, other: tuple) -> tuple[float, float]:
+    """Of two (distinct shingles, counts): sum of minima over sum of maxima,
+    once with TF-IDF weights and once with all weights equal."""
     (a, n), (b, m) = one, other
     if not len(a) or not len(b):
-        return 0.0
+        return 0.0, 0.0
     _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
     least = float((np.minimum(n[i], m[j]) * known.of(a[i])).sum())
-    return least / (float((n * known.of(a)).sum() + (m * known.of(b)).sum()) - least)
+    most = float((n * known.of(a)).sum() + (m * known.of(b)).sum()) - least
+    return least / most, len(i) / (len(a) + len(b) - len(i))
 
 
 def linked(pairs: DataFrame, texts: DataFrame, known: Frequencies) -> DataFrame:
@@ -267,8 +272,7 @@ def linked(pairs: DataFrame, texts: DataFrame, known: Frequencies) -> DataFrame:
         for one, other in zip(left, right):
             if one != last:
                 last, own = one, shingles(one)
-            similarity = weighted_jaccard(shared.value, own, shingles(other))
-            out.append(similarity >= THRESHOLD)
+            out.append(max(similarities(shared.value, own, shingles(other))) >= THRESHOLD)
         return pd.Series(out, dtype=bool)
 
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("left"))
@@ -316,11 +320,7 @@ def class_links(documents: DataFrame, classes: DataFrame, known: Frequencies) ->
         new = staged(linked(pairs, texts, known), "bucket-links")
         links = new if links is None else links.union(new)
         tested = pairs if tested is None else tested.union(pairs)
-        # Documents with one label are linked to one document, so connected.
-        ends = links.select(F.col("a").alias("doc_id"), F.col("b").alias("to")).union(
-            links.select(F.col("b").alias("doc_id"), F.col("a").alias("to"))
-        )
-        labels = ends.groupBy("doc_id").agg(F.least("doc_id", F.min("to")).alias("label"))
+        roots = components(links)
         left = (
             members.drop("label")
             .join(
@@ -328,8 +328,8 @@ def class_links(documents: DataFrame, classes: DataFrame, known: Frequencies) ->
                 ["bucket", "doc_id"],
                 "left_anti",
             )
-            .join(labels, "doc_id", "left")
-            .withColumn("label", F.coalesce("label", "doc_id"))
+            .join(roots, F.col("doc_id") == F.col("id"), "left")
+            .select("bucket", "doc_id", F.coalesce("root", "doc_id").alias("label"))
         )
         mixed_ones = left.groupBy("bucket").agg(
             F.min("label").alias("low"), F.max("label").alias("high")
@@ -383,22 +383,23 @@ def groups(documents: DataFrame) -> DataFrame:
 def keep_first(documents: DataFrame) -> DataFrame:
     """Rows and columns of the documents that stay: of each component the one
     of the least id, of rows of one id the first by text."""
-    gone = groups(documents).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    stay = documents.join(
-        gone, documents["doc_id"].cast("long") == F.col("_gone"), "left_anti"
-    )
+    found = groups(documents).where("NOT kept")
+    name = unused_name(documents, "id")
+    key = F.col("doc_id").cast("long")
+    gone = found.select(F.col("doc_id").alias(name)).distinct()
+    stay = documents.join(gone, key == F.col(name), "left_anti")
     often = (
         documents.where("doc_id IS NOT NULL")
-        .groupBy(F.col("doc_id").alias("_often"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where("_n > 1")
-        .select("_often")
+        .groupBy(key.alias(name))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where("n > 1")
+        .select(name)
     )
-    many = stay["doc_id"] == F.col("_often")
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
     single = (
-        stay.join(often, many, "left_semi")
-        .groupBy("doc_id")
-        .agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in documents.columns]), F.struct("text")).alias("_row"))
-        .select("_row.*")
+        stay.join(often, key == F.col(name), "left_semi")
+        .groupBy(key.alias(name))
+        .agg(F.min_by(row, F.struct(F.coalesce("text", F.lit("")), F.to_json(row))).alias("row"))
+        .select("row.*")
     )
-    return stay.join(often, many, "left_anti").unionByName(single)
+    return stay.join(often, key == F.col(name), "left_anti").unionByName(single)
