@@ -154,13 +154,11 @@ def canonical_turns(df: DataFrame, key: str = "conv_id") -> DataFrame:
         layout = F.when(same, F.lit(m.name)).otherwise(layout)
         turns = F.when(same, F.expr(m.turns)).otherwise(turns)
     known = df.withColumn("_print", layout_fingerprint(df.schema, fitting))
+    unknown = F.raise_error(F.concat(F.lit("unknown layout of conversation "), F.col(key)))
     told = known.select(
-        F.col(key).cast("long").alias("conv_id"), layout.alias("layout"), turns.alias("_turns")
-    ).withColumn(
-        "layout",
-        F.coalesce(
-            "layout", F.raise_error(F.concat(F.lit("unknown layout in "), F.col("conv_id")))
-        ),
+        F.col(key).cast("long").alias("conv_id"),
+        layout.alias("layout"),
+        F.when(layout.isNull(), unknown).otherwise(turns).alias("_turns"),
     )
     said = told.select("conv_id", "layout", F.explode("_turns").alias("t"))
     return said.select(

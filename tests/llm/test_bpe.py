@@ -1,0 +1,81 @@
+"""Encoding and decoding against the library that owns the file."""
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from tallymill.llm import bpe
+from tallymill.llm.common import vocabulary_path
+from tests.llm import messy
+
+PATH = vocabulary_path(bpe.VOCABULARY)
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+def wanted(library, text):
+    ids = library.encode(text or "", add_special_tokens=False).ids
+    return ids, library.decode(ids, skip_special_tokens=False)
+
+
+def test_random_texts(library):
+    rng, own = random.Random(3), bpe.WordBpe(PATH)
+    letters = "abcdefgh  \n\t'sSt.,!?0123éÉßñΣσςİıﬁ²½Ⅷ漢字カ‍́👩\x85 \x1c\x1fÅ"
+    texts = ["".join(rng.choices(letters, k=rng.randint(0, 80))) for _ in range(2000)]
+    texts += ["<|endoftext|>", "a<|startoftext|>b <|ENDOFTEXT|>", "it's we'LL 'S", "ΣΑΣ"]
+    texts += ["a" * 700, "".join(rng.choices("abcdefghij", k=3000)), "x" * 256, "y" * 257]
+    for text, ids in zip(texts, own.encode_batch(texts)):
+        assert (np.frombuffer(ids, "<u4").tolist(), own.decode(ids)) == wanted(library, text)
+
+
+def test_both_trees_merge_alike():
+    rng, own = random.Random(5), bpe.WordBpe(PATH)
+    words = ["".join(rng.choices("etaoinsh", k=rng.randint(1, 200))).encode() for _ in range(300)]
+    for word, ids in zip(words, own.merge_words(words)):
+        assert own.merge_long(own._symbols(word)) == np.frombuffer(ids, "<u4").tolist()
+
+
+def test_memory_of_words_may_be_emptied(library, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED", 3)
+    own = bpe.WordBpe(PATH)
+    for text in ("one two three", "four five one", "two two six"):
+        assert np.frombuffer(own.encode_batch([text])[0], "<u4").tolist() == wanted(library, text)[0]
+
+
+def check(spark, documents, rows, library):
+    got = sorted((tuple(r) for r in bpe.encode_digest(documents).collect()), key=str)
+    want = []
+    for doc_id, text in rows:
+        ids, decoded = wanted(library, text)
+        raw = np.array(ids, "<u4").tobytes()
+        want.append(
+            (doc_id, len(ids), hashlib.sha256(raw).hexdigest(),
+             hashlib.sha256(decoded.encode()).hexdigest())
+        )
+    assert got == sorted(want, key=str)
+
+
+def test_whole_table(spark, sf_dir, library):
+    documents = messy.table(spark, sf_dir, "documents")
+    check(spark, documents, [(r.doc_id, r.text) for r in documents.collect()], library)
+
+
+def test_awkward_documents(spark, library):
+    check(spark, messy.documents(spark), messy.TEXTS, library)
+
+
+def test_ids_and_text_are_returned(spark, library):
+    rows = bpe.encode(messy.documents(spark, [(1, "Hello there"), (2, None)])).collect()
+    assert {r.doc_id: (r.ids, r.decoded) for r in rows} == {
+        1: wanted(library, "Hello there"), 2: ([], "")
+    }
+
+
+def test_empty_table(spark):
+    assert bpe.encode_digest(messy.documents(spark, [])).count() == 0

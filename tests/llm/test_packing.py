@@ -1,0 +1,96 @@
+"""Packing: every id in one piece, sequences full, the curve a curve."""
+
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from tallymill.llm import packing
+from tallymill.llm.common import vocabulary_path
+from tests.llm import messy
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(vocabulary_path(packing.LIBRARY_FILE))
+
+
+def check(rows, texts, library):
+    """texts: (doc_id, text) of all rows, as often as they occur."""
+    ids = [
+        (i, np.array([*library.encode(t or "", add_special_tokens=False).ids, 1], "<u4"))
+        for i, t in texts
+    ]
+    sequences, pieces = defaultdict(list), Counter()
+    for r in rows:
+        sequences[r.sequence_id].append((r.offset, r.length, r.sequence_length))
+        pieces[r.doc_id, r.doc_tokens] += r.length
+        fits = [x for i, x in ids if i == r.doc_id and len(x) == r.doc_tokens]
+        assert any(
+            zlib.crc32(x[r.start : r.start + r.length].tobytes()) == r.ids_crc32 for x in fits
+        )
+    assert pieces == sum((Counter({(i, len(x)): len(x)}) for i, x in ids), Counter())
+    for parts in sequences.values():
+        at = 0
+        for offset, length, total in sorted(parts):
+            assert offset == at and length > 0
+            at += length
+        assert at == total and (total == packing.SEQUENCE or total & (total - 1) == 0)
+
+
+def test_whole_table(spark, sf_dir, library):
+    documents = messy.table(spark, sf_dir, "documents")
+    texts = [(r.doc_id, r.text) for r in documents.collect()]
+    check(packing.pack(documents).collect(), texts, library)
+
+
+def test_awkward_documents(spark, library):
+    check(packing.pack(messy.documents(spark)).collect(), messy.TEXTS, library)
+
+
+def test_ids_can_be_kept(spark):
+    rows = packing.pack(messy.documents(spark, [(1, "one two")]), with_ids=True).collect()
+    assert all(zlib.crc32(r.ids) == r.ids_crc32 for r in rows)
+
+
+def test_empty_table(spark):
+    assert packing.pack(messy.documents(spark, [])).count() == 0
+
+
+def test_rank_encoder_equals_library(library):
+    """Also on what is left to the library."""
+    tokens = packing.tokens(
+        vocabulary_path(packing.LIBRARY_FILE), vocabulary_path(packing.RANKS_FILE)
+    )
+    rng = np.random.default_rng(1)
+    letters = [*"aeinst ETS  \n\t'sdm.,!?0123é ßñ–’…漢́\x85\xa0\x1c👩"]
+    for _ in range(500):
+        text = "".join(rng.choice(letters, rng.integers(0, 60)))
+        assert tokens.encode(text).tolist()[:-1] == library.encode(text).ids
+    for text in ("<|endoftext|>x", "a" * 5000, "   x  ", "it's we'll 'S"):
+        assert tokens.encode(text).tolist()[:-1] == library.encode(text).ids
+
+
+@pytest.mark.parametrize("dimensions", [2, 3])
+def test_curve_visits_neighbours(dimensions):
+    side = 8
+    grid = np.stack(np.meshgrid(*[np.arange(side)] * dimensions), -1).reshape(-1, dimensions)
+    keys = packing.hilbert_key(grid, bits=3)
+    assert sorted(keys) == [*range(side**dimensions)]
+    steps = np.abs(np.diff(grid[np.argsort(keys)], axis=0)).sum(axis=1)
+    assert (steps == 1).all()
+
+
+def test_one_hot_key_is_spread(spark):
+    """A third of the rows are copies of one text: ranges still share them."""
+    rows = [(i, "the same text") for i in range(300)] + [
+        (1000 + i, messy.prose(i, 20)) for i in range(600)
+    ]
+    packed = packing.pack(messy.documents(spark, rows)).collect()
+    tasks = {r.sequence_id >> 40 for r in packed}
+    assert len(tasks) == 2  # as many as there are shuffle partitions
+    assert sum(r.length for r in packed) == sum(
+        {(r.doc_id): r.doc_tokens for r in packed}.values()
+    )
