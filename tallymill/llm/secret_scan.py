@@ -27,6 +27,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tallymill.llm.common import texts_of
 
@@ -265,18 +266,14 @@ def redacted(text: str) -> str:
 def redact(documents: DataFrame) -> DataFrame:
     """The same rows and columns with secrets replaced in text, and n_chars
     counted anew where there is such a column."""
-    schema = documents.schema
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index("text")
-            texts = [t if t is None else redacted(t) for t in batch.column(at).to_pylist()]
-            batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.column(at).type))
-            count = batch.schema.get_field_index("n_chars")
-            if count >= 0:
-                kind = batch.column(count).type
-                sizes = pa.array([t if t is None else len(t) for t in texts], kind)
-                batch = batch.set_column(count, batch.schema.field(count), sizes)
-            yield batch
-
-    return documents.mapInArrow(run, schema)
+    @F.pandas_udf("string")
+    def without_secrets(texts):
+        import pandas as pd
+
+        return pd.Series([t if t is None else redacted(t) for t in texts], dtype=object)
+
+    out = documents.withColumn("text", without_secrets("text"))
+    if "n_chars" in documents.columns:
+        out = out.withColumn("n_chars", F.char_length("text").cast(documents.schema["n_chars"].dataType))
+    return out

@@ -395,7 +395,7 @@ def keep_first(documents: DataFrame) -> DataFrame:
         .where("n > 1")
         .select(name)
     )
-    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
+    row = F.struct("*")
     single = (
         stay.join(often, key == F.col(name), "left_semi")
         .groupBy(key.alias(name))
