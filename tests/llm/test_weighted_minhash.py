@@ -1,0 +1,133 @@
+"""Near-dedup against all pairs, and the sampler against its law."""
+
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from tallymill.llm import weighted_minhash as wm
+from tests.llm import messy
+
+
+def plain_frequencies(texts):
+    counts = Counter()
+    for text in texts:
+        counts.update(wm.shingles(text or "")[0].tolist())
+    often = [(h, c) for h, c in counts.items() if c > wm.FREQUENT * len(texts)]
+    hashes = np.array([h for h, _ in often], dtype=np.uint64)
+    return wm.Frequencies(hashes, np.array([c for _, c in often]), len(texts))
+
+
+def plain_components(rows):
+    """All pairs; rows of one id are one document."""
+    known = plain_frequencies([t for _, t in rows])
+    root = {i: i for i, _ in rows if i is not None}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    def join(a, b):
+        low, high = sorted((find(a), find(b)))
+        root[high] = low
+
+    sets = [(i, t or "", wm.shingles(t or "")) for i, t in rows if i is not None]
+    by_shingle = defaultdict(list)
+    for n, (_, text, (hashes, _)) in enumerate(sets):
+        for h in hashes.tolist() or [text]:
+            by_shingle[h].append(n)
+    seen = set()
+    for found in by_shingle.values():
+        for x, n in enumerate(found):
+            for m in found[x + 1 :]:
+                if (n, m) in seen:
+                    continue
+                seen.add((n, m))
+                (a, s, one), (b, t, other) = sets[n], sets[m]
+                if s == t or max(wm.similarities(known, one, other)) >= wm.THRESHOLD:
+                    join(a, b)
+    return {i: find(i) for i in root}
+
+
+def check(spark, frame, rows):
+    want = plain_components(rows)
+    got = wm.groups(frame).collect()
+    assert Counter(r.doc_id for r in got) == Counter(i for i, _ in rows)
+    for r in got:
+        if r.doc_id is None:
+            assert r.component_id is None and r.kept
+        else:
+            assert (r.component_id, r.kept) == (want[r.doc_id], want[r.doc_id] == r.doc_id)
+    return got
+
+
+def test_query_on_whole_table(spark):
+    frame = messy.table(spark, "/root/testdata/sf0.01", "documents")
+    got = check(spark, frame, [(r.doc_id, r.text) for r in frame.collect()])
+    assert sum(not r.kept for r in got) > 50
+
+
+def test_awkward_documents(spark):
+    rows = [*messy.TEXTS, (60, messy.prose(14, 30) + " tail"), (61, messy.prose(15, 30))]
+    check(spark, messy.documents(spark, rows), rows)
+
+
+@pytest.mark.parametrize("rows", [[], [(1, "a b c d e f")], [(1, None), (2, None)]])
+def test_few_rows(spark, rows):
+    check(spark, messy.documents(spark, rows), rows)
+
+
+def edited(text, edits, seed):
+    rng, words = random.Random(seed), text.split()
+    for at in rng.sample(range(len(words)), edits):
+        words[at] = f"x{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+def test_chains_and_large_groups(spark):
+    """Copies of copies, a third of all rows alike, and a shared passage."""
+    rows, text = [], messy.prose(1, 200)
+    for i in range(40):
+        rows.append((i, text))
+        text = edited(text, 2, i)
+    rows += [(100 + i, edited(messy.prose(2, 150), 1, i)) for i in range(60)]
+    rows += [(200 + i, messy.prose(3, 300)) for i in range(60)]
+    passage = messy.prose(4, 60)
+    rows += [(300 + i, passage + " " + messy.prose(1000 + i, 150)) for i in range(50)]
+    got = check(spark, messy.documents(spark, rows), rows)
+    assert sum(r.kept for r in got) <= 53
+
+
+def test_samples_follow_the_weighted_jaccard_similarity(monkeypatch):
+    monkeypatch.setattr(wm, "BANDS", 1000)
+    random_numbers = np.random.default_rng(7)
+    shingles = random_numbers.integers(0, 1 << 62, 60, dtype=np.uint64)
+    a, b = random_numbers.gamma(1, 2, (2, 60))
+    sampler = wm.Sampler()
+    one, other = (
+        sampler.samples(shingles, np.log(w), np.array([0]))[0] for w in (a, b)
+    )
+    expected = np.minimum(a, b).sum() / np.maximum(a, b).sum()
+    assert abs((one == other).mean() - expected) < 0.04
+
+
+def test_frequencies_are_exact(spark, monkeypatch):
+    monkeypatch.setattr(wm, "CHUNK", 2000)
+    monkeypatch.setattr(wm, "FREQUENT", 0.05)
+    rows = [(i, messy.prose(0, 12) + " " + messy.prose(i, 30)) for i in range(150)]
+    rows += [(500 + i, messy.prose(9999, 20)) for i in range(9)]
+    got = wm.frequencies(messy.documents(spark, rows))
+    want = plain_frequencies([t for _, t in rows])
+    assert np.array_equal(got.hashes, np.sort(want.hashes))
+    assert got.of(want.hashes) == pytest.approx(want.of(want.hashes))
+
+
+def test_kept_rows(spark):
+    documents = messy.documents(spark)
+    kept = wm.keep_first(documents)
+    assert kept.schema.names == documents.schema.names
+    ids = Counter(r.doc_id for r in kept.collect())
+    assert ids == {1: 1, 3: 1, 4: 1, 7: 1, 8: 1, 9: 1, 10: 1, 11: 1, 12: 1, 14: 1, None: 2,
+                   -7: 1, 1 << 40: 1}
