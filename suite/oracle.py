@@ -48,11 +48,14 @@ def month_before(day):
 
 
 # --- cleaning ---------------------------------------------------------------
+def instant(c):
+    forms = ["%Y-%m-%d %H:%M:%S.%g", "%Y-%m-%d %H:%M:%S", "%Y-%m-%d %H:%M", "%Y-%m-%d"]
+    tries = [f"try_strptime(replace(trim({c}), 'T', ' '), '{f}')" for f in forms]
+    return f"coalesce({', '.join(tries)})"
+
+
 def date(c):
-    return (
-        f"CAST(coalesce(try_strptime(trim({c}), '%Y-%m-%d %H:%M:%S'),"
-        f" try_strptime(trim({c}), '%Y-%m-%d')) AS DATE)"
-    )
+    return f"CAST({instant(c)} AS DATE)"
 
 
 def integer(c):
@@ -98,7 +101,7 @@ FROM ({from_raw(*DATES, *INTEGERS, *MONTH_INTEGERS, *TEXTS, CLASS_TEXT)})
 CLEAN_REPORTS = f"""
 SELECT rep_id, {unit('"UC / MD"')} AS instalacao, {strict("COD")} AS irregularidade,
  {date("DATA_EXECUCAO")} AS data_exec_rep, {date('"DATA BAIXADO"')} AS data_baixa_rep,
- EQUIPE AS equipe
+ EQUIPE AS equipe, {instant("DATA_EXECUCAO")} AS hora_exec_rep
 FROM ({duck(RAW_REPORTS)}) WHERE {unit('"UC / MD"')} IS NOT NULL
 """
 
@@ -119,9 +122,10 @@ FROM ({INCREMENTS})
 CLASSED_MISSING = CLASSED.replace(", SRC_CLASSIF)", ", nullif(SRC_CLASSIF, ''))")
 
 _ORDER = "ORDER BY data_exec_rep DESC NULLS LAST, rep_id"
+_TIMED = "ORDER BY hora_exec_rep DESC NULLS LAST, rep_id"
 
 
-def waterfall(inc=CLASSED, rep=REPORTS, rules=WATERFALL):
+def waterfall(inc=CLASSED, rep=REPORTS, rules=WATERFALL, order=_ORDER):
     """CTEs ending in ``found``: increments, winning step, its report, reason."""
     ctes = [
         f"inc AS ({inc})",
@@ -140,7 +144,7 @@ def waterfall(inc=CLASSED, rep=REPORTS, rules=WATERFALL):
         base = "WHERE data_baixa_rep IS NULL" if rule.open_only else ""
         ctes.append(
             f"l{k} AS (SELECT * FROM rep {base}"
-            f" QUALIFY row_number() OVER (PARTITION BY {keys} {_ORDER}) = 1)"
+            f" QUALIFY row_number() OVER (PARTITION BY {keys} {order}) = 1)"
         )
         inc_day = "i.DATA_EXECUCAO" if rule.inc_month == "exec" else "i.DATA_BAIXA"
         same = "IS NOT DISTINCT FROM" if rule.null_safe else "="
@@ -226,21 +230,28 @@ FULL = reconciled()
 FIRST_RULE = reconciled(rules=WATERFALL[:1])
 
 VIEW_DAY = "1998-01-01"
+# Every increment of a report's unit and month is a candidate; how near it is
+# to the report, and then its total, ranks it.
 VIEW = f"""
-SELECT g."UC / MD", g.STATUS, g.DATA_EXECUCAO, g.COD, g.EQUIPE,
- coalesce(best.INC_TOTAL, 0) AS INC_TOTAL
-FROM ({duck(VIEW_REPORTS)}) g
-LEFT JOIN LATERAL (
- SELECT i.INC_TOTAL FROM ({{inc}}) i
- WHERE CAST(i.INSTALACAO AS VARCHAR) = g."UC / MD"
-   AND month(i.DATA_EXECUCAO) = month(g.DATA_EXECUCAO)
-   AND year(i.DATA_EXECUCAO) = year(g.DATA_EXECUCAO)
- ORDER BY CASE WHEN i.DATA_EXECUCAO = g.DATA_EXECUCAO
-                AND CAST(i.IRREGULARIDADE AS VARCHAR) = g.COD THEN 1
-               WHEN i.DATA_EXECUCAO = g.DATA_EXECUCAO THEN 2 ELSE 3 END, i.INC_TOTAL DESC
- LIMIT 1) best ON TRUE
-WHERE g.STATUS <> 'CANCELADO' AND g.REGIONAL = 'SUL' AND g.GRUPO = 'BT'
-  AND g.DATA_EXECUCAO >= DATE '{VIEW_DAY}'
+WITH asked AS (
+ SELECT *, row_number() OVER () AS ask, {month("DATA_EXECUCAO")} AS mes
+ FROM ({duck(VIEW_REPORTS)})
+ WHERE STATUS <> 'CANCELADO' AND REGIONAL = 'SUL' AND GRUPO = 'BT'
+   AND DATA_EXECUCAO >= DATE '{VIEW_DAY}'
+),
+offered AS (
+ SELECT CAST(INSTALACAO AS VARCHAR) AS uc, CAST(IRREGULARIDADE AS VARCHAR) AS code,
+  DATA_EXECUCAO AS dia, {month("DATA_EXECUCAO")} AS mes, INC_TOTAL FROM ({{inc}})
+),
+ranked AS (
+ SELECT ask, o.INC_TOTAL, row_number() OVER (PARTITION BY ask ORDER BY
+   (o.dia = a.DATA_EXECUCAO)::INT + (o.dia = a.DATA_EXECUCAO AND coalesce(o.code = a.COD, FALSE))::INT DESC,
+   o.INC_TOTAL DESC NULLS LAST) AS place
+ FROM asked a JOIN offered o ON o.uc = a."UC / MD" AND o.mes = a.mes
+)
+SELECT a."UC / MD", a.STATUS, a.DATA_EXECUCAO, a.COD, a.EQUIPE,
+ coalesce(r.INC_TOTAL, 0) AS INC_TOTAL
+FROM asked a LEFT JOIN ranked r ON r.ask = a.ask AND r.place = 1
 """
 
 REP = f"(SELECT *, {class_of('irregularidade')} AS classificacao FROM ({REPORTS}))"
@@ -258,7 +269,10 @@ def keep_first(keys, where=""):
 
 def oracle_sql():
     sql = {
-        "scan_project_rename": CLEAN_REPORTS,
+        "scan_project_rename": (
+            "SELECT * REPLACE (strftime(hora_exec_rep, '%Y-%m-%d %H:%M:%S.%g') AS hora_exec_rep)"
+            f" FROM ({CLEAN_REPORTS})"
+        ),
         "clean_dates": from_raw("NOTA", *DATES),
         "clean_int_zero": from_raw("NOTA", *INTEGERS),
         "clean_int_null": from_raw("NOTA", *MONTH_INTEGERS),
@@ -334,7 +348,7 @@ def oracle_sql():
         ),
         "snapshot_scan": SNAPSHOT,
         "daily_run": table_rows(
-            reconciled(inc=f"{CLEAN_INCREMENTS}", rep=CLEAN_REPORTS)
+            reconciled(inc=CLEAN_INCREMENTS, rep=CLEAN_REPORTS, order=_TIMED)
         ),
     }
     for name, rule in zip(RULE_NAMES, WATERFALL):

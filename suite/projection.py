@@ -13,13 +13,14 @@ CODE = """CASE {key} WHEN 0 THEN 109 WHEN 1 THEN 175 WHEN 2 THEN 201 WHEN 3 THEN
    WHEN 4 THEN 301 WHEN 5 THEN 307 WHEN 6 THEN 311 WHEN 7 THEN 999 ELSE 0 END"""
 
 REPORTS = f"""
-SELECT o_orderkey rep_id, o_custkey instalacao,
+SELECT o_orderkey rep_id,
+ CASE WHEN o_custkey%10=0 THEN o_custkey + 10000000 ELSE o_custkey END instalacao,
  CAST({CODE.format(key="o_orderkey % 8")} AS BIGINT) irregularidade,
  CASE WHEN o_orderkey%23=0 THEN NULL ELSE CAST(o_orderdate AS DATE) END data_exec_rep,
  CASE WHEN o_orderstatus='O' THEN NULL
       ELSE CAST(o_orderdate + INTERVAL 20 DAY AS DATE) END data_baixa_rep,
  CASE WHEN o_orderkey%17=0 THEN NULL ELSE o_orderpriority END equipe
-FROM orders WHERE o_custkey%10<>0
+FROM orders
 """
 
 _MONTHS = ",\n ".join(
@@ -58,7 +59,10 @@ SELECT o_orderkey rep_id,
       ELSE CAST({CODE.format(key="o_orderkey % 8")} AS STRING) END COD,
  CASE WHEN o_orderkey%23=0 THEN NULL WHEN o_orderkey%29=0 THEN '31/12/2025'
       WHEN o_orderkey%3=0 THEN CAST(CAST(o_orderdate AS DATE) AS STRING)
-      ELSE CAST(o_orderdate AS STRING) END DATA_EXECUCAO,
+      ELSE concat(CAST(CAST(o_orderdate AS DATE) AS STRING), CASE o_orderkey%7
+        WHEN 0 THEN 'T08:00:00' WHEN 1 THEN ' 17:30' WHEN 2 THEN ' 08:00:00.125'
+        WHEN 3 THEN 'T23:59:59.999' WHEN 4 THEN ' 00:00:00' ELSE ' 12:34:56' END)
+      END DATA_EXECUCAO,
  CASE WHEN o_orderstatus='O' THEN '' ELSE CAST(o_orderdate + INTERVAL 20 DAY AS STRING)
       END {{q}}DATA BAIXADO{{q}},
  CASE WHEN o_orderkey%17=0 THEN NULL ELSE o_orderpriority END EQUIPE
@@ -77,7 +81,9 @@ SELECT CASE WHEN l_linenumber=7 THEN NULL WHEN l_linestatus='O' THEN ' BAIXA TEN
       ELSE lpad(CAST(o_custkey AS STRING),10,'0') END INSTALACAO,
  CASE WHEN l_returnflag='A' THEN '' ELSE CAST(l_shipdate AS STRING) END DATA_EXECUCAO,
  CASE WHEN l_linenumber=6 THEN '31/12/2025'
-      ELSE CAST(l_shipdate + INTERVAL 20 DAY AS STRING) END DATA_BAIXA,
+      ELSE concat(CAST(CAST(l_shipdate + INTERVAL 20 DAY AS DATE) AS STRING),
+        CASE l_partkey%3 WHEN 0 THEN 'T07:08:09' WHEN 1 THEN ' 07:08:09.5' ELSE '' END)
+      END DATA_BAIXA,
  CASE l_suppkey % 6 WHEN 0 THEN ' C100 ' WHEN 1 THEN 'REGU' WHEN 2 THEN 'C200'
    WHEN 3 THEN 'NaN' WHEN 4 THEN NULL ELSE 'ACAO' END CLASSIFICACAO_IRREG,
  CASE WHEN l_partkey%9=8 THEN NULL

@@ -173,7 +173,9 @@ def daily_run(spark, sf_dir):
 
 def queries():
     registered = {
-        "scan_project_rename": lambda s, d: clean_reports(p.raw_reports(s, d), keep=TIES),
+        "scan_project_rename": lambda s, d: clean_reports(p.raw_reports(s, d), keep=TIES).withColumn(
+            "hora_exec_rep", F.date_format("hora_exec_rep", "yyyy-MM-dd HH:mm:ss.SSS")
+        ),
         "clean_dates": lambda s, d: clean_columns(s, d, lenient_date, DATE_COLUMNS),
         "clean_int_zero": lambda s, d: clean_columns(s, d, int_or_zero, INTEGER_COLUMNS),
         "clean_int_null": lambda s, d: clean_columns(s, d, lenient_int, MONTHS),

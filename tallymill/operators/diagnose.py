@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymill.functions.domain import code_class
-from tallymill.operators.lookup import NO_MONTH
-from tallymill.operators.reconcile import match
+from tallymill.operators.first_hit import best_hits, key_profile
+from tallymill.operators.lookup import NO_MONTH, NO_NUMBER
+from tallymill.operators.reconcile import KEYS, keyed, ways_to_reports
 from tallymill.plans.rules import WATERFALL, Rule
 
 _MATCH_INPUT = [
@@ -42,7 +43,7 @@ def _eligible(rule: Rule) -> str:
     month = f"_{rule.inc_month} <> {NO_MONTH}"
     if rule.by == "class":
         return month
-    return f"{month} AND coalesce(IRREGULARIDADE, 0) <> 0"
+    return f"{month} AND _code NOT IN (0, bigint('{NO_NUMBER}'))"
 
 
 def rule_metrics(
@@ -53,14 +54,19 @@ def rule_metrics(
 ) -> DataFrame:
     """Rows tried and resolved by each step of the waterfall, in one pass.
 
-    A step tries the eligible rows that no earlier step has matched.
+    A step tries the eligible rows that no earlier step has matched.  What a
+    row comes to depends on its keys alone, so the keys are counted and walked;
+    the rows themselves are not shuffled.
     """
-    found = match(increments.select(_MATCH_INPUT), reports, rules, tie_breakers)
+    profile = key_profile(keyed(increments.select(_MATCH_INPUT)), KEYS)
+    ways = ways_to_reports(reports.where("instalacao <> 0"), rules, tie_breakers)
+    found = best_hits(profile, ways)
     counts = []
     for step, rule in enumerate(rules, start=1):
         tried = f"coalesce(hit.step, {len(rules) + 1}) >= {step} AND {_eligible(rule)}"
-        counts.append(F.expr(f"count_if({tried})").alias(f"tried{step}"))
-        counts.append(F.expr(f"count_if(hit.step = {step})").alias(f"resolved{step}"))
+        for name, test in (("tried", tried), ("resolved", f"hit.step = {step}")):
+            rows = f"coalesce(sum(if({test}, _rows, 0)), 0)"
+            counts.append(F.expr(rows).alias(f"{name}{step}"))
     rows = ", ".join(
         f"named_struct('step', {step}, 'rule', '{rule.id}',"
         f" 'tried', tried{step}, 'resolved', resolved{step})"

@@ -9,10 +9,9 @@ time.  So the ways are walked on the distinct key combinations only:
 2. those narrow rows are joined to each lookup in turn, keeping the best hit;
 3. the facts meet the verdicts in one join - the only shuffle of wide rows.
 
-Hot key combinations are salted in step 3.  A key is hot when it owns more than
-``hot_rows`` rows and more than ``1 / hot_limit`` of all rows, so fewer than
-``hot_limit`` keys can be hot: the broadcast list is bounded by its definition,
-whatever the data.
+Every join is a left join of two plain shuffles, whose oversized partitions
+adaptive execution splits by map output, whatever their keys: rows of a key of
+any size are dealt out to as many tasks as their bytes ask for.
 """
 
 from collections.abc import Mapping, Sequence
@@ -21,9 +20,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
-HOT_LIMIT = 10_000
-
 
 @dataclass(frozen=True)
 class Way:
@@ -40,21 +36,13 @@ class Way:
     hit: str = "hit"
 
 
-def key_profile(
-    facts: DataFrame, keys: Sequence[str], hot_rows: int, hot_limit: int
-) -> DataFrame:
-    """Distinct keys and the number of salts each needs: 1 unless it is hot."""
-    counted = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    share = F.ceil(counted.agg(F.sum("_rows")).scalar() / hot_limit)
-    threshold = F.greatest(F.lit(hot_rows).cast("bigint"), share)
-    salts = F.when(
-        F.col("_rows") > threshold, F.ceil(F.col("_rows") / threshold)
-    ).otherwise(1)
-    return counted.select(*keys, salts.cast("int").alias("_salts"))
+def key_profile(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct keys, and ``_rows``, the number of facts that have them."""
+    return facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
 
 
 def best_hits(profile: DataFrame, ways: Sequence[Way]) -> DataFrame:
-    """``profile`` with the lowest-step ``hit`` of all ways; rows without are gone.
+    """``profile`` with the lowest-step ``hit`` of all ways, null without one.
 
     Both sides of each join may be large, and Spark cannot estimate what
     building a lookup does to its size, hence the merge hint: a small-looking
@@ -70,41 +58,16 @@ def best_hits(profile: DataFrame, ways: Sequence[Way]) -> DataFrame:
         )
         best = f"least(_best, {way.hit})" if "_best" in walked.columns else way.hit
         walked = walked.selectExpr(*kept, f"{best} AS hit")
-    return walked.where("hit IS NOT NULL")
-
+    return walked
 
-def salted_facts(facts: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Facts with a salt: 0, or for hot keys dealt out by input partition.
 
-    That needs no column beyond the keys, spreads equal copies of a row too,
-    and a task that runs again gives its rows the same salts as before.
-    """
-    salt = F.expr("if(_salts IS NULL, 0, pmod(spark_partition_id(), _salts))")
-    marked = facts.join(F.broadcast(hot), list(keys), "left")
-    return marked.withColumn("_salt", salt).drop("_salts")
-
-
-def join_verdicts(
-    facts: DataFrame, verdicts: DataFrame, hot: DataFrame, keys: Sequence[str]
-) -> DataFrame:
-    """Left join to at most one verdict per key; a hot key's is copied per salt."""
-    copies = F.expr("explode(if(_salts = 1, array(0), sequence(0, _salts - 1)))")
-    copied = verdicts.select(*keys, "hit", copies.alias("_salt")).hint("merge")
-    salted = salted_facts(facts, hot, keys)
-    return salted.join(copied, [*keys, "_salt"], "left").drop("_salt")
-
-
-def first_hit(
-    facts: DataFrame,
-    keys: Sequence[str],
-    ways: Sequence[Way],
-    hot_rows: int = HOT_ROWS,
-    hot_limit: int = HOT_LIMIT,
-) -> DataFrame:
+def first_hit(facts: DataFrame, keys: Sequence[str], ways: Sequence[Way]) -> DataFrame:
     """``facts`` plus the struct ``hit`` of the lowest step, null without a hit.
 
     ``keys`` are non-null columns of ``facts`` that decide the outcome.
     """
-    profile = key_profile(facts, keys, hot_rows, hot_limit)
-    hot = profile.where("_salts > 1")
-    return join_verdicts(facts, best_hits(profile, ways), hot, keys)
+    verdicts = best_hits(key_profile(facts, keys), ways).where("hit IS NOT NULL")
+    # One struct as the key: the verdicts then never keep the partitioning of a
+    # lookup's first key, so both sides are shuffles that can be split.
+    told = verdicts.select(F.struct(*keys).alias("_told"), "hit").hint("merge")
+    return facts.join(told, F.struct(*keys) == F.col("_told"), "left").drop("_told")

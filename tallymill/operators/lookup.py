@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 
 from tallymill.functions.domain import code_class, month_number
 from tallymill.plans.rules import Rule
-from tallymill.schema import CODE_CLASS
+from tallymill.schema import CODE_CLASS, EXEC_TIME
 
 # Key values that stand for "missing"; no real value equals them.
 NO_NUMBER = -(2**63)
 NO_MONTH = -1
-NO_CLASS = "<none>"
+NO_CLASS = ""  # a class that is there has a mark before it, see class_key
 
 # There are few classes, so the classes of a unit fit the bits of a number.
 _CLASSES = sorted(set(CODE_CLASS.values()))
@@ -37,17 +37,23 @@ def families(rules: Sequence[Rule]) -> list[Family]:
     return [Family(*key, tuple(steps)) for key, steps in grouped.items()]
 
 
-def keep_first_order(tie_breakers: Sequence[str] = ()) -> list[Column]:
+def keep_first_order(reports: DataFrame, tie_breakers: Sequence[str] = ()) -> list[Column]:
     """Ascending sort keys: newest execution first, dateless last, then ties.
 
-    Without tie-breakers the remaining report columns decide, so equal dates
-    give the same winner in every run.
+    Where the time of execution is known it counts, not the day alone.  Without
+    tie-breakers the remaining columns decide, so equal times give the same
+    winner in every run; of rows that differ in the team only, one with a team
+    is first.
     """
     order = ["data_exec_rep IS NULL", "-unix_date(data_exec_rep)"]
+    if EXEC_TIME in reports.columns:
+        seconds = f"extract(SECOND FROM {EXEC_TIME})"
+        order.append(f"-(hour({EXEC_TIME}) * 3600 + minute({EXEC_TIME}) * 60 + {seconds})")
     ties = tie_breakers or [
         "data_baixa_rep IS NULL",
         "-unix_date(data_baixa_rep)",
         "irregularidade",
+        "equipe IS NULL",
         "equipe",
     ]
     return [F.expr(c) for c in (*order, *ties)]
@@ -61,7 +67,7 @@ def keep_first(
     Spark limits each group on the map side before shuffling, so a hot key
     sends one row per task.
     """
-    order = [c.asc_nulls_first() for c in keep_first_order(tie_breakers)]
+    order = [c.asc_nulls_first() for c in keep_first_order(reports, tie_breakers)]
     window = Window.partitionBy(*keys).orderBy(*order)
     return (
         reports.withColumn("_rank", F.row_number().over(window))
@@ -77,7 +83,7 @@ def first_reports(reports: DataFrame, tie_breakers: Sequence[str] = ()) -> DataF
     can be the first of any rule's key.  Copies and hot units shrink here, on
     the map side, before reports are unfolded.
     """
-    order = [c.alias(f"o{i}") for i, c in enumerate(keep_first_order(tie_breakers))]
+    order = [c.alias(f"o{i}") for i, c in enumerate(keep_first_order(reports, tie_breakers))]
     return (
         reports.withColumn("irregularidade", F.expr("bigint(irregularidade)"))
         .select(
@@ -89,6 +95,10 @@ def first_reports(reports: DataFrame, tie_breakers: Sequence[str] = ()) -> DataF
         )
         .groupBy("unit", "code", "exec_month", "baixa_month")
         .agg(F.min("report").alias("report"))
+        # The code itself, as there always is a report.  Written like this, no
+        # lookup's filter or column list sinks below the shuffle, so all lookups
+        # read one shuffle of the reports instead of scanning them again each.
+        .withColumn("code", F.expr("if(report IS NULL, null, code)"))
     )
 
 
@@ -131,7 +141,8 @@ def family_lookup(reports: DataFrame, family: Family) -> DataFrame:
         )
         hits += f" WHEN first{step}.equipe IS NOT NULL THEN {hit}"
 
-    attr = F.expr("nullif(code, 0)") if family.by == "code" else code_class(F.col("code"))
+    by_code = family.by == "code"
+    attr = F.expr("nullif(code, 0)") if by_code else class_key(code_class(F.col("code")))
     if family.null_safe:
         attr = F.coalesce(attr, F.lit(NO_CLASS))
     return (
@@ -152,28 +163,33 @@ def family_lookup(reports: DataFrame, family: Family) -> DataFrame:
     )
 
 
-def class_bit(cls: str) -> str:
-    """SQL of the bit of a class, 0 for any other text."""
-    whens = " ".join(f"WHEN '{c}' THEN {1 << i}" for i, c in enumerate(_CLASSES))
-    return f"CASE {cls} {whens} ELSE 0 END"
+def class_key(cls: Column) -> Column:
+    """A class as a key: marked, so that no text equals the missing one."""
+    return F.concat(F.lit("="), cls)
 
 
-def unit_lookup(reports: DataFrame) -> DataFrame:
-    """Units of the report table, and the classes each has in any month."""
+def class_bit(key: str) -> str:
+    """SQL of the bit of a class key, 0 for any other text."""
+    whens = " ".join(f"WHEN '={c}' THEN {1 << i}" for i, c in enumerate(_CLASSES))
+    return f"CASE {key} {whens} ELSE 0 END"
+
+
+def unit_lookup(firsts: DataFrame) -> DataFrame:
+    """Units of the report table, and the classes each has in any month.
+
+    ``firsts`` are ``first_reports``, which hold every unit and code.
+    """
     return (
-        reports.select(
-            F.expr("bigint(instalacao) AS unit"),
-            code_class(F.expr("bigint(irregularidade)")).alias("class"),
-        )
+        firsts.select("unit", class_key(code_class(F.col("code"))).alias("class"))
         .groupBy("unit")
         .agg(F.expr(f"bit_or({class_bit('class')}) AS class_bits"))
     )
 
 
-def unit_code_lookup(reports: DataFrame, hit: str) -> DataFrame:
+def unit_code_lookup(firsts: DataFrame, hit: str) -> DataFrame:
     """Units and the codes each has in any month, with a fixed ``hit``."""
     return (
-        reports.selectExpr("bigint(instalacao) AS unit", "bigint(irregularidade) AS attr")
+        firsts.selectExpr("unit", "code AS attr")
         .where("attr IS NOT NULL")
         .distinct()
         .selectExpr("unit", "attr", f"{hit} AS hit")

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymill.operators.first_hit import HOT_LIMIT, HOT_ROWS, Way, first_hit
+from tallymill.operators.first_hit import Way, first_hit
 from tallymill.operators.lookup import (
     NO_CLASS,
     NO_MONTH,
@@ -45,11 +45,11 @@ _MONTHS = {"DATA_EXECUCAO": "_exec", "DATA_BAIXA": "_baixa"}
 KEYS = [key for key, _ in _KEYED.values()] + list(_MONTHS.values())
 
 
-def _keyed(increments: DataFrame) -> DataFrame:
+def keyed(increments: DataFrame) -> DataFrame:
     kept = [f"`{c}`" for c in increments.columns if c not in _KEYED]
     keys = []
     for name, (key, missing) in _KEYED.items():
-        typed = name if name == "CLASSIFICACAO_IRREG" else f"bigint({name})"
+        typed = f"concat('=', {name})" if key == "_class" else f"bigint({name})"
         keys.append(f"coalesce({typed}, {missing}) AS {key}")
     for name, key in _MONTHS.items():
         keys.append(f"coalesce(year({name}) * 12 + month({name}), {NO_MONTH}) AS {key}")
@@ -58,11 +58,14 @@ def _keyed(increments: DataFrame) -> DataFrame:
 
 def _restored(found: DataFrame) -> DataFrame:
     """The columns back under their names, with nulls where they were."""
-    back = [f"nullif({key}, {missing}) AS {name}" for name, (key, missing) in _KEYED.items()]
+    back = []
+    for name, (key, missing) in _KEYED.items():
+        value = f"nullif({key}, {missing})"
+        back.append(f"{f'substring({value}, 2)' if key == '_class' else value} AS {name}")
     return found.selectExpr("*", *back)
 
 
-def _ways(reports: DataFrame, rules: Sequence[Rule], tie_breakers: Sequence[str]) -> list[Way]:
+def ways_to_reports(reports: DataFrame, rules: Sequence[Rule], tie_breakers: Sequence[str]) -> list[Way]:
     firsts = first_reports(reports, tie_breakers)
     ways = [
         Way(
@@ -75,9 +78,9 @@ def _ways(reports: DataFrame, rules: Sequence[Rule], tie_breakers: Sequence[str]
     same_class = f"if(class_bits & {class_bit('_class')} <> 0, {n + 2}, {n + 3})"
     known_unit = f"if(class_bits IS NOT NULL, {hit_struct(same_class)}, null)"
     known_code = hit_struct(str(n + 1))
-    ways.append(Way(unit_lookup(reports), {"unit": "_unit"}, known_unit))
+    ways.append(Way(unit_lookup(firsts), {"unit": "_unit"}, known_unit))
     ways.append(
-        Way(unit_code_lookup(reports, known_code), {"unit": "_unit", "attr": "_code"})
+        Way(unit_code_lookup(firsts, known_code), {"unit": "_unit", "attr": "_code"})
     )
     return ways
 
@@ -87,22 +90,21 @@ def match(
     reports: DataFrame,
     rules: Sequence[Rule] = WATERFALL,
     tie_breakers: Sequence[str] = (),
-    hot_rows: int = HOT_ROWS,
-    hot_limit: int = HOT_LIMIT,
 ) -> DataFrame:
     """Increments with their keys and ``hit``: the step reached and its report.
 
     Steps up to ``len(rules)`` are rules; the next three mean that the report
     table knows the unit with this code, with this class, or at all.
+
+    Unit 0 stands for a missing or unreadable unit, and cleaned reports never
+    have it.  Such increments have no hit and are not shuffled.
     """
-    found = first_hit(
-        _keyed(increments),
-        KEYS,
-        _ways(reports, rules, tie_breakers),
-        hot_rows,
-        hot_limit,
-    )
-    return _restored(found)
+    facts = keyed(increments)
+    nowhere = f"_unit IN (0, {_KEYED['INSTALACAO'][1]})"
+    ways = ways_to_reports(reports.where("instalacao <> 0"), rules, tie_breakers)
+    found = first_hit(facts.where(f"NOT {nowhere}"), KEYS, ways)
+    missed = facts.where(nowhere).withColumn("hit", F.lit(None).cast(found.schema["hit"].dataType))
+    return _restored(found.unionByName(missed))
 
 
 def reconcile(
@@ -110,8 +112,6 @@ def reconcile(
     reports: DataFrame,
     rules: Sequence[Rule] = WATERFALL,
     tie_breakers: Sequence[str] = (),
-    hot_rows: int = HOT_ROWS,
-    hot_limit: int = HOT_LIMIT,
 ) -> DataFrame:
     """All increments, matched or not, with team, rule and pending reason.
 
@@ -119,7 +119,7 @@ def reconcile(
     was 0, both from the winning report; class and months stay as they were.
     One report may serve many increments.
     """
-    found = match(increments, reports, rules, tie_breakers, hot_rows, hot_limit)
+    found = match(increments, reports, rules, tie_breakers)
     n = len(rules)
     matched = f"coalesce(hit.step <= {n}, false)"
     ids = ", ".join(f"'{r.id}'" for r in rules)

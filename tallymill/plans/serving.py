@@ -6,14 +6,15 @@ largest among equals, and 0 when there is none.  Unit and code are compared as
 text, so zero-padded text does not match.  One increment may serve many report
 rows: a sum over the view can count it more than once.
 
-Increments are reduced to their largest total per unit and day+code, day, or
-month before any join, so no pairs within a unit are ever formed.
+Increments are reduced to their largest total per unit, day and code before any
+join, those to the largest per day, and those per month, so increments are read
+once, from the month of the first day on, and no pairs within a unit are formed.
 """
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymill.operators.first_hit import HOT_LIMIT, HOT_ROWS, Way, first_hit
+from tallymill.operators.first_hit import Way, first_hit
 
 # --- Fixed values -----------------------------------------------------------
 VIEW_FILTER = "STATUS <> 'CANCELADO' AND REGIONAL = 'SUL' AND GRUPO = 'BT'"
@@ -24,21 +25,8 @@ VIEW_COLUMNS = ["UC / MD", "STATUS", "DATA_EXECUCAO", "COD", "EQUIPE"]
 _NO_CODE = "<none>"
 _KEYS = ["_unit", "_day", "_month", "_code"]
 
-# How a report and an increment may meet, best first.
-_MEETINGS = (
-    ("unit", "day", "code"),
-    ("unit", "day"),
-    ("unit", "month"),
-)
 
-
-def best_match(
-    reports: DataFrame,
-    increments: DataFrame,
-    since: str = VIEW_SINCE,
-    hot_rows: int = HOT_ROWS,
-    hot_limit: int = HOT_LIMIT,
-) -> DataFrame:
+def best_match(reports: DataFrame, increments: DataFrame, since: str = VIEW_SINCE) -> DataFrame:
     """The filtered reports with the total of their best increment."""
     wanted = reports.where(f"{VIEW_FILTER} AND DATA_EXECUCAO >= DATE '{since}'")
     facts = wanted.selectExpr(
@@ -48,23 +36,33 @@ def best_match(
         "trunc(DATA_EXECUCAO, 'MM') AS _month",
         f"coalesce(COD, '{_NO_CODE}') AS _code",
     )
-    offers = increments.selectExpr(
-        "string(INSTALACAO) AS unit",
-        "DATA_EXECUCAO AS day",
-        "trunc(DATA_EXECUCAO, 'MM') AS month",
-        "string(IRREGULARIDADE) AS code",
-        "INC_TOTAL AS total",
-    )
-    ways = []
-    for step, columns in enumerate(_MEETINGS, start=1):
-        lookup = (
-            offers.dropna(subset=columns)
-            .groupBy(*columns)
-            .agg(F.max("total").alias("total"))
-            .selectExpr(*columns, f"named_struct('step', {step}, 'total', total) AS hit")
+    offers = (
+        increments.where(f"DATA_EXECUCAO >= trunc(DATE '{since}', 'MM')")
+        .selectExpr(
+            "string(INSTALACAO) AS unit",
+            "DATA_EXECUCAO AS day",
+            "string(IRREGULARIDADE) AS code",
+            "INC_TOTAL AS total",
         )
-        ways.append(Way(lookup, {c: f"_{c}" for c in columns}))
-    found = first_hit(facts, _KEYS, ways, hot_rows, hot_limit)
+        .where("unit IS NOT NULL")
+    )
+
+    def largest(rows: DataFrame, *columns: str) -> DataFrame:
+        return rows.groupBy(*columns).agg(F.max("total").alias("total"))
+
+    def way(step: int, rows: DataFrame, *columns: str) -> Way:
+        hit = f"named_struct('step', {step}, 'total', total) AS hit"
+        return Way(rows.selectExpr(*columns, hit), {c: f"_{c}" for c in columns})
+
+    by_code = largest(offers, "unit", "day", "code")
+    by_day = largest(by_code, "unit", "day")
+    by_month = largest(by_day.selectExpr("unit", "trunc(day, 'MM') AS month", "total"), "unit", "month")
+    ways = [
+        way(1, by_code.where("code IS NOT NULL"), "unit", "day", "code"),
+        way(2, by_day, "unit", "day"),
+        way(3, by_month, "unit", "month"),
+    ]
+    found = first_hit(facts, _KEYS, ways)
     return found.selectExpr(
         *[f"`{c}`" for c in VIEW_COLUMNS], "coalesce(hit.total, 0) AS INC_TOTAL"
     )
@@ -73,14 +71,13 @@ def best_match(
 def serving_view_sql(reports: str, increments: str, since: str = VIEW_SINCE) -> str:
     """The same result as SQL text over two tables."""
     return f"""
-WITH increment AS (
-  SELECT string(INSTALACAO) unit, DATA_EXECUCAO day, trunc(DATA_EXECUCAO, 'MM') month,
-         string(IRREGULARIDADE) code, INC_TOTAL total
-  FROM {increments} WHERE DATA_EXECUCAO IS NOT NULL
+WITH by_code AS (
+  SELECT string(INSTALACAO) unit, DATA_EXECUCAO day, string(IRREGULARIDADE) code,
+         max(INC_TOTAL) total, true found
+  FROM {increments} WHERE DATA_EXECUCAO >= trunc(DATE '{since}', 'MM') GROUP BY 1, 2, 3
 ),
-by_code AS (SELECT unit, day, code, max(total) total, true found FROM increment GROUP BY ALL),
-by_day AS (SELECT unit, day, max(total) total, true found FROM increment GROUP BY ALL),
-by_month AS (SELECT unit, month, max(total) total FROM increment GROUP BY ALL)
+by_day AS (SELECT unit, day, max(total) total, true found FROM by_code GROUP BY 1, 2),
+by_month AS (SELECT unit, trunc(day, 'MM') month, max(total) total FROM by_day GROUP BY 1, 2)
 SELECT g.`UC / MD`, g.STATUS, g.DATA_EXECUCAO, g.COD, g.EQUIPE,
        coalesce(CASE WHEN by_code.found THEN by_code.total
                      WHEN by_day.found THEN by_day.total

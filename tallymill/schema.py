@@ -66,6 +66,9 @@ MISSING_CELLS = [
 MISSING_TEXTS = ["nan", "None", "NaN"]
 # --- End of fixed values ----------------------------------------------------
 
+# Time of data_exec_rep, by which reports of one day are ordered.
+EXEC_TIME = "hora_exec_rep"
+
 DATE_COLUMNS = ["DATA_EXECUCAO", "DATA_BAIXA"]
 INTEGER_COLUMNS = ["INSTALACAO", "CMPT", "IRREGULARIDADE", "INC_TOTAL"]
 TEXT_COLUMNS = ["GRUPO", "PROJETO", "NOTA", "CLASSIFICACAO_IRREG"]

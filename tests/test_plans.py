@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from suite import projection
-from tallymill.operators.first_hit import join_verdicts, key_profile, salted_facts
+from tallymill.operators.diagnose import rule_metrics
 from tallymill.operators.reconcile import match, reconcile
-from tallymill.plans.serving import best_match
+from tests.frames import inc, increments, rep, reports
+from tallymill.plans.serving import best_match, serving_view_sql
 
 
 def plan_of(df):
@@ -22,11 +23,30 @@ def flagship(spark, sf_dir):
 
 
 def test_wide_rows_are_shuffled_once(flagship):
-    widest = [
-        line for line in plan_of(flagship).splitlines()
-        if "Exchange hashpartitioning" in line and "_salt" in line
-    ]
-    assert len(widest) == 2  # facts, and verdicts to meet them
+    """By all keys, as one; the verdicts meet them there."""
+    plan = plan_of(flagship)
+    assert len(re.findall(r"Exchange hashpartitioning\(struct\(_unit|Exchange hashpartitioning\(_told", plan)) == 2
+
+
+def test_reports_are_scanned_once(spark, sf_dir):
+    """At run time: equal shuffles are reused, so one scan feeds all lookups."""
+    result = reconcile(projection.increments(spark, sf_dir), projection.reports(spark, sf_dir))
+    result.write.format("noop").mode("overwrite").save()
+    result.collect()
+    final = plan_of(result).split("== Initial Plan ==")[0]
+    scans = [x for x in final.splitlines() if "FileScan" in x and "o_orderpriority" in x]
+    assert len(scans) == 1
+
+
+def test_rule_metrics_shuffle_no_facts(spark, sf_dir):
+    """Facts are counted per key in the map tasks, before the first exchange."""
+    incs, reps = projection.increments(spark, sf_dir), projection.reports(spark, sf_dir)
+    plan = plan_of(rule_metrics(incs, reps))
+    for line in plan.splitlines():
+        assert "NOTA" not in line or "Exchange" not in line
+    assert len(re.findall(r"partial_count\(1\)", plan)) == 1
+    joins = re.findall(r"SortMergeJoin \[_unit[^\]]*\]", plan)
+    assert joins and all("_baixa" not in j or "_exec" not in j for j in joins)
 
 
 def test_no_cross_join_and_no_python(flagship, spark, sf_dir):
@@ -36,19 +56,11 @@ def test_no_cross_join_and_no_python(flagship, spark, sf_dir):
         assert "Python" not in plan and "Pandas" not in plan
 
 
-def test_only_the_hot_key_list_is_broadcast(spark):
-    """On inputs without a join of their own; the list is bounded by definition."""
-    rows = spark.range(1000).selectExpr(
-        "id AS INSTALACAO", "id AS IRREGULARIDADE", "'x' AS CLASSIFICACAO_IRREG",
-        "current_date() AS DATA_EXECUCAO", "current_date() AS DATA_BAIXA",
-    )
-    reps = spark.range(1000).selectExpr(
-        "id AS instalacao", "id AS irregularidade", "current_date() AS data_exec_rep",
-        "current_date() AS data_baixa_rep", "'T' AS equipe",
-    )
-    plan = plan_of(match(rows, reps))
-    broadcasts = re.findall(r"BroadcastHashJoin \[([^\]]*)\]", plan)
-    assert len(broadcasts) == 1 and "_unit" in broadcasts[0]
+def test_nothing_is_broadcast(spark):
+    """On inputs without a join of their own."""
+    incs, reps = increments(spark, inc()), reports(spark, rep())
+    plan = plan_of(match(incs, reps))
+    assert "Broadcast" not in plan
 
 
 def test_scans_read_needed_columns_only(spark, sf_dir):
@@ -72,14 +84,53 @@ def test_filters_reach_the_scan(spark, tmp_path):
         assert column in pushed
 
 
-def test_a_hot_key_is_spread(spark):
-    """One key owns all rows, all rows alike: every partition gets a share."""
-    facts = spark.range(0, 4000, 1, 16).selectExpr("1 AS k", "'same' AS v")
-    profile = key_profile(facts, ["k"], 100, 10)
-    assert profile.first()["_salts"] == 10  # a tenth of all rows is the bound here
-    verdicts = profile.withColumn("hit", F.expr("named_struct('step', 1)"))
-    hot = profile.where("_salts > 1")
-    joined = join_verdicts(facts, verdicts, hot, ["k"])
-    assert joined.where("hit.step = 1").count() == 4000
-    salted = salted_facts(facts, hot, ["k"]).groupBy("_salt").count()
-    assert salted.agg(F.max("count")).first()[0] == 500  # two of 16 partitions
+def test_view_reads_increments_once_and_not_before_the_month(spark, tmp_path):
+    reps, incs = str(tmp_path / "reports"), str(tmp_path / "incs")
+    spark.sql(
+        "SELECT '1' `UC / MD`, '109' COD, DATE '2026-01-15' DATA_EXECUCAO, 'E' EQUIPE,"
+        " 'OK' STATUS, 'SUL' REGIONAL, 'BT' GRUPO"
+    ).write.parquet(reps)
+    increments(spark, inc(exec="2026-01-05")).write.parquet(incs)
+    spark.sql(f"CREATE OR REPLACE TEMP VIEW plan_r AS SELECT * FROM parquet.`{reps}`")
+    spark.sql(f"CREATE OR REPLACE TEMP VIEW plan_i AS SELECT * FROM parquet.`{incs}`")
+    day = "2026-01-10"
+    frames = (
+        best_match(spark.read.parquet(reps), spark.read.parquet(incs), day),
+        spark.sql(serving_view_sql("plan_r", "plan_i", day)),
+    )
+    for frame in frames:
+        assert [r["INC_TOTAL"] for r in frame.collect()] == [5]
+        final = plan_of(frame).split("== Initial Plan ==")[0]
+        scans = [x for x in final.splitlines() if "FileScan" in x and "INC_TOTAL" in x]
+        assert len(scans) == 1
+        assert "GreaterThanOrEqual(DATA_EXECUCAO,2026-01-01)" in scans[0]
+
+
+@pytest.mark.parametrize("all_keys", ["true", "false"])
+def test_a_hot_key_is_split(spark, tmp_path, all_keys):
+    """One key owns most rows; no task of the final join gets all of them,
+    whichever way joins may share a partitioning."""
+    conf = {
+        "spark.sql.requireAllClusterKeysForCoPartition": all_keys,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    rows = [inc(7, 109, "2026-01-05", nota=str(n) * 20) for n in range(4000)]
+    rows += [inc(n, 109, "2026-01-05") for n in range(10, 400)]
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        incs = increments(spark, *rows).repartition(16)
+        incs.write.parquet(str(tmp_path / "incs"))
+        incs = spark.read.parquet(str(tmp_path / "incs"))
+        result = reconcile(incs, reports(spark, rep(7, exec="2026-01-05")))
+        result.write.parquet(str(tmp_path / "out"))
+        files = spark.read.parquet(str(tmp_path / "out")).groupBy(F.input_file_name()).count()
+        assert files.agg(F.max("count")).first()[0] <= 2000
+        assert files.agg(F.sum("count")).first()[0] == 4390
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

@@ -57,5 +57,6 @@ def test_reports_from_table_and_path(spark, tmp_path):
     assert by_path.collect() == by_table.collect()
     assert by_path.columns == [
         "instalacao", "irregularidade", "data_exec_rep", "data_baixa_rep", "equipe",
+        "hora_exec_rep",
     ]
     assert "REGIONAL" not in by_path._jdf.queryExecution().executedPlan().toString()

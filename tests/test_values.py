@@ -1,16 +1,19 @@
 """Cleaning of single values, and the column contract."""
 
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tallymill.functions.domain import code_class, month_number, month_start, previous_month
 from tallymill.functions.values import (
+    ISO_DATE,
     clean_text,
     int_or_zero,
     lenient_date,
+    lenient_instant,
     lenient_int,
     strict_int,
     unit_id,
@@ -31,8 +34,42 @@ def test_dates(spark):
     assert apply(spark, lenient_date, texts) == [d, d, d, None, None, None, None]
 
 
+def test_iso_forms_of_a_time(spark):
+    texts = {
+        "2026-01-06 08:00:00.123": (8, 0, 0, 123000),
+        "2026-01-06T08:00:00": (8, 0, 0),
+        "2026-01-06 08:00": (8, 0),
+        " 2026-01-06T23:30:00.000001Z ": (23, 30, 0, 1),
+        "2026-01-06T23:30:00-03:00": (23, 30),  # as written, whatever the offset
+        "2026-01-06 23:30:00 +0530": (23, 30),
+        "2026-01-06": (0, 0),
+    }
+    want = [datetime(2026, 1, 6, *time) for time in texts.values()]
+    assert apply(spark, lenient_instant, texts) == want
+    assert apply(spark, lenient_date, texts) == [date(2026, 1, 6)] * len(texts)
+    junk = ["2026-01-06T", "2026-01-06 25:00:00", "2026-1-6", "2026-01-06 08", "2026-01-06-03:00"]
+    assert apply(spark, lenient_instant, junk) == [None] * len(junk)
+
+
+def test_typed_dates_are_taken_as_they_are(spark):
+    raw = spark.sql(
+        "SELECT '7' `UC / MD`, 109 COD, TIMESTAMP'2026-01-06 08:00:00.123' DATA_EXECUCAO,"
+        " DATE'2026-01-20' `DATA BAIXADO`, 'T' EQUIPE"
+    )
+    row = clean_reports(raw).first()
+    assert (row["data_exec_rep"], row["data_baixa_rep"]) == (date(2026, 1, 6), date(2026, 1, 20))
+    assert row["hora_exec_rep"] == datetime(2026, 1, 6, 8, 0, 0, 123000)
+
+
+def test_unread_dates_are_counted(spark):
+    raw = raw_increment(spark, DATA_EXECUCAO="31/12/2025", DATA_BAIXA=" ")
+    seen = Observation()
+    clean_increment(raw, seen=seen).collect()
+    assert seen.get == {"unread DATA_EXECUCAO": 1, "unread DATA_BAIXA": 0}
+
+
 def test_dates_with_another_format(spark):
-    formats = ("yyyy-MM-dd[ HH:mm:ss]", "dd/MM/yyyy")
+    formats = (ISO_DATE, "dd/MM/yyyy")
     got = apply(spark, lambda c: lenient_date(c, formats), ["31/12/2025", "2025-12-31", "x"])
     assert got == [date(2025, 12, 31), date(2025, 12, 31), None]
 
@@ -130,4 +167,6 @@ def test_clean_reports_drops_rows_without_unit(spark):
     ]
     names = "`UC / MD` string, COD string, DATA_EXECUCAO string, `DATA BAIXADO` string, EQUIPE string"
     got = clean_reports(spark.createDataFrame(rows, names)).collect()
-    assert [tuple(r) for r in got] == [(12, 109, date(2026, 1, 2), None, "T")]
+    assert [tuple(r) for r in got] == [
+        (12, 109, date(2026, 1, 2), None, "T", datetime(2026, 1, 2))
+    ]
