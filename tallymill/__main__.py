@@ -1,26 +1,64 @@
 """Daily run from the command line.
 
-    spark-submit -m tallymill SNAPSHOT_FOLDER REPORT_TABLE ROOT
+    spark-submit -m tallymill SNAPSHOT_FOLDER REPORT_TABLE ROOT [options]
 """
 
 import argparse
 
 from pyspark.sql import SparkSession
 
+from tallymill.functions.values import DATE_FORMATS
 from tallymill.plans.daily import run_daily
+from tallymill.plans.serving import VIEW_SINCE, create_serving_view
+from tallymill.schema import GROUP_TABLE
+from tallymill.session import SETTINGS
+from tallymill.sinks.publish import LAYOUTS, STRATEGIES, drop_dead
 from tallymill.sources.reports import read_reports
 
 
-def main() -> None:
+def arguments(given: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="tallymill", description=__doc__)
     parser.add_argument("snapshot_folder")
     parser.add_argument("report_table")
     parser.add_argument("root", help="folder of published tables and pending rows")
-    args = parser.parse_args()
-    spark = SparkSession.builder.appName("tallymill").getOrCreate()
-    reports = read_reports(spark, table=args.report_table)
-    for name, count in run_daily(spark, args.snapshot_folder, reports, args.root).items():
+    parser.add_argument("--strategy", choices=STRATEGIES, default="replace")
+    parser.add_argument("--layout", choices=LAYOUTS, default="sorted")
+    parser.add_argument("--on-fraction", choices=("fail", "null"), default="fail")
+    parser.add_argument("--date-format", action="append", help="tried in order; 'iso' or a pattern")
+    parser.add_argument("--tie-breaker", action="append", default=[], help="column of the reports")
+    parser.add_argument("--multi-line", action="store_true", help="cells may hold line breaks")
+    parser.add_argument("--pending-format", default="parquet")
+    parser.add_argument("--view", help="name of a serving view to make on the first table")
+    parser.add_argument("--view-since", default=VIEW_SINCE)
+    parser.add_argument("--drop-dead", action="store_true", help="remove snapshots no table uses")
+    return parser.parse_args(given)
+
+
+def main() -> None:
+    args = arguments()
+    spark = SparkSession.builder.appName("tallymill").config(map=SETTINGS).getOrCreate()
+    reports = read_reports(spark, table=args.report_table, keep=args.tie_breaker)
+    counts = run_daily(
+        spark,
+        args.snapshot_folder,
+        reports,
+        args.root,
+        tie_breakers=args.tie_breaker,
+        on_fraction=args.on_fraction,
+        date_formats=args.date_format or DATE_FORMATS,
+        strategy=args.strategy,
+        layout=args.layout,
+        multi_line=args.multi_line,
+        pending_source=args.pending_format,
+    )
+    for name, count in counts.items():
         print(f"{name}: {count}")
+    if args.view:
+        first = next(iter(GROUP_TABLE.values()))
+        create_serving_view(spark, args.report_table, first, args.view, args.view_since)
+    if args.drop_dead:
+        for path in drop_dead(spark, f"{args.root}/tables", GROUP_TABLE.values()):
+            print(f"removed: {path}")
 
 
 if __name__ == "__main__":

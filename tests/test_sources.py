@@ -1,6 +1,8 @@
 """Drop folder and report table."""
 
 import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 
 from tallymill.sources.reports import read_reports
 from tallymill.sources.snapshot import newest_snapshot, read_snapshot
@@ -29,6 +31,9 @@ def test_words_for_missing_can_be_kept(spark, tmp_path):
 def test_newest_name_wins_whatever_its_format(spark, tmp_path):
     put(tmp_path, "2026-01-01.csv", "A\n1\n")
     put(tmp_path / "2026-01-03.csv", "part-0.csv", "A\n3\n")
+    put(tmp_path / "2026-01-03.csv", "_SUCCESS", "")
+    put(tmp_path / "2026-01-08.csv", "part-0.csv", "A\n8\n")  # not finished
+    put(tmp_path / "older" / "2026-02-01.csv", "part-0.csv", "A\n7\n")
     put(tmp_path, "2026-01-02.csv", "A\n2\n")
     put(tmp_path, "2026-01-09.txt", "A\n9\n")
     assert read_snapshot(spark, str(tmp_path)).first()["A"] == "3"
@@ -46,6 +51,35 @@ def test_folder_without_snapshot(spark, tmp_path):
         read_snapshot(spark, str(tmp_path / "nowhere"))
 
 
+def parts(folder, *texts):
+    for n, text in enumerate(texts):
+        put(folder / "day.csv", f"part-{n}.csv", text)
+    put(folder / "day.csv", "_SUCCESS", "")
+
+
+def test_parts_with_another_header_stop_the_run(spark, tmp_path):
+    parts(tmp_path, "A,B\n1,2\n", "B,A\n3,4\n")
+    with pytest.raises((PySparkException, Py4JJavaError), match="header does not conform"):
+        read_snapshot(spark, str(tmp_path)).collect()
+
+
+def test_parts_with_one_header_are_read_together(spark, tmp_path):
+    parts(tmp_path, "A,B\n1,2\n", 'A,B\n"3",\n')
+    assert {tuple(r) for r in read_snapshot(spark, str(tmp_path)).collect()} == {("1", "2"), ("3", None)}
+
+
+@pytest.mark.parametrize("rows", ['1,"two\nlines"', "1", "1,2,3"])
+def test_torn_rows_stop_the_run(spark, tmp_path, rows):
+    put(tmp_path, "day.csv", f"A,B\n0,0\n{rows}\n")
+    with pytest.raises(PySparkException, match="number of cells"):
+        read_snapshot(spark, str(tmp_path)).select("A").collect()
+
+
+def test_cells_with_line_breaks(spark, tmp_path):
+    put(tmp_path, "day.csv", 'A,B\n1,"two\nlines"\n')
+    assert read_snapshot(spark, str(tmp_path), multi_line=True).first() == ("1", "two\nlines")
+
+
 def test_reports_from_table_and_path(spark, tmp_path):
     path = str(tmp_path / "reports")
     spark.sql(
