@@ -145,8 +145,21 @@ def serving_view(spark, sf_dir):
     return spark.read.table(view)
 
 
+_DROPPED = {}
+
+
 def drop_snapshots(spark, sf_dir):
-    """A drop folder with an older and a newer snapshot."""
+    """A drop folder with an older and a newer snapshot, written once a session.
+
+    Reading a folder is what is tested; writing it is the fixture's part.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _DROPPED:
+        _DROPPED[key] = _write_snapshots(spark, sf_dir)
+    return _DROPPED[key]
+
+
+def _write_snapshots(spark, sf_dir):
     folder = shared_folder(spark, "input")
     raw = p.raw_increments(spark, sf_dir)
     for name, rows in (("2026-01-01", raw.select("NOTA")), ("2026-01-02", raw)):

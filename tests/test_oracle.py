@@ -44,5 +44,19 @@ def test_query(spark, duck, sf_dir, name):
     assert rows
 
 
+@pytest.mark.parametrize(
+    "name", ["clean_increment", "scan_project_rename", "reconcile", "rule_metrics", "best_match_view"]
+)
+def test_query_with_generated_code(spark, duck, sf_dir, name):
+    """The other tests run interpreted, as compiling dominates there."""
+    whole_stage = "spark.sql.codegen.wholeStage"
+    before = spark.conf.get(whole_stage)
+    spark.conf.set(whole_stage, "true")
+    try:
+        test_query(spark, duck, sf_dir, name)
+    finally:
+        spark.conf.set(whole_stage, before)
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).count() == 6000
