@@ -11,11 +11,11 @@ was copied most; a candidate is therefore a link as well if the similarity
 reaches THRESHOLD with all weights equal.
 
 Documents of equal word sequences are one class from the start, so groups of
-copies of any size are a single candidate.  A bucket of a band is not unfolded
-into pairs: in each round some of its members are pivots and are compared with
-those members that are not known to be connected to them, and leave the bucket.
-The number of pivots doubles from round to round, so a bucket is done after a
-logarithm of its size at most, and much earlier where its members are alike.
+copies of any size are a single candidate.  A bucket of a band is compared in
+tiles of at most 2 * BLOCK documents, each within one task, which reports no more
+links than connect what is linked.  Members of a larger bucket first meet a few
+pivots; those found connected to one another need not meet any more, so a large
+group of near copies costs few tiles.
 
 The document frequency of a shingle counts all documents.  It is told exactly
 for shingles in more than a share FREQUENT of them, at most (shingles per
@@ -48,8 +48,10 @@ FREQUENT = 1 / 500
 SEED = 811
 TABLE = 1 << 16
 CHUNK = 1 << 22  # shingles that are counted at a time
-BLOCK = 1 << 15  # shingles that are sampled at a time
+SAMPLED = 1 << 15  # shingles that are sampled at a time
 DOCUMENTS_PER_TASK = 8192
+BLOCK = 512  # documents of a bucket that are compared in one task
+PIVOTS = 4
 
 SIGNED_SCHEMA = "doc_id long, print binary, bands array<long>"
 
@@ -228,7 +230,7 @@ def signed(documents: DataFrame, known: Frequencies) -> DataFrame:
                     np.unique(shingle_hashes(words, SHINGLE), return_counts=True)
                 )
                 size += len(sets[-1][0])
-                if size >= BLOCK:
+                if size >= SAMPLED:
                     flush()
                     size = 0
             flush()
@@ -248,99 +250,216 @@ def signed(documents: DataFrame, known: Frequencies) -> DataFrame:
 # Candidates and links ------------------------------------------------------
 
 
-def similarities(known: Frequencies, one: tuple, other: tuple) -> tuple[float, float]:
-    """Of two (distinct shingles, counts): sum of minima over sum of maxima,
-    once with TF-IDF weights and once with all weights equal."""
-    (a, n), (b, m) = one, other
-    if not len(a) or not len(b):
-        return 0.0, 0.0
-    _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    least = float((np.minimum(n[i], m[j]) * known.of(a[i])).sum())
-    most = float((n * known.of(a)).sum() + (m * known.of(b)).sum()) - least
-    return least / most, len(i) / (len(a) + len(b) - len(i))
+def elements(known: Frequencies, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A text's weighted set: hashes, weights, and which are first occurrences.
 
+    The k-th occurrence of a shingle is an element of its own, so the weight two
+    texts share is that of their common elements.
+    """
+    found, counts = shingles(text)
+    nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    hashes = np.repeat(found, counts)
+    own = np.where(nth > 0, mixed(hashes + nth.astype(np.uint64)), hashes)
+    return own, np.repeat(known.of(found), counts), nth == 0
+
+
+class Tile:
+    """Documents that are compared with each other, and what is linked so far."""
+
+    def __init__(self, known: Frequencies, texts: list[str], labels: list):
+        sets = [elements(known, t) for t in texts]
+        self.n = len(sets)
+        self.document = np.repeat(np.arange(self.n), [len(s[0]) for s in sets])
+        hashes, weights, first = (np.concatenate(x) for x in zip(*sets))
+        # A list of documents per element: those of element e stand at
+        # listed[begin[e]:begin[e + 1]].
+        distinct, element = np.unique(hashes, return_inverse=True)
+        order = np.argsort(element, kind="stable")
+        self.listed = self.document[order]
+        self.begin = np.searchsorted(element[order], np.arange(len(distinct) + 1))
+        self.element, self.weights, self.first = element, weights, first
+        self.ends = np.searchsorted(self.document, np.arange(self.n + 1))
+        self.weight = np.bincount(self.document, weights, self.n)
+        self.size = np.bincount(self.document, first, self.n)
+        _, self.root = np.unique(np.asarray(labels), return_inverse=True)
+
+    def partners(self, i: int) -> np.ndarray:
+        """Documents that reach THRESHOLD with document i, by either weight."""
+        own = slice(self.ends[i], self.ends[i + 1])
+        starts = self.begin[self.element[own]]
+        lengths = self.begin[self.element[own] + 1] - starts
+        within = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        others = self.listed[np.repeat(starts, lengths) + within]
+        shared = np.bincount(others, np.repeat(self.weights[own], lengths), self.n)
+        alike = np.bincount(others, np.repeat(self.first[own], lengths), self.n)
+        weighted = shared / (self.weight[i] + self.weight - shared)
+        plain = alike / (self.size[i] + self.size - alike)
+        return np.flatnonzero(np.maximum(weighted, plain) >= THRESHOLD)
+
+    def spanning(self) -> list[tuple[int, int]]:
+        """Links that connect all that any links connect.
+
+        Documents are compared with all others one by one, until those left
+        are all in one component: of two documents in different ones, one was
+        compared then.
+        """
+        out, waiting = [], np.ones(self.n, dtype=bool)
+        while True:
+            sizes = np.bincount(self.root, minlength=self.n)
+            open_ones = np.flatnonzero(waiting & (self.root != sizes.argmax()))
+            if not len(open_ones):
+                return out
+            i = open_ones[0]
+            waiting[i] = False
+            for j in self.partners(i):
+                if self.root[j] != self.root[i]:
+                    out.append((i, j))
+                    self.root[self.root == self.root[j]] = self.root[i]
+
+
+def tile_links(tiles: DataFrame, texts: DataFrame, known: Frequencies) -> DataFrame:
+    """Links (a, b) within each tile of tiles(tile, doc_id, label, pivot).
+
+    Where a tile has pivots, they are compared with all others; else the tile's
+    documents with each other, as far as their labels do not say that they are
+    connected.  A tile's rows come one after the other, so a task holds one tile.
+    """
+    shared = session_of(tiles).sparkContext.broadcast(known)
+
+    def found(rows: list[tuple]) -> list[tuple]:
+        tile = Tile(shared.value, [r[4] for r in rows], [r[2] for r in rows])
+        pivots = [i for i, r in enumerate(rows) if r[3]]
+        pairs = [(i, j) for i in pivots for j in tile.partners(i) if i != j]
+        if not pivots:
+            pairs = tile.spanning()
+        return [(rows[i][1], rows[j][1]) for i, j in pairs]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, rows = None, []
 
-def linked(pairs: DataFrame, texts: DataFrame, known: Frequencies) -> DataFrame:
-    """Those pairs (a, b) whose texts reach THRESHOLD."""
-    shared = session_of(pairs).sparkContext.broadcast(known)
+        def made(links: list[tuple]) -> pa.RecordBatch:
+            columns = zip(*links) if links else ((), ())
+            arrays = [pa.array(c, pa.int64()) for c in columns]
+            return pa.RecordBatch.from_arrays(arrays, names=["a", "b"])
 
-    @F.pandas_udf("boolean")
-    def alike(left, right):
-        import pandas as pd
+        for batch in batches:
+            links = []
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if row[0] != now:
+                    links += found(rows) if rows else []
+                    now, rows = row[0], []
+                rows.append(row)
+            yield made(links)
+        yield made(found(rows) if rows else [])
 
-        last, own, out = None, None, []
-        for one, other in zip(left, right):
-            if one != last:
-                last, own = one, shingles(one)
-            out.append(max(similarities(shared.value, own, shingles(other))) >= THRESHOLD)
-        return pd.Series(out, dtype=bool)
+    return (
+        tiles.join(texts, "doc_id")
+        .select("tile", "doc_id", "label", "pivot", "text")
+        .repartition("tile")
+        .sortWithinPartitions("tile", "doc_id")
+        .mapInArrow(run, "a long, b long")
+    )
 
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("left"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("right"))
+
+def chunk_of(chunks: str) -> F.Column:
+    return F.pmod(F.xxhash64("doc_id", F.lit(2)), F.col(chunks))
+
+
+def each(count: str) -> str:
+    """SQL for 0 .. count - 1; nothing for 0."""
+    return f"if({count} > 0, sequence(0L, {count} - 1), array())"
+
+
+def pivot_tiles(members: DataFrame) -> DataFrame:
+    """Tiles of large buckets: a chunk of the members with PIVOTS of them all."""
+    seat = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(PIVOTS))
+    large = members.where(F.col("n") > BLOCK).withColumn("chunks", F.ceil(F.col("n") / BLOCK))
+    pivots = (
+        large.groupBy("bucket", "chunks", seat.alias("seat"))
+        .agg(F.min(F.struct(F.xxhash64("doc_id").alias("h"), "doc_id")).alias("p"))
+        .select(
+            "bucket", F.col("p.doc_id").alias("doc_id"), F.explode(F.expr(each("chunks"))).alias("chunk"),
+            F.lit(True).alias("pivot"),
+        )
+    )
+    rest = large.select("bucket", "doc_id", chunk_of("chunks").alias("chunk"), F.lit(False).alias("pivot"))
     return (
-        pairs.join(right, "b").join(left, "a").where(alike("left", "right")).select("a", "b")
+        pivots.unionByName(rest)
+        .groupBy("bucket", "chunk", "doc_id")
+        .agg(F.max("pivot").alias("pivot"))
+        .select(
+            F.xxhash64("bucket", "chunk").alias("tile"), "doc_id", F.col("doc_id").alias("label"), "pivot"
+        )
+    )
+
+
+def all_tiles(members: DataFrame) -> DataFrame:
+    """Tiles in which any two members of a bucket meet that have two labels.
+
+    A bucket of at most BLOCK members is a tile.  In a larger one the members of
+    the most frequent label need not meet each other: the others are cut into
+    chunks, and so are they, and each chunk of the others meets every chunk.
+    """
+    counts = members.groupBy("bucket", "n", "label").agg(F.count(F.lit(1)).alias("c"))
+    buckets = (
+        counts.groupBy("bucket", "n")
+        .agg(F.max(F.struct("c", "label")).alias("most"))
+        .where("most.c < n")
+        .select(
+            "bucket",
+            F.col("most.label").alias("main"),
+            F.expr(f"if(n <= {BLOCK}, 1L, ceil((n - most.c) / {BLOCK}))").alias("others"),
+            F.expr(f"if(n <= {BLOCK}, 0L, ceil(most.c / {BLOCK}))").alias("mains"),
+        )
+    )
+    placed = members.join(buckets, "bucket")
+    is_main = "mains > 0 AND label = main"
+    own = F.when(F.expr(is_main), chunk_of("mains")).otherwise(chunk_of("others"))
+    meets = F.expr(
+        f"CASE WHEN {is_main} THEN transform({each('others')}, k -> struct(k AS x, others + own AS y))"
+        f" ELSE concat(transform({each('others')}, k -> struct(least(k, own) AS x, greatest(k, own) AS y)),"
+        f" transform({each('mains')}, k -> struct(own AS x, others + k AS y))) END"
     )
+    return (
+        placed.withColumn("own", own)
+        .select("bucket", "doc_id", "label", F.explode(meets).alias("at"))
+        .select(
+            F.xxhash64("bucket", "at.x", "at.y").alias("tile"), "doc_id", "label",
+            F.lit(False).alias("pivot"),
+        )
+    )
 
 
 def class_links(documents: DataFrame, classes: DataFrame, known: Frequencies) -> DataFrame:
     """Links (a, b) between class representatives that connect every two
     candidates of one bucket that a chain of links connects."""
     buckets = classes.select("doc_id", F.explode("bands").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = staged(
-        buckets.join(shared.select("bucket"), "bucket").withColumn("label", F.col("doc_id")),
-        "bucket-members",
+    own = F.xxhash64("doc_id", F.lit(3))
+    # Buckets of the same members, of which alike documents have many, are one.
+    distinct = (
+        buckets.groupBy("bucket")
+        .agg(F.count(F.lit(1)).alias("n"), F.bit_xor(own).alias("x"), F.sum(own % 1_000_003).alias("s"))
+        .where("n > 1")
+        .groupBy("n", "x", "s")
+        .agg(F.min("bucket").alias("bucket"))
+        .select("bucket", "n")
     )
-    involved = members.select("doc_id").distinct()
+    members = staged(buckets.join(distinct, "bucket").select("bucket", "n", "doc_id"), "bucket-members")
     texts = staged(
-        documents.join(involved, "doc_id", "left_semi")
+        documents.join(members.select("doc_id").distinct(), "doc_id", "left_semi")
         .groupBy("doc_id").agg(F.min("text").alias("text")),
         "bucket-texts",
     )
-    links = tested = None
-    pivots_per_bucket = 1
-    while not members.isEmpty():
-        seat = F.pmod(F.xxhash64("doc_id", F.lit(pivots_per_bucket)), F.lit(pivots_per_bucket))
-        first = F.min(F.struct(F.xxhash64("doc_id").alias("h"), "doc_id", "label"))
-        pivots = staged(
-            members.groupBy("bucket", seat.alias("seat"))
-            .agg(first.alias("p"))
-            .select("bucket", F.col("p.doc_id").alias("pivot"), F.col("p.label").alias("of")),
-            "bucket-pivots",
-        )
-        pairs = (
-            members.join(pivots, "bucket")
-            .where("label <> of")
-            .select(F.least("pivot", "doc_id").alias("a"), F.greatest("pivot", "doc_id").alias("b"))
-            .distinct()
-        )
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = staged(pairs, "bucket-pairs")
-        new = staged(linked(pairs, texts, known), "bucket-links")
-        links = new if links is None else links.union(new)
-        tested = pairs if tested is None else tested.union(pairs)
-        roots = components(links)
-        left = (
-            members.drop("label")
-            .join(
-                pivots.select("bucket", F.col("pivot").alias("doc_id")),
-                ["bucket", "doc_id"],
-                "left_anti",
-            )
-            .join(roots, F.col("doc_id") == F.col("id"), "left")
-            .select("bucket", "doc_id", F.coalesce("root", "doc_id").alias("label"))
-        )
-        mixed_ones = left.groupBy("bucket").agg(
-            F.min("label").alias("low"), F.max("label").alias("high")
+    first = staged(tile_links(pivot_tiles(members), texts, known), "pivot-links")
+    if first.isEmpty():
+        labelled = members.withColumn("label", F.col("doc_id"))
+    else:
+        roots = components(first)
+        labelled = members.join(roots, F.col("doc_id") == F.col("id"), "left").select(
+            "bucket", "n", "doc_id", F.coalesce("root", "doc_id").alias("label")
         )
-        members = staged(
-            left.join(mixed_ones.where("low <> high").select("bucket"), "bucket")
-            .select("bucket", "doc_id", "label"),
-            "bucket-members",
-        )
-        pivots_per_bucket *= 2
-    return links
+    labelled = staged(labelled, "bucket-labels")
+    return first.unionByName(staged(tile_links(all_tiles(labelled), texts, known), "bucket-links"))
 
 
 def groups(documents: DataFrame) -> DataFrame:
@@ -367,7 +486,7 @@ def groups(documents: DataFrame) -> DataFrame:
         .where("a <> b")
         .select("a", "b")
     )
-    roots = components(same_id if links is None else links.union(same_id))
+    roots = components(links.unionByName(same_id))
     found = member.join(roots, F.col("class_id") == F.col("id"), "left").select(
         "doc_id", "class_id", F.coalesce("root", "class_id").alias("component_id")
     )

@@ -19,6 +19,18 @@ def plain_frequencies(texts):
     return wm.Frequencies(hashes, np.array([c for _, c in often]), len(texts))
 
 
+def similarities(known: wm.Frequencies, one: tuple, other: tuple) -> tuple[float, float]:
+    """Of two (distinct shingles, counts): sum of minima over sum of maxima,
+    once with TF-IDF weights and once with all weights equal."""
+    (a, n), (b, m) = one, other
+    if not len(a) or not len(b):
+        return 0.0, 0.0
+    _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+    least = float((np.minimum(n[i], m[j]) * known.of(a[i])).sum())
+    most = float((n * known.of(a)).sum() + (m * known.of(b)).sum()) - least
+    return least / most, len(i) / (len(a) + len(b) - len(i))
+
+
 def plain_components(rows):
     """All pairs; rows of one id are one document."""
     known = plain_frequencies([t for _, t in rows])
@@ -46,7 +58,7 @@ def plain_components(rows):
                     continue
                 seen.add((n, m))
                 (a, s, one), (b, t, other) = sets[n], sets[m]
-                if s == t or max(wm.similarities(known, one, other)) >= wm.THRESHOLD:
+                if s == t or max(similarities(known, one, other)) >= wm.THRESHOLD:
                     join(a, b)
     return {i: find(i) for i in root}
 
@@ -86,8 +98,11 @@ def edited(text, edits, seed):
     return " ".join(words)
 
 
-def test_chains_and_large_groups(spark):
-    """Copies of copies, a third of all rows alike, and a shared passage."""
+@pytest.mark.parametrize("block", [512, 8])
+def test_chains_and_large_groups(spark, monkeypatch, block):
+    """Copies of copies, a third of all rows alike, and a shared passage; with
+    buckets of one tile, and of many."""
+    monkeypatch.setattr(wm, "BLOCK", block)
     rows, text = [], messy.prose(1, 200)
     for i in range(40):
         rows.append((i, text))
@@ -100,6 +115,14 @@ def test_chains_and_large_groups(spark):
     assert sum(r.kept for r in got) <= 53
 
 
+def test_tiles_report_no_more_links_than_connect():
+    texts = [edited(messy.prose(2, 150), 1, i) for i in range(30)]
+    texts += [messy.prose(100 + i, 50) for i in range(10)]
+    tile = wm.Tile(plain_frequencies(texts), texts, [*range(40)])
+    assert len(tile.spanning()) == 29 and len({*tile.root.tolist()}) == 11
+    assert sorted(tile.partners(0)) == [*range(30)]
+
+
 def test_samples_follow_the_weighted_jaccard_similarity(monkeypatch):
     monkeypatch.setattr(wm, "BANDS", 1000)
     random_numbers = np.random.default_rng(7)
