@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallymill.llm import packing, quality, secret_scan, toxicity, weighted_minhash
-from tallymill.llm.common import staged, table
+from tallymill.llm.common import release, staged, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +53,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before is not None:
+            release(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymill.sinks.shared import shared_folder
+from tallymill.sources.folders import drop
 
 
 def session_of(df: DataFrame) -> SparkSession:
@@ -23,7 +24,15 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     spark = session_of(df)
     path = shared_folder(spark, purpose)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def release(*frames: DataFrame) -> None:
+    """Remove what `staged` has written for these; nothing may read it again."""
+    for frame in frames:
+        drop(session_of(frame), frame.staged_at)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,7 +85,9 @@ def labelled_sample(
         .limit(rows)
     )
     narrow = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return narrow.join(F.broadcast(chosen), "doc_id")
+    sample = narrow.join(F.broadcast(chosen), "doc_id")
+    # Rows of one id are one document, or a single id could exceed the bound.
+    return sample.groupBy("doc_id", "label", "turn").agg(F.min("text").alias("text"))
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -121,7 +132,9 @@ def components(links: DataFrame, purpose: str = "components") -> DataFrame:
             ).alias("e")
         )
         after = staged(small.select("e.*").where("hi <> lo").distinct(), purpose)
-        if _print_of(after) == _print_of(edges):
+        done = _print_of(after) == _print_of(edges)
+        release(edges)
+        if done:
             return after.select(F.col("hi").alias("id"), F.col("lo").alias("root"))
         edges = after
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymill.llm.common import components, staged
+from tallymill.llm.common import components, release, staged
 
 THRESHOLD = 0.93
 TILE = 2048
@@ -41,7 +41,8 @@ FOUND_SCHEMA = "label long, dim int, rep long, other long, print long, links lon
 def usable(vector: str = "vector") -> str:
     return (
         f"{vector} IS NOT NULL AND exists({vector}, x -> x <> 0)"
-        f" AND forall({vector}, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('infinity'))"
+        f" AND forall({vector}, x -> x IS NOT NULL AND NOT isnan(x)"
+        " AND abs(x) < double('infinity'))"
     )
 
 
@@ -85,7 +86,8 @@ def turned(vectors: np.ndarray, axes: dict[int, np.ndarray]) -> np.ndarray:
 
 
 def _matrix(column) -> np.ndarray:
-    return np.stack([np.asarray(v, dtype=np.float64) for v in column.to_numpy(zero_copy_only=False)])
+    rows = column.to_numpy(zero_copy_only=False)
+    return np.stack([np.asarray(v, dtype=np.float64) for v in rows])
 
 
 def with_first_axis(vectors: DataFrame, axes: dict[int, np.ndarray]) -> DataFrame:
@@ -117,10 +119,12 @@ def tiled(vectors: DataFrame, purpose: str) -> DataFrame:
 
     Staged, since a tile's number must be the same wherever it is read.
     """
-    staged_rows = staged(vectors, purpose)
-    count = max(1, -(-staged_rows.count() // TILE))
-    ranged = staged_rows.repartitionByRange(count, "label", "dim", "first", "rep")
-    return staged(ranged.withColumn("tile", F.spark_partition_id()), purpose)
+    rows = staged(vectors, purpose)
+    count = max(1, -(-rows.count() // TILE))
+    ranged = rows.repartitionByRange(count, "label", "dim", "first", "rep")
+    out = staged(ranged.withColumn("tile", F.spark_partition_id()), purpose)
+    release(rows)
+    return out
 
 
 def tile_pairs(rows: DataFrame, threshold: float) -> DataFrame:
@@ -194,7 +198,8 @@ def _prints(vectors: list) -> np.ndarray:
     """Tells apart vectors that carry the same id."""
     import xxhash
 
-    return np.array([xxhash.xxh64_intdigest(v.tobytes()) for v in vectors], np.uint64).view(np.int64)
+    prints = [xxhash.xxh64_intdigest(v.tobytes()) for v in vectors]
+    return np.array(prints, dtype=np.uint64).view(np.int64)
 
 
 def compare_tiles(group: pa.Table, axes: dict[int, np.ndarray], threshold: float) -> pa.Table:
@@ -262,6 +267,7 @@ def link_counts(embeddings: DataFrame, threshold: float = THRESHOLD) -> DataFram
         .applyInArrow(lambda group: compare_tiles(group, axes, threshold), FOUND_SCHEMA),
         "vectors-linked",
     )
+    release(tiles)
     # A vector with twins is linked to all of them; its other links were counted.
     counted = found.groupBy("label", "dim", "rep", "print").agg(F.sum("links").alias("links"))
     roots = components(found.select(F.col("rep").alias("a"), F.col("other").alias("b")))

@@ -275,5 +275,6 @@ def redact(documents: DataFrame) -> DataFrame:
 
     out = documents.withColumn("text", without_secrets("text"))
     if "n_chars" in documents.columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast(documents.schema["n_chars"].dataType))
+        kind = documents.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.char_length("text").cast(kind))
     return out
