@@ -2,10 +2,11 @@
 
 Documents with equal texts are linked.  Every document starts in a shard by its
 rank in a hash order, so row counts are even from the start.  In each round the
-linked documents look at the shards of their neighbours and ask to move where
-most of them are; requests are granted under quotas, larger groups first, and a
-move into a shard is paid by unlinked documents that leave it at the end.  A
-link is cut when its ends lie in two shards.
+linked documents look at the shards of their neighbours and ask to gather where
+most of them are, as far as there is room; requests are granted under quotas,
+larger groups first, and what is granted is settled.  Documents without links,
+and groups that no shard has room for, fill the seats that are left, so counts
+stay even.  A link is cut when its ends lie in two shards.
 
 Defined results: law `rows`, counts differ by at most one; a null text has no
 bytes and is linked to nothing; repeated rows are rows of their own; an empty
@@ -18,10 +19,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymill.llm.common import staged
+from tallymill.llm.common import release, staged
 
 SHARDS = 40
-MOST_ROUNDS = 12
+MOST_ROUNDS = 20
 ROWS_PER_CHUNK = 50_000
 OVERHEAD = 16
 
@@ -74,49 +75,57 @@ def _per_shard(numbers: list[int], shard="shard"):
     return F.get(F.array(*[F.lit(n).cast("long") for n in numbers]), F.col(shard))
 
 
-def linked_units(rows: DataFrame, total: int, shards: int) -> DataFrame:
-    """Documents with a neighbour, each with its unit: its group, or a part of
-    at most a shard's rows where the group is larger."""
-    sizes = rows.where("link IS NOT NULL").groupBy("link").agg(F.count(F.lit(1)).alias("_members"))
-    tied = rows.join(sizes.where("_members > 1"), "link")
+def group_sizes(rows: DataFrame) -> DataFrame:
+    return rows.where("link IS NOT NULL").groupBy("link").agg(F.count(F.lit(1)).alias("_members"))
+
+
+def split_by_links(
+    rows: DataFrame, sizes: DataFrame, total: int, shards: int
+) -> tuple[DataFrame, DataFrame]:
+    """Documents without a neighbour; and those with one, each with its unit:
+    its group, or a part of at most a shard's rows where the group is larger."""
     least = max(1, total // shards)
-    large = ranked(tied.where(F.col("_members") > least), ["link"], "_rank", total)
-    parts = large.withColumn("part", F.floor(F.col("_rank") / least)).drop("_rank")
-    small = tied.where(F.col("_members") <= least).withColumn("part", F.lit(0).cast("long"))
-    return small.unionByName(parts).drop("_members")
+    # Fewer than 2 * shards groups can be larger than a shard, so their list is
+    # broadcast; the rows of such a group never meet in one task.
+    large = F.broadcast(sizes.where(F.col("_members") > least).select("link"))
+    parted = (
+        ranked(rows.join(large, "link"), ["link"], "_rank", total)
+        .withColumn("part", F.floor(F.col("_rank") / least))
+        .drop("_rank")
+    )
+    counted = rows.join(large, "link", "left_anti").join(sizes, "link", "left")
+    alone = counted.where("_members IS NULL OR _members = 1").drop("_members")
+    whole = counted.where("_members > 1").withColumn("part", F.lit(0).cast("long"))
+    return alone, whole.drop("_members").unionByName(parted)
 
 
-def requests(linked: DataFrame, room: list[int]) -> DataFrame:
-    """Per scattered unit: the shard it asks for, and how many rows would move.
+def requests(held: DataFrame, room: list[int], turn: int) -> DataFrame:
+    """Per unit that fits some shard: the shard it asks for.
 
-    The shard with most members has the first claim, ties are dealt by a hash.
-    A shard without room for the movers is passed over; where none of a unit's
-    shards has room, it asks for the emptiest shard.
+    held has the number of a unit's members in each shard where it has any.  Of
+    the shards with room for the whole unit, that with most members has the
+    first claim; where none of them has room, the others are tried in an order
+    given by a hash.
     """
-    held = linked.groupBy("link", "part", "shard").agg(F.count(F.lit(1)).alias("held"))
-    sizes = held.groupBy("link", "part").agg(F.sum("held").alias("members"))
-    fits = held.join(sizes, ["link", "part"]).withColumn(
-        "fits", _per_shard(room) >= F.col("members") - F.col("held")
-    )
-    widest = room.index(max(room))
+    fits = _per_shard(room) >= F.col("members")
     choice = F.struct("held", F.xxhash64("link", "part", "shard").alias("h"), "shard")
-    asked = fits.groupBy("link", "part").agg(
-        F.first("members").alias("members"),
-        F.max("held").alias("most"),
-        F.max(F.when(F.col("fits"), choice)).alias("best"),
-        F.coalesce(F.max(F.when(F.col("shard") == widest, F.col("held"))), F.lit(0)).alias("there"),
-    )
-    return asked.where("most < members").select(
-        "link",
-        "part",
-        "members",
-        F.coalesce("best.shard", F.lit(widest)).cast("int").alias("wish"),
-        (F.col("members") - F.coalesce("best.held", "there")).alias("movers"),
+    asked = held.groupBy("link", "part", "members").agg(F.max(F.when(fits, choice)).alias("best"))
+    elsewhere = F.array_max(
+        F.transform(
+            F.sequence(F.lit(0), F.lit(len(room) - 1)),
+            lambda s: F.when(
+                F.get(F.array(*map(F.lit, room)), s) >= F.col("members"),
+                F.struct(F.xxhash64("link", "part", F.lit(turn), s).alias("h"), s.alias("shard")),
+            ),
+        )
     )
+    return asked.select(
+        "link", "part", "members", F.coalesce("best.shard", elsewhere["shard"]).alias("wish")
+    ).where("wish IS NOT NULL")
 
 
 def granted(asked: DataFrame, room: list[int], total: int) -> DataFrame:
-    """Units whose whole move fits the quota of the shard they ask for.
+    """Units that fit the quota of the shard they ask for; (link, part, wish).
 
     Larger units come first.  The sum of earlier requests is taken over size
     classes and chunks, so no shard's requests meet in one task.
@@ -128,17 +137,18 @@ def granted(asked: DataFrame, room: list[int], total: int) -> DataFrame:
             F.pmod(F.xxhash64("link", "part"), F.lit(chunk_count(total))).cast("int").alias("c"),
         ),
     )
-    sums = dealt.groupBy("wish", "_chunk").agg(F.sum("movers").alias("_sum"))
+    sums = dealt.groupBy("wish", "_chunk").agg(F.sum("members").alias("_sum"))
     before = Window.partitionBy("wish").orderBy("_chunk").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    starts = sums.withColumn("_start", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
+    earlier = F.coalesce(F.sum("_sum").over(before), F.lit(0))
+    starts = sums.withColumn("_start", earlier).drop("_sum")
     within = Window.partitionBy("wish", "_chunk").orderBy("link", "part")
     return (
-        dealt.withColumn("_upto", F.sum("movers").over(within))
+        dealt.withColumn("_upto", F.sum("members").over(within))
         .join(starts, ["wish", "_chunk"])
         .where(F.col("_start") + F.col("_upto") <= _per_shard(room, "wish"))
-        .select("link", "part", "wish")
+        .select("link", "part", "wish", "members")
     )
 
 
@@ -172,34 +182,48 @@ def seated(free: DataFrame, left: list[int], total: int) -> DataFrame:
     )
 
 
+def settled_units(held: DataFrame, room: list[int], total: int) -> tuple[list, list[int]]:
+    """Rounds of label propagation: granted (link, part, wish, members) of each
+    round, and the room that is left."""
+    rounds, pending = [], held
+    for turn in range(MOST_ROUNDS):
+        moves = staged(granted(requests(pending, room, turn), room, total), "shard-moves")
+        rounds.append(moves)
+        taken = dict(moves.groupBy("wish").agg(F.sum("members")).collect())
+        if not taken:
+            break
+        room = [n - taken.get(s, 0) for s, n in enumerate(room)]
+        pending = pending.join(moves, ["link", "part"], "left_anti")
+    return rounds, room
+
+
 def assign_shards(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
     """(doc_id, size, text_crc32, link, shard, slot)."""
+    unit = ["link", "part"]
     rows = staged(described(documents), "shard-rows")
     total = rows.count()
     seats = ranked(rows.withColumn("_all", F.lit(0)), ["_all"], "_seat", total)
-    state = staged(
-        seats.withColumn("shard", F.pmod("_seat", F.lit(shards)).cast("int")).drop("_all", "_seat"),
-        "shard-start",
-    )
-    linked = staged(linked_units(state, total, shards), "shard-linked")
-    groups = linked.select("link").distinct()
-    free = state.join(groups, "link", "left_anti")
-    cap = capacities(total, shards)
-    for _ in range(MOST_ROUNDS):
-        room = [c - n for c, n in zip(cap, _counts(linked, shards))]
-        moves = staged(granted(requests(linked, room), room, total), "shard-moves")
-        if moves.isEmpty():
-            break
-        linked = staged(
-            linked.join(moves, ["link", "part"], "left")
-            .withColumn("shard", F.coalesce("wish", "shard"))
-            .drop("wish"),
-            "shard-linked",
-        )
-    left = [c - n for c, n in zip(cap, _counts(linked, shards))]
+    first = F.pmod("_seat", F.lit(shards)).cast("int")
+    state = staged(seats.withColumn("shard", first).drop("_all", "_seat"), "shard-start")
+    sizes = staged(group_sizes(state), "shard-groups")
+    alone, linked = split_by_links(state, sizes, total, shards)
+    alone, linked = staged(alone, "shard-alone"), staged(linked, "shard-linked")
+    members = linked.groupBy(*unit).agg(F.count(F.lit(1)).alias("members"))
+    counts = linked.groupBy(*unit, "shard").agg(F.count(F.lit(1)).alias("held"))
+    held = staged(counts.join(members, unit), "shard-held")
+    rounds, room = settled_units(held, capacities(total, shards), total)
+    settled = rounds[0]
+    for moves in rounds[1:]:
+        settled = settled.unionByName(moves)
+    gathered = linked.join(settled.select(*unit, "wish"), unit).drop("shard", "part")
+    scattered = linked.join(settled, unit, "left_anti").drop("part")
     whole = staged(
-        seated(free, left, total).unionByName(linked.drop("part")), "shard-seated"
+        seated(alone.unionByName(scattered), room, total).unionByName(
+            gathered.withColumnRenamed("wish", "shard")
+        ),
+        "shard-seated",
     )
+    release(rows, state, sizes, alone, linked, held, *rounds)
     return ranked(whole, ["shard"], "slot", total)
 
 
