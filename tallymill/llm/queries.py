@@ -82,4 +82,46 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
-ORACLE: dict[str, str] = {}
+# The same results as DuckDB SQL, where SQL can say them over whole tables.
+ORACLE: dict[str, str] = {
+    "op5_chat_formatting": rf"""
+WITH turns AS (
+ SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS said FROM conversations
+ UNION ALL SELECT -1, 0, 'user', '{HOSTILE}' UNION ALL SELECT -1, 1, 'assistant', '{HOSTILE}'
+),
+sized AS (
+ SELECT *, role = 'assistant' AS learned,
+  length('{chat.START}') + length(replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '\' || chr(10)))
+  + 1 + length(replace(replace(said, '\', '\\'), '<|', '<\|')) + length('{chat.END}') + 1 AS chars
+ FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+ sha256(string_agg(role || chr(10) || said || chr(10), '' ORDER BY turn, role, said)) AS turns_sha256,
+ CAST(coalesce(sum(length(said)) FILTER (WHERE learned), 0) AS BIGINT) AS loss_chars,
+ sha256(coalesce(string_agg(said, '' ORDER BY turn, role, said) FILTER (WHERE learned), '')) AS loss_sha256,
+ CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+""",
+    "op10_embedding_near_dedup": f"""
+WITH RECURSIVE usable AS (
+ SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+ WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links AS (
+ SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+  ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+ WHERE list_dot_product(a.e, b.e) / sqrt(list_dot_product(a.e, a.e) * list_dot_product(b.e, b.e))
+  >= {embedding_dedup.THRESHOLD}
+),
+reach AS (
+ SELECT vec_id AS id, vec_id AS root FROM embeddings
+ UNION SELECT links.b, reach.root FROM reach JOIN links ON links.a = reach.id
+),
+roots AS (SELECT id, min(root) AS component_id FROM reach GROUP BY id),
+counts AS (SELECT a AS id, count(*) AS n_links FROM links GROUP BY a)
+SELECT v.vec_id, coalesce(n_links, 0) AS n_links, component_id, v.vec_id = component_id AS kept
+FROM embeddings v JOIN roots ON roots.id = v.vec_id LEFT JOIN counts ON counts.id = v.vec_id
+""",
+}
