@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymill.llm.common import components, session_of, staged, texts_of, unused_name
+from tallymill.llm.common import components, release, session_of, staged, texts_of, unused_name
 from tallymill.llm.words import Words, mixed, shingle_hashes
 
 SHINGLE = 5
@@ -129,6 +129,7 @@ def frequencies(documents: DataFrame) -> Frequencies:
     least = FREQUENT * total - (chunks.n if chunks else 0)
     maybe = found.where("shingle IS NOT NULL").where(F.col("n") >= least).select("shingle")
     listed = np.sort(maybe.toPandas()["shingle"].to_numpy(np.int64).view(np.uint64))
+    release(found)
     if not len(listed):
         return Frequencies(listed, np.zeros(0), total)
     known = session_of(documents).sparkContext.broadcast(listed)
@@ -353,7 +354,7 @@ def tile_links(tiles: DataFrame, texts: DataFrame, known: Frequencies) -> DataFr
         yield made(found(rows) if rows else [])
 
     return (
-        tiles.join(texts, "doc_id")
+        tiles.hint("merge").join(texts, "doc_id")
         .select("tile", "doc_id", "label", "pivot", "text")
         .repartition("tile")
         .sortWithinPartitions("tile", "doc_id")
@@ -382,15 +383,19 @@ def pivot_tiles(members: DataFrame) -> DataFrame:
             F.lit(True).alias("pivot"),
         )
     )
-    rest = large.select("bucket", "doc_id", chunk_of("chunks").alias("chunk"), F.lit(False).alias("pivot"))
+    own = chunk_of("chunks").alias("chunk")
+    rest = large.select("bucket", "doc_id", own, F.lit(False).alias("pivot"))
     return (
         pivots.unionByName(rest)
         .groupBy("bucket", "chunk", "doc_id")
         .agg(F.max("pivot").alias("pivot"))
         .select(
-            F.xxhash64("bucket", "chunk").alias("tile"), "doc_id", F.col("doc_id").alias("label"), "pivot"
+            F.xxhash64("bucket", "chunk").alias("tile"),
+            "doc_id",
+            F.col("doc_id").alias("label"),
+            "pivot",
         )
-    )
+    )
 
 
 def all_tiles(members: DataFrame) -> DataFrame:
@@ -415,10 +420,11 @@ def all_tiles(members: DataFrame) -> DataFrame:
     placed = members.join(buckets, "bucket")
     is_main = "mains > 0 AND label = main"
     own = F.when(F.expr(is_main), chunk_of("mains")).otherwise(chunk_of("others"))
+    others, mains = each("others"), each("mains")
     meets = F.expr(
-        f"CASE WHEN {is_main} THEN transform({each('others')}, k -> struct(k AS x, others + own AS y))"
-        f" ELSE concat(transform({each('others')}, k -> struct(least(k, own) AS x, greatest(k, own) AS y)),"
-        f" transform({each('mains')}, k -> struct(own AS x, others + k AS y))) END"
+        f"CASE WHEN {is_main} THEN transform({others}, k -> struct(k AS x, others + own AS y))"
+        f" ELSE concat(transform({others}, k -> struct(least(k, own) AS x, greatest(k, own) AS y)),"
+        f" transform({mains}, k -> struct(own AS x, others + k AS y))) END"
     )
     return (
         placed.withColumn("own", own)
@@ -438,15 +444,22 @@ def class_links(documents: DataFrame, classes: DataFrame, known: Frequencies) ->
     # Buckets of the same members, of which alike documents have many, are one.
     distinct = (
         buckets.groupBy("bucket")
-        .agg(F.count(F.lit(1)).alias("n"), F.bit_xor(own).alias("x"), F.sum(own % 1_000_003).alias("s"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.bit_xor(own).alias("x"),
+            F.sum(own % 1_000_003).alias("s"),
+        )
         .where("n > 1")
         .groupBy("n", "x", "s")
         .agg(F.min("bucket").alias("bucket"))
         .select("bucket", "n")
     )
-    members = staged(buckets.join(distinct, "bucket").select("bucket", "n", "doc_id"), "bucket-members")
+    members = staged(
+        buckets.join(distinct, "bucket").select("bucket", "n", "doc_id"), "bucket-members"
+    )
     texts = staged(
-        documents.join(members.select("doc_id").distinct(), "doc_id", "left_semi")
+        # Both sides grow with the input, so the plan is the same at every size.
+        documents.join(members.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")
         .groupBy("doc_id").agg(F.min("text").alias("text")),
         "bucket-texts",
     )
@@ -459,7 +472,9 @@ def class_links(documents: DataFrame, classes: DataFrame, known: Frequencies) ->
             "bucket", "n", "doc_id", F.coalesce("root", "doc_id").alias("label")
         )
     labelled = staged(labelled, "bucket-labels")
-    return first.unionByName(staged(tile_links(all_tiles(labelled), texts, known), "bucket-links"))
+    second = staged(tile_links(all_tiles(labelled), texts, known), "bucket-links")
+    release(members, texts, labelled)
+    return first.unionByName(second)
 
 
 def groups(documents: DataFrame) -> DataFrame:
@@ -473,7 +488,9 @@ def groups(documents: DataFrame) -> DataFrame:
     signatures = staged(signed(rows, known), "signatures")
     named = signatures.where("doc_id IS NOT NULL")
     classes = staged(
-        named.groupBy("print").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")),
+        named.groupBy("print").agg(
+            F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")
+        ),
         "classes",
     )
     links = class_links(rows, classes, known)
