@@ -3,7 +3,8 @@
 A text is a layer.  Each layer is scanned for secrets, then unwrapped: URL and
 Unicode escapes are resolved over the whole layer, base64 runs are decoded, and
 compressed ones inflated.  What comes out is a new layer on the worklist unless
-its content was seen before, so a text that unwraps to itself ends the loop.
+the same content from the same places was seen before, so a text that unwraps to
+itself ends the loop, and equal blobs at two places are two layers.
 Every layer knows which code points of the document its own came from, and
 spans are reported in the document's code points.
 
@@ -80,6 +81,12 @@ class Layer:
     text: str
     runs: list[tuple[int, int, int, bool]]
 
+    def key(self) -> bytes:
+        """Equal for layers of the same text from the same places only."""
+        told = hashlib.sha256(self.text.encode("utf-8", "surrogatepass"))
+        told.update(b"\0" + repr(self.runs).encode())
+        return told.digest()
+
     def outer(self, start: int, end: int) -> tuple[int, int]:
         def run_at(at):
             return self.runs[bisect_right(self.runs, at, key=lambda r: r[0]) - 1]
@@ -208,8 +215,8 @@ def all_spans(text: str) -> tuple[list[tuple], list[tuple]]:
     if not text:
         return [], []
     base = sorted({(s, KINDS.index(k), e) for k, s, e in matches(text)})
-    found, seen = set(base), {text}
-    work = [Layer(text, [(0, 0, len(text), True)])]
+    whole = Layer(text, [(0, 0, len(text), True)])
+    found, seen, work = set(base), {whole.key()}, [whole]
     while work:
         layer = work.pop()
         if layer.text is not text:
@@ -219,9 +226,8 @@ def all_spans(text: str) -> tuple[list[tuple], list[tuple]]:
                 for start, end in [layer.outer(s, e)]
             }
         for below in unwrapped(layer, found):
-            place = (below.text, below.runs[0][1]) if len(below.runs) == 1 else below.text
-            if place not in seen:
-                seen.add(place)
+            if (key := below.key()) not in seen:
+                seen.add(key)
                 work.append(below)
     return base, sorted(found)
 

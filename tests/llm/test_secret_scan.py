@@ -87,6 +87,18 @@ def test_spans_map_to_the_document():
     assert spans == ["%70assword%3Dabc%2Fdefg", "token=zzzzzz"]
 
 
+@pytest.mark.parametrize("times", [2, 3, 7])
+def test_equal_nested_blobs_are_all_found(times):
+    once = base64.b64encode(b"see token%3Dabcdef123456 and \\u0041").decode()
+    twice = base64.b64encode(f"x {once} %20 {once}".encode()).decode()
+    for blob in (once, twice):
+        text = " | ".join([blob] * times)
+        spans = {(s, e) for s, _, e in secret_scan.all_spans(text)[1]}
+        step = len(blob) + 3
+        assert spans == {(k * step, k * step + len(blob)) for k in range(times)}
+        assert secret_scan.redacted(text) == " | ".join(["[secret]"] * times)
+
+
 def test_loops_end():
     for text in ("%25" * 40 + "41", "%2525252525" * 20, "\\u005cu005cu005c" * 10, "A" * 500):
         assert secret_scan.all_spans(text) == ([], [])
