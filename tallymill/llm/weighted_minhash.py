@@ -8,7 +8,9 @@ band are candidates, and a candidate is a link only if the weighted Jaccard
 similarity of the whole texts is THRESHOLD or more.  Copying makes a passage
 frequent and so lowers its weight, which would hide the copies of a text that
 was copied most; a candidate is therefore a link as well if the similarity
-reaches THRESHOLD with all weights equal.
+reaches THRESHOLD with all weights equal.  Such links have bands of their own,
+as many, whose samples are taken with equal weights: either test finds its
+candidates whatever the other similarity is.
 
 Documents of equal word sequences are one class from the start, so groups of
 copies of any size are a single candidate.  A bucket of a band is compared in
@@ -177,6 +179,7 @@ class Sampler:
         self.per_r = 1 / self.r
         self.log_c = np.log(random.gamma(2.0, 1.0, TABLE))
         self.seeds = random.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
+        self.equal_seeds = random.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
 
     def samples(self, hashes: np.ndarray, log_w: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """One row per document, whose shingles begin at its start."""
@@ -192,9 +195,18 @@ class Sampler:
             out[:, k] = np.minimum.reduceat(self.log_c[at] - r * (t - b + 1), starts)
         return out
 
-    def bands(self, samples: np.ndarray) -> np.ndarray:
+    def equal_samples(self, hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """The same with all weights equal, where the least hash is the sample."""
+        out = np.empty((len(starts), len(self.equal_seeds)), dtype=np.uint64)
+        for k, seed in enumerate(self.equal_seeds):
+            out[:, k] = np.minimum.reduceat(mixed(hashes ^ seed), starts)
+        return out
+
+    def bands(self, samples: np.ndarray, first: int = 0) -> np.ndarray:
+        """Hashes of ROWS samples each, for the bands numbered from first."""
         bits = np.ascontiguousarray(samples).view(np.uint64).reshape(len(samples), BANDS, ROWS)
-        out = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), bits.shape[:2]).copy()
+        numbers = np.arange(first, first + BANDS, dtype=np.uint64)
+        out = np.broadcast_to(numbers, bits.shape[:2]).copy()
         for row in range(ROWS):
             out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + bits[:, :, row])
         return out.view(np.int64)
@@ -218,7 +230,9 @@ def signed(documents: DataFrame, known: Frequencies) -> DataFrame:
                     counts = np.concatenate([s[1] for s in full])
                     starts = np.cumsum([0, *(len(s[0]) for s in full[:-1])])
                     log_w = np.log(counts * shared.value.of(hashes))
-                    made = iter(sampler.bands(sampler.samples(hashes, log_w, starts)).tolist())
+                    weighted = sampler.bands(sampler.samples(hashes, log_w, starts))
+                    equal = sampler.bands(sampler.equal_samples(hashes, starts), BANDS)
+                    made = iter(np.hstack([weighted, equal]).tolist())
                 bands.extend(next(made) if len(s[0]) else [] for s in sets)
                 sets.clear()
 

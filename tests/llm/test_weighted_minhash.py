@@ -115,6 +115,21 @@ def test_chains_and_large_groups(spark, monkeypatch, block):
     assert sum(r.kept for r in got) <= 53
 
 
+def test_edits_of_a_hub_that_equal_weights_link(spark):
+    """A third of all rows are one text, so its shingles weigh little; edits of
+    it are 0.80 to 0.85 alike by equal weights, and far less by TF-IDF."""
+    text = messy.prose(1, 204)
+    rows = [(i, text) for i in range(200)]
+    rows += [(1000 + i, edited(text, 4, i)) for i in range(100)]
+    rows += [(2000 + i, messy.prose(5000 + i, 40)) for i in range(300)]
+    known = plain_frequencies([t for _, t in rows])
+    hub = wm.shingles(text)
+    both = [similarities(known, hub, wm.shingles(t)) for i, t in rows if 1000 <= i < 2000]
+    assert sum(plain >= wm.THRESHOLD > 0.7 > weighted for weighted, plain in both) > 50
+    got = check(spark, messy.documents(spark, rows), rows)
+    assert sum(r.component_id == 0 for r in got) > 290
+
+
 def test_tiles_report_no_more_links_than_connect():
     texts = [edited(messy.prose(2, 150), 1, i) for i in range(30)]
     texts += [messy.prose(100 + i, 50) for i in range(10)]
