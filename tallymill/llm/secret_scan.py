@@ -1,8 +1,10 @@
 """Secret scans through nested encodings.
 
 A text is a layer.  Each layer is scanned for secrets, then unwrapped: URL and
-Unicode escapes are resolved over the whole layer, base64 runs are decoded, and
-compressed ones inflated.  What comes out is a new layer on the worklist unless
+Unicode escapes are resolved over the whole layer, bytes that are no text staying
+as they are; base64 runs, over line breaks as well, are decoded from each of four
+letters on, streams that begin anywhere in them are inflated, and every printable
+stretch of what comes out is a layer, whatever bytes stand beside it.  What comes out is a new layer on the worklist unless
 the same content from the same places was seen before, so a text that unwraps to
 itself ends the loop, and equal blobs at two places are two layers.
 Every layer knows which code points of the document its own came from, and
@@ -18,7 +20,6 @@ reported whole, with the kind `inflated`.
 from __future__ import annotations
 
 import base64
-import binascii
 import hashlib
 import re
 import zlib
@@ -48,8 +49,18 @@ URL_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(
     r"(?:\\u[0-9A-Fa-f]{4})+|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#x[0-9A-Fa-f]{1,6};|&#[0-9]{1,7};"
 )
-BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-UNPRINTABLE = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f\ud800-\udfff�]")
+LEAST_LETTERS = 16  # of base64, which are the 12 bytes of the shortest secret
+BASE64_RUN = re.compile(
+    r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]++(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)++"
+    r"|[A-Za-z0-9+/_-]{16,}+)={0,2}"
+)
+BASE64_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+PRINTABLE = re.compile(
+    rb"(?:[\t\n\r\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}"
+    rb"|[\xf0-\xf4][\x80-\xbf]{3}){12,}"
+)
+STREAM = re.compile(rb"\x1f\x8b\x08|[\x08\x18\x28\x38\x48\x58\x68\x78]", re.DOTALL)
+SURROGATE = re.compile("[\ud800-\udfff]")
 
 SCAN_SCHEMA = (
     "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
@@ -127,11 +138,10 @@ def _resolved(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
     return Layer("".join(out), runs)
 
 
-def _url(run: str) -> str | None:
-    try:
-        return bytes.fromhex(run.replace("%", "")).decode()
-    except UnicodeDecodeError:
-        return None
+def _url(run: str) -> str:
+    """The run decoded, but for bytes that are not UTF-8."""
+    text = bytes.fromhex(run.replace("%", "")).decode(errors="surrogateescape")
+    return SURROGATE.sub(lambda m: f"%{ord(m[0]) - 0xDC00:02X}", text)
 
 
 def _escape(run: str) -> str | None:
@@ -139,7 +149,8 @@ def _escape(run: str) -> str | None:
         if run[0] == "&":
             code = int(run[3:-1], 16) if run[2] == "x" else int(run[2:-1])
         elif run[1] == "u":
-            return bytes.fromhex(run.replace("\\u", "")).decode("utf-16-be")
+            text = bytes.fromhex(run.replace("\\u", "")).decode("utf-16-be", "surrogatepass")
+            return SURROGATE.sub(lambda m: f"\\u{ord(m[0]):04x}", text)
         else:
             code = int(run[2:], 16)
         return None if 0xD800 <= code < 0xE000 else chr(code)
@@ -147,8 +158,9 @@ def _escape(run: str) -> str | None:
         return None
 
 
-def inflated(data: bytes) -> bytes | None:
-    """Content of a gzip or zlib stream; None if it is none.  Raises when it
+def inflated(data: memoryview) -> tuple[bytes, int, bool] | None:
+    """Content of the gzip or zlib stream that data begins with, how many bytes
+    it takes, and whether it ends there; None if it is none.  Raises when it
     would be larger than MOST_INFLATED."""
     if data[:2] != b"\x1f\x8b" and not (
         len(data) > 2 and data[0] & 15 == 8 and int.from_bytes(data[:2], "big") % 31 == 0
@@ -161,43 +173,65 @@ def inflated(data: bytes) -> bytes | None:
         return None
     if len(plain) > MOST_INFLATED:
         raise OverflowError
-    return plain
-
-
-def _text(data: bytes) -> str | None:
-    """data as text, if it is printable text."""
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    return None if not text or UNPRINTABLE.search(text) else text
+    return plain, len(data) - len(opened.unused_data), opened.eof
 
 
-def _unpacked(data: bytes) -> str | None:
-    seen = set()
-    while data not in seen and (plain := inflated(data)) is not None:
-        seen.add(data)
-        data = plain
-    return _text(data)
+def _contents(data: bytes) -> Iterator[tuple[str | None, int, int]]:
+    """(text, start, end): printable stretches of data and of all streams in
+    it, with the bytes of data they are from; no text for a stream that
+    inflates too far."""
+    work, seen = [(data, None)], set()
+    while work:
+        raw, place = work.pop()
+        if (raw, place) in seen:
+            continue
+        seen.add((raw, place))
+        for m in PRINTABLE.finditer(raw):
+            yield m[0].decode(errors="replace"), *(place or m.span())
+        at = 0
+        while m := STREAM.search(raw, at):
+            begin, at = m.start(), m.start() + 1
+            try:
+                stream = inflated(memoryview(raw)[begin:])
+            except OverflowError:
+                yield None, *(place or (begin, len(raw)))
+                continue
+            if stream:
+                plain, used, ended = stream
+                work.append((plain, place or (begin, begin + used)))
+                at = begin + used if ended else at
 
 
 def _base64(layer: Layer, found: set) -> Iterator[Layer]:
+    """What a run holds, read from each of its first four letters on, so a blob
+    is found wherever it begins; lines of a wrapped run are read as one."""
     for m in BASE64_RUN.finditer(layer.text):
-        body = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-        if len(body) % 4 == 1:  # no whole number of bytes: the last letter is not part of it
-            body = body[:-1]
-        try:
-            data = base64.b64decode(body + "=" * (-len(body) % 4))
-        except binascii.Error:
+        lines, size = [], 0  # (first letter's number, its place in the text)
+        for line in BASE64_LINE.finditer(m[0]):
+            lines.append((size, m.start() + line.start()))
+            size += len(line[0])
+        if size < LEAST_LETTERS:
             continue
-        span = layer.outer(*m.span())
-        try:
-            text = _unpacked(data)
-        except OverflowError:
-            found.add((span[0], KINDS.index("inflated"), span[1]))
-            continue
-        if text:
-            yield Layer(text, [(0, *span, False)])
+        letters = "".join(BASE64_LINE.findall(m[0])).replace("-", "+").replace("_", "/")
+        for shift in range(4):
+            body = letters[shift:]
+            body = body[: len(body) - (len(body) % 4 == 1)]  # no whole byte: not part of it
+            data = base64.b64decode(body + "=" * (-len(body) % 4))
+
+            def outer(start: int, end: int) -> tuple[int, int]:
+                """Of bytes: the document's range of their letters."""
+                first = shift + start * 8 // 6
+                last = size - 1 if end == len(data) else shift + (end * 8 - 1) // 6
+                a, b = (lines[bisect_right(lines, n, key=lambda x: x[0]) - 1] for n in (first, last))
+                stop = m.end() if end == len(data) else b[1] + last - b[0] + 1
+                return layer.outer(a[1] + first - a[0], stop)
+
+            for text, start, end in _contents(data):
+                if text is None:
+                    span = outer(start, end)
+                    found.add((span[0], KINDS.index("inflated"), span[1]))
+                else:
+                    yield Layer(text, [(0, *outer(start, end), False)])
 
 
 def unwrapped(layer: Layer, found: set) -> Iterator[Layer]:

@@ -3,6 +3,7 @@
 import base64
 import gzip
 import hashlib
+import random
 import re
 import zlib
 from urllib.parse import quote
@@ -99,6 +100,56 @@ def test_equal_nested_blobs_are_all_found(times):
         assert secret_scan.redacted(text) == " | ".join(["[secret]"] * times)
 
 
+SECRET = "token = 'Ab1Cd2Ef3Gh4'"
+
+
+def b64(data: bytes) -> str:
+    return base64.b64encode(data).decode()
+
+
+def noise(size: int, seed: int = 5) -> bytes:
+    return random.Random(seed).randbytes(size)
+
+
+PARTIAL = {
+    "wrapped": base64.encodebytes(b"y" * 50 + SECRET.encode() + b"z" * 90).decode().strip(),
+    "wrapped gzip": base64.encodebytes(gzip.compress(noise(120) + SECRET.encode() + noise(90))).decode().strip(),
+    "wrapped zlib, indented": base64.encodebytes(zlib.compress(noise(90) + SECRET.encode())).decode().strip().replace("\n", "\r\n  "),
+    "path": "/v1/" + b64(SECRET.encode()),
+    "misaligned": "id-" + b64(SECRET.encode()),
+    "misaligned gzip": "x/id-" + b64(gzip.compress(SECRET.encode())),
+    "glued behind": b64(SECRET.encode() + b"..") + "/v1/ab",
+    "nul": b64(b"\0" + SECRET.encode() + b"\0"),
+    "latin": b64(b"caf\xe9 " + SECRET.encode() + b" \xff\xfe"),
+    "gzip of bytes": b64(gzip.compress(noise(50) + b"\0" + SECRET.encode() + b"\xe9")),
+    "stream within bytes": b64(noise(50) + gzip.compress(SECRET.encode())),
+    "url with a byte": "%E9" + "".join(f"%{b:02X}" for b in SECRET.encode()) + "%FF",
+    "escapes with half a pair": "\\ud800" + "".join(f"\\u{ord(c):04x}" for c in SECRET),
+}
+
+
+@pytest.mark.parametrize("case", [*PARTIAL])
+def test_secrets_beside_what_cannot_be_decoded(case):
+    hidden = PARTIAL[case]
+    text = f"vör: {hidden}: nach"
+    assert not base(text)
+    spans = secret_scan.all_spans(text)[1]
+    assert spans and all(k == 0 and 5 <= s < e <= 5 + len(hidden) for s, k, e in spans)
+    left = secret_scan.redacted(text)
+    assert left.startswith("vör: ") and left.endswith(": nach")
+    assert not secret_scan.all_spans(left)[1]
+
+
+def test_spans_within_a_run():
+    blob = b64(SECRET.encode() + b"..")  # 24 bytes, no padding
+    for text in (f"see /v1/{blob} there", f"see\n{blob}\nthere", f"a-{blob}"):
+        at = text.index(blob)
+        ((start, kind, end),) = secret_scan.all_spans(text)[1]
+        assert kind == 0 and at - 4 <= start <= at and end >= at + len(blob) - 4
+    text = "no secret here\nonly words that go on\nover_many-lines/of text\n" * 20
+    assert secret_scan.all_spans(text) == ([], [])
+
+
 def test_loops_end():
     for text in ("%25" * 40 + "41", "%2525252525" * 20, "\\u005cu005cu005c" * 10, "A" * 500):
         assert secret_scan.all_spans(text) == ([], [])
