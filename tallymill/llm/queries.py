@@ -10,6 +10,7 @@ from tallymill.llm import (
     chat,
     embedding_dedup,
     packing,
+    periodic_runs,
     quality,
     secret_scan,
     sharding,
@@ -70,6 +71,12 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.link_counts(table(spark, sf_dir, "embeddings"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.report(
+        periodic_runs.find_runs(table(spark, sf_dir, "documents"), plant=True)
+    )
+
+
 QUERIES = {
     "op1_syncmer_fingerprints": op1_syncmer_fingerprints,
     "op2_curve_packing": op2_curve_packing,
@@ -81,6 +88,7 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_sharding": op9_sharding,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 # The same results as DuckDB SQL, where SQL can say them over whole tables.
 ORACLE: dict[str, str] = {

@@ -1,0 +1,120 @@
+"""Periodic runs: against all periods tried at all places."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from tallymill.llm import periodic_runs, queries
+from tests.llm import messy
+
+
+def plain_runs(words):
+    """Maximal stretches of each period, the smallest period of each stretch kept."""
+    found, ids = {}, np.unique(np.array(words or [""]), return_inverse=True)[1]
+    for q in range(1, len(words) // 4 + 1):
+        same = np.r_[False, ids[q:] == ids[:-q], False]
+        edges = np.flatnonzero(same[1:] != same[:-1])
+        for i, j in zip(edges[::2].tolist(), edges[1::2].tolist()):
+            if j - i + q >= max(6, 4 * q):
+                found.setdefault((i, j - i + q), q)
+    return sorted((s, length, q) for (s, length), q in found.items())
+
+
+def plain_row(doc_id, text, plant):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    n, h = len(words), zlib.crc32(("" if doc_id is None else str(doc_id)).encode())
+    g = h // 10
+    if plant and h % 10 == 0 and n:
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    runs = plain_runs(words)
+    dropped = {i for s, length, q in runs for i in range(s + q, s + length)}
+    best = min(runs, key=lambda r: (-r[1], r[0], r[2]), default=(None, None, None))
+    return (
+        doc_id,
+        len(runs),
+        *best,
+        best[0] if best[0] is None else 1000 * best[1] // best[2],
+        sha("".join(f"{s},{length},{q}\n" for s, length, q in runs)),
+        sha(" ".join(w for i, w in enumerate(words) if i not in dropped)),
+    )
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def patterned(rng):
+    """Words in which periods nest, overlap and touch."""
+    words = []
+    for _ in range(rng.randint(1, 5)):
+        piece = [rng.choice("abc"[: rng.randint(1, 3)]) for _ in range(rng.randint(1, 9))]
+        if rng.random() < 0.4:
+            piece = piece + ["a"] * rng.randint(3, 15)
+        words += piece * rng.randint(1, 7)
+        words = words[: len(words) - rng.randint(0, 3)]
+        if rng.random() < 0.3:
+            words = (words + ["z"] * rng.randint(0, 2)) * rng.randint(1, 5)
+    return words
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_random_words(seed):
+    rng = random.Random(seed)
+    for _ in range(400):
+        words = patterned(rng)
+        assert periodic_runs.runs_of(words) == plain_runs(words), words
+
+
+def test_many_earlier_occurrences():
+    """A line that returns often, and long runs with short ones inside."""
+    rng = random.Random(5)
+    line = "l1 l2 l3 l4 l5 l6 l7".split()
+    cases = [
+        [w for i in range(150) for w in (*line, f"x{i}", f"y{rng.randrange(4)}")],
+        (["a"] * 30 + ["b"]) * 40,
+        ["a"] * 900 + ["b"] + ["a"] * 900,
+        ("a a b " * 300).split() + ("a b b " * 200).split(),
+        line * 60 + ["z"] + line * 60,
+    ]
+    for words in cases:
+        assert periodic_runs.runs_of(words) == plain_runs(words)
+
+
+def test_a_run_costs_its_length():
+    words = ["a"] * 300_000
+    assert periodic_runs.runs_of(words) == [(0, 300_000, 1)]
+    words = ("a b a c d " * 60_000).split()
+    assert periodic_runs.runs_of(words) == [(0, 300_000, 5)]
+
+
+def test_whole_table(spark, sf_dir):
+    documents = messy.table(spark, sf_dir, "documents").collect()
+    want = sorted(plain_row(r.doc_id, r.text, True) for r in documents)
+    got = queries.QUERIES["op12_periodic_runs"](spark, sf_dir)
+    assert sorted(tuple(r) for r in got.collect()) == want
+    assert sum(r[1] for r in want) > 10
+    assert got.columns[1:6] == ["n_runs", "start", "length", "period", "exponent_milli"]
+
+
+@pytest.mark.parametrize("plant", [False, True])
+def test_awkward_documents(spark, plant):
+    texts = [*messy.TEXTS]
+    texts += [(i, "go on " * 30 + f"x{i}") for i in range(40)] * 2
+    texts += [(99, "a\x0ba\x0ca\ta\na\ra a\x1ca a\x1ca a\xa0a")]
+    found = periodic_runs.report(periodic_runs.find_runs(messy.documents(spark, texts), plant))
+    key = lambda row: tuple(map(str, row))
+    assert sorted((tuple(r) for r in found.collect()), key=key) == sorted(
+        (plain_row(i, t, plant) for i, t in texts), key=key
+    )
+
+
+def test_empty_table(spark):
+    found = periodic_runs.find_runs(messy.documents(spark, []))
+    assert periodic_runs.report(found).collect() == []
+    assert found.columns == ["doc_id", "runs", "collapsed"]
