@@ -14,6 +14,7 @@ from tallymill.llm import (
     quality,
     secret_scan,
     sharding,
+    suffix_dedup,
     syncmers,
     toxicity,
     weighted_minhash,
@@ -71,6 +72,10 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.link_counts(table(spark, sf_dir, "embeddings"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.report(
         periodic_runs.find_runs(table(spark, sf_dir, "documents"), plant=True)
@@ -88,6 +93,7 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_sharding": op9_sharding,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
+    "op11_suffix_dedup": op11_suffix_dedup,
     "op12_periodic_runs": op12_periodic_runs,
 }
 # The same results as DuckDB SQL, where SQL can say them over whole tables.

@@ -66,8 +66,8 @@ def patterned(rng):
 @pytest.mark.parametrize("seed", range(8))
 def test_random_words(seed):
     rng = random.Random(seed)
-    for _ in range(400):
-        words = patterned(rng)
+    for _ in range(150):
+        words = patterned(rng)[:300]
         assert periodic_runs.runs_of(words) == plain_runs(words), words
 
 
