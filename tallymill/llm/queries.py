@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallymill.llm import (
     bpe,
     chat,
+    collocations,
     embedding_dedup,
     packing,
     periodic_runs,
@@ -82,6 +83,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_syncmer_fingerprints": op1_syncmer_fingerprints,
     "op2_curve_packing": op2_curve_packing,
@@ -95,9 +100,50 @@ QUERIES = {
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
     "op11_suffix_dedup": op11_suffix_dedup,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
 # The same results as DuckDB SQL, where SQL can say them over whole tables.
 ORACLE: dict[str, str] = {
+    "op13_phrase_collocations": rf"""
+WITH pieces AS (
+ SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+),
+spoken AS (
+ SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda w: w <> '') AS words FROM pieces
+),
+totals AS (SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM spoken GROUP BY lang),
+each AS (
+ SELECT lang, unnest(flatten(list_transform(range(1, {collocations.LONGEST + 1}), lambda k:
+  list_transform(range(1, len(words) - k + 2), lambda i: words[i : i + k - 1])))) AS phrase FROM spoken
+),
+counted AS (
+ SELECT lang, phrase, count(*) AS f FROM each GROUP BY lang, phrase HAVING count(*) >= {collocations.LEAST}
+),
+cuts AS (
+ SELECT c.lang, c.phrase, c.f AS a, a.f AS l, b.f AS r, k,
+  CAST(1000 AS HUGEINT) * c.f * n // (CAST(a.f AS HUGEINT) * b.f) AS score
+ FROM (SELECT *, unnest(range(1, len(phrase))) AS k FROM counted WHERE len(phrase) > 1) c
+ JOIN counted a ON a.lang = c.lang AND a.phrase = c.phrase[1 : c.k]
+ JOIN counted b ON b.lang = c.lang AND b.phrase = c.phrase[c.k + 1 : len(c.phrase)]
+ JOIN totals t ON t.lang = c.lang
+),
+covered AS (
+ SELECT DISTINCT lang, unnest(flatten(list_transform(range(2, len(phrase)), lambda k:
+  list_transform(range(1, len(phrase) - k + 2), lambda i: phrase[i : i + k - 1])))) AS phrase, f
+ FROM counted WHERE len(phrase) > 2
+),
+best AS (
+ SELECT lang, array_to_string(phrase, ' ') AS phrase, a, arg_min(l, (score, k)) AS l, arg_min(r, (score, k)) AS r,
+  CAST(min(score) AS BIGINT) AS score
+ FROM cuts ANTI JOIN covered ON covered.lang = cuts.lang AND covered.phrase = cuts.phrase AND covered.f = cuts.a
+ GROUP BY lang, phrase, a
+),
+ranked AS (
+ SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= {collocations.TOP}
+""",
     "op5_chat_formatting": rf"""
 WITH turns AS (
  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS said FROM conversations
