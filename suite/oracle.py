@@ -229,6 +229,36 @@ RULE_METRICS = waterfall() + "\n" + "\nUNION ALL ".join(
 FULL = reconciled()
 FIRST_RULE = reconciled(rules=WATERFALL[:1])
 
+_DAILY = reconciled(inc=CLEAN_INCREMENTS, rep=CLEAN_REPORTS, order=_TIMED)
+_ROUTED = ", ".join(f"'{g}'" for g in GROUP_TABLE)
+_COUNTS = {
+    "rows": "count(*)",
+    "matched": "count(*) FILTER (WHERE MATCH_OK)",
+    "pending": "count(*) FILTER (WHERE NOT MATCH_OK)",
+    "unrouted": f"count(*) FILTER (WHERE GRUPO NOT IN ({_ROUTED}))",
+    **{
+        f"rule {r}": f"count(*) FILTER (WHERE REGRA_ORIGEM = '{r}')"
+        for r in ("R1", "R2", "R3", "R4", "R5", "R4-1", "R5-1", "SEM_MATCH")
+    },
+    **{f"table {t}": f"count(*) FILTER (WHERE GRUPO = '{g}')" for g, t in GROUP_TABLE.items()},
+    **{
+        f"export {t[-2:]}": f"count(*) FILTER (WHERE GRUPO = '{g}' AND NOT MATCH_OK)"
+        for g, t in GROUP_TABLE.items()
+    },
+}
+LEDGER = (
+    f"WITH done AS ({_DAILY}), raw AS ({RAW_INCREMENTS}), said AS ("
+    + " UNION ALL ".join(
+        [f"SELECT '{name}' AS name, {sql} AS count FROM done" for name, sql in _COUNTS.items()]
+        + [
+            f"SELECT 'unread {c}', count(*) FILTER (WHERE {date(c)} IS NULL AND trim({c}) <> '') FROM raw"
+            for c in ("DATA_EXECUCAO", "DATA_BAIXA")
+        ]
+        + [f"SELECT 'reports', count(*) FROM ({CLEAN_REPORTS})"]
+    )
+    + ") SELECT name, count, CAST(2 AS BIGINT) AS runs FROM said"
+)
+
 VIEW_DAY = "1998-01-01"
 # Every increment of a report's unit and month is a candidate; how near it is
 # to the report, and then its total, ranks it.
@@ -254,6 +284,17 @@ SELECT a."UC / MD", a.STATUS, a.DATA_EXECUCAO, a.COD, a.EQUIPE,
 FROM asked a LEFT JOIN ranked r ON r.ask = a.ask AND r.place = 1
 """
 
+# A lookup on each indexed column.
+LOOKUPS = {
+    "unit": "INSTALACAO = 7",
+    "code": "IRREGULARIDADE = 307",
+    "executed": "DATA_EXECUCAO BETWEEN DATE '1996-03-01' AND DATE '1996-03-31'",
+    "closed": "DATA_BAIXA = DATE '1996-05-02'",
+    "class": "CLASSIFICACAO_IRREG = 'C300'",
+    "matched": "MATCH_OK",
+    "reason": "MOTIVO_PENDENCIA = 'mismatch_cod'",
+}
+
 REP = f"(SELECT *, {class_of('irregularidade')} AS classificacao FROM ({REPORTS}))"
 _REP_MONTH = (
     f"SELECT *, {month('data_exec_rep')} AS mes_ano_exec FROM {REP}"
@@ -342,6 +383,23 @@ def oracle_sql():
             f" {table_rows(FULL, 'increment_at')}"
         ),
         "publish_layout": table_rows(FULL),
+        "publish_curve_layout": table_rows(FULL),
+        "layout_lookups": " UNION ALL ".join(
+            f"SELECT tabela, count(*) AS n_rows, CAST(sum(INC_TOTAL) AS BIGINT) AS total,"
+            f" '{name}' AS lookup FROM ({table_rows(FULL)}) WHERE {sql} GROUP BY tabela"
+            for name, sql in LOOKUPS.items()
+        ),
+        "publish_uncommitted": table_rows(FIRST_RULE),
+        "publish_append_repeated": f"{table_rows(FIRST_RULE)} UNION ALL {table_rows(FULL)}",
+        "largest_totals": (
+            "SELECT tabela, INSTALACAO, DATA_EXECUCAO, IRREGULARIDADE, max(INC_TOTAL) AS INC_TOTAL"
+            f" FROM ({table_rows(FULL)}) WHERE INSTALACAO IS NOT NULL AND DATA_EXECUCAO IS NOT NULL"
+            " GROUP BY ALL"
+        ),
+        "serving_view_of_loads": VIEW.replace(
+            "{inc}", f"SELECT * FROM ({FULL}) WHERE GRUPO = 'BAIXA TENSAO'"
+        ),
+        "daily_ledger": LEDGER,
         "best_match_view": VIEW.replace("{inc}", CLASSED),
         "serving_view": VIEW.replace(
             "{inc}", f"SELECT * FROM ({FULL}) WHERE GRUPO = 'BAIXA TENSAO'"

@@ -6,7 +6,7 @@ from functools import partial
 from pyspark.sql import functions as F
 
 from suite import projection as p
-from suite.oracle import ALONE, RULE_NAMES, VIEW_DAY
+from suite.oracle import ALONE, LOOKUPS, RULE_NAMES, VIEW_DAY
 from tallymill.functions.domain import (
     code_class,
     month_start,
@@ -41,7 +41,13 @@ from tallymill.schema import (
     TEXT_COLUMNS,
 )
 from tallymill.sinks.pending import export_pending
-from tallymill.sinks.publish import publish
+from tallymill.sinks.publish import (
+    largest_of,
+    merge_largest,
+    prepare,
+    publish,
+    run_ledger,
+)
 from tallymill.sinks.shared import shared_folder
 from tallymill.sources.snapshot import read_snapshot
 
@@ -128,6 +134,75 @@ def publish_layout(spark, sf_dir):
     return published(spark, routes)
 
 
+def publish_curve_layout(spark, sf_dir):
+    routes, root = fresh_routes(), shared_folder(spark, "publish")
+    publish(reconciled(spark, sf_dir), root, routes, layout="curve")
+    return published(spark, routes)
+
+
+def layout_lookups(spark, sf_dir):
+    """A lookup on each indexed column of tables laid out along the curve."""
+    rows = publish_curve_layout(spark, sf_dir)
+    found = [
+        rows.where(sql)
+        .groupBy("tabela")
+        .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("INC_TOTAL").alias("total"))
+        .withColumn("lookup", F.lit(name))
+        for name, sql in LOOKUPS.items()
+    ]
+    out = found[0]
+    for frame in found[1:]:
+        out = out.unionByName(frame)
+    return out
+
+
+def publish_uncommitted(spark, sf_dir):
+    """A second day that is written in full and whose commit never comes."""
+    routes, root = fresh_routes(), shared_folder(spark, "publish")
+    publish(reconciled(spark, sf_dir, WATERFALL[:1]), root, routes)
+    prepare(reconciled(spark, sf_dir), root, routes)
+    return published(spark, routes)
+
+
+def publish_append_repeated(spark, sf_dir):
+    """The same load appended twice, after another."""
+    routes, root = fresh_routes(), shared_folder(spark, "publish")
+    loads = {"one": WATERFALL[:1], "two": WATERFALL}
+    for load in ("one", "two", "two", "one"):
+        rows = reconciled(spark, sf_dir, loads[load])
+        publish(rows, root, routes, "append", load_id=load)
+    return published(spark, routes)
+
+
+def two_loads(spark, sf_dir, purpose):
+    """Published tables of two appended loads, of the first halves and second of notes."""
+    routes, root = fresh_routes(), shared_folder(spark, purpose)
+    result = reconciled(spark, sf_dir)
+    odd = F.col("NOTA").cast("bigint") % 2 == 1
+    publish(result.where(odd), root, routes)
+    publish(result.where(~odd), root, routes, strategy="append")
+    return routes, root
+
+
+def largest_totals(spark, sf_dir):
+    """Kept with each load, and the largest over both."""
+    routes, _ = two_loads(spark, sf_dir, "largest")
+    frames = [
+        spark.read.table(largest_of(spark, table)).withColumn("tabela", F.lit(GROUP_TABLE[group]))
+        for group, table in routes.items()
+    ]
+    keys = ["tabela", "INSTALACAO", "DATA_EXECUCAO", "IRREGULARIDADE"]
+    rows = frames[0].unionByName(frames[1])
+    return rows.groupBy(*keys).agg(F.max("INC_TOTAL").alias("INC_TOTAL"))
+
+
+def serving_view_of_loads(spark, sf_dir):
+    """The named view over two loads, whose totals are merged into one partition."""
+    routes, root = two_loads(spark, sf_dir, "serving")
+    merge_largest(spark, routes["BAIXA TENSAO"])
+    return named_view(spark, sf_dir, routes, root)
+
+
 def pending_export(spark, sf_dir):
     path = shared_folder(spark, "pending")
     export_pending(reconciled(spark, sf_dir), path)
@@ -137,6 +212,10 @@ def pending_export(spark, sf_dir):
 def serving_view(spark, sf_dir):
     routes, root = fresh_routes(), shared_folder(spark, "serving")
     publish(reconciled(spark, sf_dir), root, routes)
+    return named_view(spark, sf_dir, routes, root)
+
+
+def named_view(spark, sf_dir, routes, root):
     run = uuid.uuid4().hex
     p.view_reports(spark, sf_dir).write.parquet(f"{root}/reports")
     spark.sql(f"CREATE VIEW reports_{run} AS SELECT * FROM parquet.`{root}/reports`")
@@ -184,6 +263,20 @@ def daily_run(spark, sf_dir):
     return published(spark, routes)
 
 
+def daily_ledger(spark, sf_dir):
+    """What the ledger says after two runs, under the plain names of the tables."""
+    routes, root = fresh_routes(), shared_folder(spark, "daily")
+    reports = clean_reports(p.raw_reports(spark, sf_dir), keep=TIES)
+    folder = drop_snapshots(spark, sf_dir)
+    for strategy in ("replace", "append"):
+        run_daily(spark, folder, reports, root, tie_breakers=TIES, routes=routes, strategy=strategy)
+    plain = F.col("name")
+    for group, table in routes.items():
+        plain = F.replace(plain, F.lit(table), F.lit(GROUP_TABLE[group]))
+    runs = run_ledger(spark, f"{root}/tables", routes).select("run", plain.alias("name"), "count")
+    return runs.groupBy("name", "count").agg(F.count_distinct("run").alias("runs"))
+
+
 def queries():
     registered = {
         "scan_project_rename": lambda s, d: clean_reports(p.raw_reports(s, d), keep=TIES).withColumn(
@@ -243,6 +336,13 @@ def queries():
         "publish_routing": publish_routing,
         "publish_empty_group": publish_empty_group,
         "publish_layout": publish_layout,
+        "publish_curve_layout": publish_curve_layout,
+        "layout_lookups": layout_lookups,
+        "publish_uncommitted": publish_uncommitted,
+        "publish_append_repeated": publish_append_repeated,
+        "largest_totals": largest_totals,
+        "serving_view_of_loads": serving_view_of_loads,
+        "daily_ledger": daily_ledger,
         "best_match_view": lambda s, d: best_match(
             p.view_reports(s, d), p.increments(s, d), VIEW_DAY
         ),

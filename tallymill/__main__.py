@@ -4,6 +4,7 @@
 """
 
 import argparse
+import re
 
 from pyspark.sql import SparkSession
 
@@ -12,8 +13,10 @@ from tallymill.plans.daily import run_daily
 from tallymill.plans.serving import VIEW_SINCE, create_serving_view
 from tallymill.schema import GROUP_TABLE
 from tallymill.session import SETTINGS
-from tallymill.sinks.publish import LAYOUTS, STRATEGIES, drop_dead
+from tallymill.sinks.layout import LAYOUTS
+from tallymill.sinks.publish import STRATEGIES, drop_dead
 from tallymill.sources.reports import read_reports
+from tallymill.sources.snapshot import newest_snapshot
 
 
 def arguments(given: list[str] | None = None) -> argparse.Namespace:
@@ -22,6 +25,7 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("report_table")
     parser.add_argument("root", help="folder of published tables and pending rows")
     parser.add_argument("--strategy", choices=STRATEGIES, default="replace")
+    parser.add_argument("--load-id", help="appended once; the name of the snapshot if not given")
     parser.add_argument("--layout", choices=LAYOUTS, default="sorted")
     parser.add_argument("--on-fraction", choices=("fail", "null"), default="fail")
     parser.add_argument("--date-format", action="append", help="tried in order; 'iso' or a pattern")
@@ -37,6 +41,7 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
 def main() -> None:
     args = arguments()
     spark = SparkSession.builder.appName("tallymill").config(map=SETTINGS).getOrCreate()
+    name = newest_snapshot(spark, args.snapshot_folder).rsplit("/", 1)[-1]
     reports = read_reports(spark, table=args.report_table, keep=args.tie_breaker)
     counts = run_daily(
         spark,
@@ -50,6 +55,7 @@ def main() -> None:
         layout=args.layout,
         multi_line=args.multi_line,
         pending_source=args.pending_format,
+        load_id=args.load_id or re.sub(r"[^\w.:-]", "_", name),
     )
     for name, count in counts.items():
         print(f"{name}: {count}")

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymill.operators.first_hit import Way, first_hit
+from tallymill.sinks.publish import largest_of
 
 # --- Fixed values -----------------------------------------------------------
 VIEW_FILTER = "STATUS <> 'CANCELADO' AND REGIONAL = 'SUL' AND GRUPO = 'BT'"
@@ -69,7 +70,11 @@ def best_match(reports: DataFrame, increments: DataFrame, since: str = VIEW_SINC
 
 
 def serving_view_sql(reports: str, increments: str, since: str = VIEW_SINCE) -> str:
-    """The same result as SQL text over two tables."""
+    """The same result as SQL text over two tables.
+
+    ``increments`` may be a published table or its largest totals: the largest of the
+    largest is the same.
+    """
     return f"""
 WITH by_code AS (
   SELECT string(INSTALACAO) unit, DATA_EXECUCAO day, string(IRREGULARIDADE) code,
@@ -100,7 +105,10 @@ def create_serving_view(
     name: str = "vw_increment_bt",
     since: str = VIEW_SINCE,
 ) -> None:
-    """A named view; it is computed when read, so it follows each snapshot."""
-    spark.sql(
-        f"CREATE OR REPLACE VIEW {name} AS {serving_view_sql(reports, increments, since)}"
-    )
+    """A named view; it is computed when read, so it follows each snapshot.
+
+    On a published table it reads the largest totals that every snapshot carries along,
+    a row per unit, day and code, and no increments.
+    """
+    read = largest_of(spark, increments) or increments
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {serving_view_sql(reports, read, since)}")

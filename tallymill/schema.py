@@ -55,6 +55,12 @@ REPORT_COLUMNS = {
     "EQUIPE": "equipe",
 }
 
+# Columns that the published tables are looked up by.
+INDEXED = [
+    "INSTALACAO", "IRREGULARIDADE", "DATA_EXECUCAO", "DATA_BAIXA",
+    "CLASSIFICACAO_IRREG", "MATCH_OK", "MOTIVO_PENDENCIA",
+]
+
 # Cell texts a spreadsheet reader takes for a missing value.
 MISSING_CELLS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
