@@ -78,6 +78,30 @@ def text(c):
     return f"CASE WHEN {c} IS NULL OR {c} IN ('nan', 'None', 'NaN') THEN '' ELSE trim({c}) END"
 
 
+def parts(c, form):
+    return f"try_strptime(replace(replace(trim({c}), '.', '/'), '-', '/'), '{form}')"
+
+
+# The layouts that the test columns have, and the others with what reads them.
+FORMATS = {
+    "iso": instant,
+    "day first": lambda c: parts(c, "%d/%m/%Y"),
+    "month first": lambda c: parts(c, "%m/%d/%Y"),
+    "year first": lambda c: f"try_strptime(trim({c}), '%Y/%m/%d')",
+    "compact": lambda c: f"try_strptime(trim({c}), '%Y%m%d')",
+}
+
+
+def format_counts(name, column, source):
+    """Of these columns none is ambiguous: what reads a text is chosen."""
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS \"column\", '{f}' AS format,"
+        f" count(*) FILTER (WHERE trim({column}) <> '') AS n_texts, count({read(column)}) AS n_read,"
+        f" count({read(column)}) > 0 AS chosen FROM ({source})"
+        for f, read in FORMATS.items()
+    )
+
+
 DATES = [f"{date(c)} AS {c}" for c in ("DATA_EXECUCAO", "DATA_BAIXA")]
 INTEGERS = [
     f"coalesce({integer(c)}, 0) AS {c}"
@@ -315,6 +339,20 @@ def oracle_sql():
             f" FROM ({CLEAN_REPORTS})"
         ),
         "clean_dates": from_raw("NOTA", *DATES),
+        "date_formats": " UNION ALL ".join(
+            [format_counts(c, c, RAW_INCREMENTS) for c in ("DATA_EXECUCAO", "DATA_BAIXA")]
+            + [
+                format_counts(f"rep {c}", f'"{c}"', duck(RAW_REPORTS))
+                for c in ("DATA_EXECUCAO", "DATA BAIXADO")
+            ]
+        ),
+        "clean_dates_detected": from_raw(
+            "NOTA",
+            *[
+                f"CAST(coalesce({instant(c)}, {parts(c, '%d/%m/%Y')}) AS DATE) AS {c}"
+                for c in ("DATA_EXECUCAO", "DATA_BAIXA")
+            ],
+        ),
         "clean_int_zero": from_raw("NOTA", *INTEGERS),
         "clean_int_null": from_raw("NOTA", *MONTH_INTEGERS),
         "clean_int_strict": (

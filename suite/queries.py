@@ -28,6 +28,7 @@ from tallymill.operators.diagnose import (
     rule_metrics,
     unit_profiles,
 )
+from tallymill.operators.formats import date_format_report, detect_date_formats
 from tallymill.operators.lookup import keep_first
 from tallymill.operators.reconcile import final_projection, reconcile
 from tallymill.plans.daily import run_daily
@@ -63,6 +64,12 @@ def clean_columns(spark, sf_dir, function, names, keep=("NOTA",)):
     return p.raw_increments(spark, sf_dir).select(*keep, *cleaned)
 
 
+def detected_dates(spark, sf_dir):
+    raw = p.raw_increments(spark, sf_dir)
+    formats = detect_date_formats(raw, DATE_COLUMNS)
+    return raw.select("NOTA", *[lenient_date(F.col(c), formats[c]).alias(c) for c in DATE_COLUMNS])
+
+
 def classed_reports(spark, sf_dir):
     return (
         p.reports(spark, sf_dir)
@@ -283,6 +290,12 @@ def queries():
             "hora_exec_rep", F.date_format("hora_exec_rep", "yyyy-MM-dd HH:mm:ss.SSS")
         ),
         "clean_dates": lambda s, d: clean_columns(s, d, lenient_date, DATE_COLUMNS),
+        "date_formats": lambda s, d: date_format_report(p.raw_increments(s, d), DATE_COLUMNS).unionByName(
+            date_format_report(p.raw_reports(s, d), ["DATA_EXECUCAO", "DATA BAIXADO"]).withColumn(
+                "column", F.concat(F.lit("rep "), "column")
+            )
+        ),
+        "clean_dates_detected": detected_dates,
         "clean_int_zero": lambda s, d: clean_columns(s, d, int_or_zero, INTEGER_COLUMNS),
         "clean_int_null": lambda s, d: clean_columns(s, d, lenient_int, MONTHS),
         "clean_int_strict": lambda s, d: p.raw_reports(s, d).select(

@@ -9,6 +9,7 @@ import re
 from pyspark.sql import SparkSession
 
 from tallymill.functions.values import DATE_FORMATS
+from tallymill.operators.formats import DETECT
 from tallymill.plans.daily import run_daily
 from tallymill.plans.serving import VIEW_SINCE, create_serving_view
 from tallymill.schema import GROUP_TABLE
@@ -28,7 +29,7 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--load-id", help="appended once; the name of the snapshot if not given")
     parser.add_argument("--layout", choices=LAYOUTS, default="sorted")
     parser.add_argument("--on-fraction", choices=("fail", "null"), default="fail")
-    parser.add_argument("--date-format", action="append", help="tried in order; 'iso' or a pattern")
+    parser.add_argument("--date-format", action="append", help="tried in order; 'iso', another known name or a pattern; 'detect' alone finds them")
     parser.add_argument("--tie-breaker", action="append", default=[], help="column of the reports")
     parser.add_argument("--multi-line", action="store_true", help="cells may hold line breaks")
     parser.add_argument("--pending-format", default="parquet")
@@ -50,7 +51,7 @@ def main() -> None:
         args.root,
         tie_breakers=args.tie_breaker,
         on_fraction=args.on_fraction,
-        date_formats=args.date_format or DATE_FORMATS,
+        date_formats=DETECT if args.date_format == [DETECT] else args.date_format or DATE_FORMATS,
         strategy=args.strategy,
         layout=args.layout,
         multi_line=args.multi_line,
