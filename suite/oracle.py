@@ -383,6 +383,7 @@ def oracle_sql():
             "instalacao, classificacao, mes_ano_exec", "WHERE data_baixa_rep IS NULL"
         ),
         "reconcile": FULL,
+        "reconcile_kept": FULL,
         "reconcile_null_safe": reconciled(inc=CLASSED_MISSING, rules=null_safe()),
         "uc_profiles": (
             "SELECT instalacao,"

@@ -41,6 +41,7 @@ from tallymill.schema import (
     MONTHS,
     TEXT_COLUMNS,
 )
+from tallymill.sinks.kept import kept_reports, merge_reports
 from tallymill.sinks.pending import export_pending
 from tallymill.sinks.publish import (
     largest_of,
@@ -59,6 +60,16 @@ def reconciled(spark, sf_dir, rules=WATERFALL):
     return reconcile(p.increments(spark, sf_dir), p.reports(spark, sf_dir), rules, TIES)
 
 
+def reconcile_kept(spark, sf_dir):
+    """Reports come in three lots, which are merged into the kept ones."""
+    name, root = f"kept_{uuid.uuid4().hex}", shared_folder(spark, "kept")
+    reports = p.reports(spark, sf_dir)
+    for lot in range(3):
+        merge_reports(reports.where(F.col("rep_id") % 3 == lot), name, root, TIES, buckets=8)
+    kept = kept_reports(spark, name)
+    return reconcile(p.increments(spark, sf_dir), None, tie_breakers=TIES, kept=kept)
+
+
 def clean_columns(spark, sf_dir, function, names, keep=("NOTA",)):
     cleaned = [function(F.col(c)).alias(c) for c in names]
     return p.raw_increments(spark, sf_dir).select(*keep, *cleaned)
@@ -328,6 +339,7 @@ def queries():
         "dedup_keep_first": dedup,
         "dedup_keep_first_no_baixa": partial(dedup, open_only=True),
         "reconcile": reconciled,
+        "reconcile_kept": reconcile_kept,
         "reconcile_null_safe": lambda s, d: reconcile(
             p.increments(s, d, keep_missing_class=True), p.reports(s, d), null_safe(), TIES
         ),

@@ -26,6 +26,7 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("report_table")
     parser.add_argument("root", help="folder of published tables and pending rows")
     parser.add_argument("--strategy", choices=STRATEGIES, default="replace")
+    parser.add_argument("--kept", help="name of a kept reduction that the reports are merged into")
     parser.add_argument("--load-id", help="appended once; the name of the snapshot if not given")
     parser.add_argument("--layout", choices=LAYOUTS, default="sorted")
     parser.add_argument("--on-fraction", choices=("fail", "null"), default="fail")
@@ -56,6 +57,7 @@ def main() -> None:
         layout=args.layout,
         multi_line=args.multi_line,
         pending_source=args.pending_format,
+        kept=args.kept,
         load_id=args.load_id or re.sub(r"[^\w.:-]", "_", name),
     )
     for name, count in counts.items():

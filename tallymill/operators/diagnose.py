@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallymill.functions.domain import code_class
 from tallymill.operators.first_hit import best_hits, key_profile
-from tallymill.operators.lookup import NO_MONTH, NO_NUMBER
+from tallymill.operators.lookup import NO_MONTH, NO_NUMBER, first_reports
 from tallymill.operators.reconcile import KEYS, keyed, ways_to_reports
 from tallymill.plans.rules import WATERFALL, Rule
 
@@ -59,7 +59,8 @@ def rule_metrics(
     the rows themselves are not shuffled.
     """
     profile = key_profile(keyed(increments.select(_MATCH_INPUT)), KEYS)
-    ways = ways_to_reports(reports.where("instalacao <> 0"), rules, tie_breakers)
+    firsts = first_reports(reports.where("instalacao <> 0"), tie_breakers)
+    ways = ways_to_reports(firsts, rules)
     found = best_hits(profile, ways)
     counts = []
     for step, rule in enumerate(rules, start=1):

@@ -65,8 +65,8 @@ def _restored(found: DataFrame) -> DataFrame:
     return found.selectExpr("*", *back)
 
 
-def ways_to_reports(reports: DataFrame, rules: Sequence[Rule], tie_breakers: Sequence[str]) -> list[Way]:
-    firsts = first_reports(reports, tie_breakers)
+def ways_to_reports(firsts: DataFrame, rules: Sequence[Rule]) -> list[Way]:
+    """``firsts`` are ``first_reports``, made now or kept."""
     ways = [
         Way(
             family_lookup(firsts, family),
@@ -87,9 +87,10 @@ def ways_to_reports(reports: DataFrame, rules: Sequence[Rule], tie_breakers: Seq
 
 def match(
     increments: DataFrame,
-    reports: DataFrame,
+    reports: DataFrame | None,
     rules: Sequence[Rule] = WATERFALL,
     tie_breakers: Sequence[str] = (),
+    kept: DataFrame | None = None,
 ) -> DataFrame:
     """Increments with their keys and ``hit``: the step reached and its report.
 
@@ -98,10 +99,14 @@ def match(
 
     Unit 0 stands for a missing or unreadable unit, and cleaned reports never
     have it.  Such increments have no hit and are not shuffled.
+
+    ``kept`` are the first reports of a kept table, in place of ``reports``.
     """
     facts = keyed(increments)
     nowhere = f"_unit IN (0, {_KEYED['INSTALACAO'][1]})"
-    ways = ways_to_reports(reports.where("instalacao <> 0"), rules, tie_breakers)
+    if kept is None:
+        kept = first_reports(reports.where("instalacao <> 0"), tie_breakers)
+    ways = ways_to_reports(kept, rules)
     found = first_hit(facts.where(f"NOT {nowhere}"), KEYS, ways)
     missed = facts.where(nowhere).withColumn("hit", F.lit(None).cast(found.schema["hit"].dataType))
     return _restored(found.unionByName(missed))
@@ -109,17 +114,18 @@ def match(
 
 def reconcile(
     increments: DataFrame,
-    reports: DataFrame,
+    reports: DataFrame | None,
     rules: Sequence[Rule] = WATERFALL,
     tie_breakers: Sequence[str] = (),
+    kept: DataFrame | None = None,
 ) -> DataFrame:
     """All increments, matched or not, with team, rule and pending reason.
 
     A match fills the execution date where it was missing and the code where it
     was 0, both from the winning report; class and months stay as they were.
-    One report may serve many increments.
+    One report may serve many increments.  See ``match`` for ``kept``.
     """
-    found = match(increments, reports, rules, tie_breakers)
+    found = match(increments, reports, rules, tie_breakers, kept)
     n = len(rules)
     matched = f"coalesce(hit.step <= {n}, false)"
     ids = ", ".join(f"'{r.id}'" for r in rules)

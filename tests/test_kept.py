@@ -1,0 +1,137 @@
+"""The kept reduction of reports: the same as reducing all of them, and its plans."""
+
+import re
+import uuid
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from suite import projection
+from tallymill.operators.lookup import first_reports
+from tallymill.operators.reconcile import reconcile
+from tallymill.plans.daily import run_daily
+from tallymill.schema import INCREMENT_COLUMNS
+from tallymill.sinks.kept import kept_reports, merge_reports, merged_firsts
+from tests.frames import inc, increments, rep, reports
+from tests.test_plans import plan_of
+
+
+@pytest.fixture
+def name():
+    return f"kept_{uuid.uuid4().hex}"
+
+
+def rows_of(frame):
+    return sorted(map(str, frame.collect()))
+
+
+def test_merged_lots_equal_one_reduction(spark, sf_dir, tmp_path, name):
+    """Whatever the order of the lots, also where one is merged twice."""
+    whole = projection.reports(spark, sf_dir)
+    want = rows_of(first_reports(whole, ["rep_id"]))
+    for order in ([0, 1, 2, 3], [3, 1, 0, 2, 1]):
+        for i, lot in enumerate(order):
+            some = whole.where(F.col("rep_id") % 4 == lot)
+            merge_reports(some, name, str(tmp_path), ["rep_id"], 4, start_anew=i == 0)
+        assert rows_of(kept_reports(spark, name)) == want
+
+
+def test_ties_missing_values_and_unit_0(spark, tmp_path, name):
+    lots = [
+        [rep(1, 109, "2026-01-05", team=None), rep(1, 109, "2026-01-05", team="B")],
+        [rep(1, 109, "2026-01-05", team="A"), rep(1, None, None, None, None), rep(0, 109, "2026-01-05")],
+        [rep(1, 109, "2026-01-06", team=None), rep(2, 175, None, "2026-02-01"), rep(2, 175, "2026-02-01")],
+        [],
+    ]
+    for lot in lots:
+        merge_reports(reports(spark, *lot), name, str(tmp_path), buckets=3)
+    whole = reports(spark, *[r for lot in lots for r in lot]).where("instalacao <> 0")
+    assert rows_of(kept_reports(spark, name)) == rows_of(first_reports(whole))
+    assert spark.read.table(name).where("unit = 0").count() == 0
+
+
+def test_merging_deals_new_reports_only(spark, sf_dir, tmp_path, name):
+    some = projection.reports(spark, sf_dir)
+    merge_reports(some.where("rep_id % 2 = 0"), name, str(tmp_path), ["rep_id"], 4)
+    merged = merged_firsts(kept_reports(spark, name), some.where("rep_id % 2 = 1"), ["rep_id"], 4)
+    plan = plan_of(merged)
+    (scan,) = [x for x in plan.splitlines() if "FileScan" in x and "Bucketed: true" in x]
+    assert exchanges_above(plan, scan) == []
+
+
+def exchanges_above(plan, scan):
+    """Exchange nodes on the way from a scan to the root of a plan's text."""
+    lines = plan.splitlines()
+    at = lines.index(scan)
+    depth, found = len(re.match(r"[\s:+*()0-9-]*", scan).group()), []
+    for line in reversed(lines[:at]):
+        here = len(re.match(r"[\s:+*()0-9-]*", line).group())
+        if here < depth and line.strip():
+            depth = here
+            if "Exchange" in line:
+                found.append(line)
+    return found
+
+
+def test_lookups_are_joined_within_the_buckets(spark, sf_dir, tmp_path, name):
+    """Between the kept table and the walk of the keys nothing is shuffled."""
+    merge_reports(projection.reports(spark, sf_dir), name, str(tmp_path), ["rep_id"], 4)
+    setting = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(setting)
+    results = []
+    try:
+        for value, most in (("false", 1), ("true", 2)):
+            spark.conf.set(setting, value)
+            kept = kept_reports(spark, name)
+            result = reconcile(projection.increments(spark, sf_dir), None, kept=kept)
+            plan = plan_of(result)
+            scans = [x for x in plan.splitlines() if "FileScan" in x and "Bucketed: true" in x]
+            assert len(scans) >= 4
+            for scan in scans:
+                above = exchanges_above(plan, scan)
+                # The verdicts are dealt to the increments; and without the setting,
+                # lookups to the keys' shuffles first.
+                assert len([x for x in above if "_hash" not in x]) <= (most - 1) * 5, plan
+                assert value == "true" or len(above) == 1
+            results.append(rows_of(result.select("NOTA", "REGRA_ORIGEM", "MOTIVO_PENDENCIA", "EQUIPE")))
+    finally:
+        spark.conf.set(setting, before)
+    whole = reconcile(projection.increments(spark, sf_dir), projection.reports(spark, sf_dir), tie_breakers=["rep_id"])
+    want = rows_of(whole.select("NOTA", "REGRA_ORIGEM", "MOTIVO_PENDENCIA", "EQUIPE"))
+    assert results == [want, want]
+
+
+def test_a_merge_that_fails_leaves_what_was_kept(spark, tmp_path, name):
+    merge_reports(reports(spark, rep(1, exec="2026-01-05")), name, str(tmp_path), buckets=2)
+    before = rows_of(kept_reports(spark, name))
+    broken = reports(spark, rep(2)).withColumn("equipe", F.raise_error(F.lit("broken")).cast("string"))
+    with pytest.raises(PySparkException):
+        merge_reports(broken, name, str(tmp_path), buckets=2)
+    assert rows_of(kept_reports(spark, name)) == before
+    merge_reports(reports(spark, rep(2, exec="2026-01-05")), name, str(tmp_path), buckets=2)
+    assert len(rows_of(kept_reports(spark, name))) == 2
+
+
+def test_what_is_refused(spark, tmp_path, name):
+    with pytest.raises(ValueError, match="nothing is kept"):
+        kept_reports(spark, name)
+    merge_reports(reports(spark, rep(1)), name, str(tmp_path), buckets=2)
+    with pytest.raises(ValueError, match="ordered by"):
+        merge_reports(reports(spark, rep(1)), name, str(tmp_path), ["equipe"], buckets=2)
+    spark.sql(f"CREATE VIEW {name}_x AS SELECT 1 AS a")
+    with pytest.raises(ValueError, match="not made by"):
+        merge_reports(reports(spark, rep(1)), f"{name}_x", str(tmp_path))
+
+
+def test_daily_runs_with_new_reports_only(spark, tmp_path, name):
+    raw = increments(spark, inc(1, exec="2026-01-05", nota="a"), inc(2, exec="2026-01-05", nota="b"))
+    raw = raw.select([F.col(c).cast("string") for c in INCREMENT_COLUMNS])
+    raw.write.option("header", True).csv(str(tmp_path / "in" / "2026-01-05.csv"))
+    routes = {"BAIXA TENSAO": f"t_{uuid.uuid4().hex}"}
+    for unit, matched in ((1, 1), (2, 2)):
+        counts = run_daily(
+            spark, str(tmp_path / "in"), reports(spark, rep(unit, exec="2026-01-05")),
+            str(tmp_path / "out"), routes=routes, kept=name,
+        )
+        assert counts["matched"] == matched and counts["reports"] == 1
