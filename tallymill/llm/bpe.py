@@ -7,6 +7,11 @@ root holds no mergeable pair.  Short words are merged many at a time, one tree
 per row of an array; a long word has a tree of its own and takes
 n log n steps.
 
+What a letter is, its lower case and its normal form change with each edition of
+Unicode.  Texts of common characters, for which all editions agree, are cut here; a word
+with any other is cut by the normalizer and pre-tokenizer of the file's own library.
+Merging is done here for both.
+
 Defined results: a null or empty text has no tokens; texts of any length are
 encoded whole; equal rows give equal rows; an empty table gives no rows;
 further columns are ignored.
@@ -17,8 +22,8 @@ from __future__ import annotations
 import functools
 import hashlib
 import json
+import os
 import re
-import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +36,9 @@ from tallymill.llm.common import texts_of, vocabulary_path
 VOCABULARY = "word_bpe_49k.json"
 LONG = 256  # symbols from which a word has a tree of its own
 CELLS = 1 << 18  # tree leaves that are merged at a time
-CACHED = 300_000  # words a worker remembers; the memory is emptied when full
+CACHED = 64 << 20  # bytes of words a worker remembers; the memory is emptied when full
+# Letters, digits, signs and white space up to Latin Extended-B, and punctuation.
+UNCOMMON = re.compile("[^\x00-ɏ‐-‧]")
 NO_RANK = 1 << 30
 
 DIGEST_SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -82,6 +89,16 @@ class WordBpe:
         self.odd_space = _outside_spaces()
         self.special = re.compile("(" + "|".join(map(re.escape, self.specials)) + ")")
         self.known: dict[str, bytes] = {}
+        self.held = 0
+        self.path = path
+        self.byte_of = {letter: byte for byte, letter in enumerate(letters)}
+
+    @functools.cached_property
+    def library(self):
+        from tokenizers import Tokenizer
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        return Tokenizer.from_file(self.path)
 
     # One tree per word -------------------------------------------------
 
@@ -234,9 +251,12 @@ class WordBpe:
                 out += piece.split()
         return out
 
-    def _normal(self, part: str) -> str:
-        # Lower case is taken letter by letter, so there is no final sigma.
-        return unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
+    def _words(self, part: str) -> list[bytes]:
+        if not UNCOMMON.search(part):
+            return [w.encode() for w in self.words.findall(part.lower())]
+        normal = self.library.normalizer.normalize_str(part)
+        cut = self.library.pre_tokenizer.pre_tokenize_str(normal)
+        return [bytes(map(self.byte_of.__getitem__, piece)) for piece, _ in cut]
 
     def _learn(self, parts: set[str]) -> None:
         known, words = self.known, {}
@@ -245,19 +265,23 @@ class WordBpe:
             if part[0] == " ":
                 known[part] = int(self.specials[part[1:]]).to_bytes(4, "little")
                 continue
-            cut[part] = found = [w.encode() for w in self.words.findall(self._normal(part))]
+            cut[part] = found = self._words(part)
             for word in found:
                 words[word] = b""
         for word, ids in zip(words, self.merge_words([*words])):
             words[word] = ids
         for part, found in cut.items():
-            known[part] = words[found[0]] if len(found) == 1 else b"".join(words[w] for w in found)
+            known[part] = ids = (
+                words[found[0]] if len(found) == 1 else b"".join(words[w] for w in found)
+            )
+            self.held += 4 * len(part) + len(ids) + 200
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         parts = [self._parts(t) for t in texts]
-        if len(self.known) > CACHED:
+        if self.held > CACHED:
             self.known.clear()
+            self.held = 0
         new = {p for ps in parts for p in ps if p not in self.known}
         if new:
             self._learn(new)

@@ -34,6 +34,30 @@ def test_random_texts(library):
         assert (np.frombuffer(ids, "<u4").tolist(), own.decode(ids)) == wanted(library, text)
 
 
+def test_every_character(library):
+    """Alone, between letters, beside digits, marks and its own kind."""
+    own = bpe.WordBpe(PATH)
+    points = [*range(0x20000), *range(0x20000, 0x110000, 97)]
+    points = [p for p in points if not 0xD800 <= p < 0xE000]
+    for low in range(0, len(points), 400):
+        some = list(map(chr, points[low : low + 400]))
+        texts = ["".join(f"x{c}y {c} 1{c}{c}' " for c in some), "".join(some), "\u0301a".join(some)]
+        for text, ids in zip(texts, own.encode_batch(texts)):
+            want = library.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(ids, "<u4").tolist() == want, hex(points[low])
+
+
+def test_random_characters(library):
+    rng, own = random.Random(8), bpe.WordBpe(PATH)
+    ranges = [(0x20, 0x250), (0x250, 0x3000), (0x20, 0x11000), (0x900, 0xE00), (0x1700, 0x1CFF), (0x300, 0x370)]
+    texts = []
+    for _ in range(4000):
+        chars = [chr(rng.randrange(*rng.choice(ranges))) for _ in range(rng.randint(1, 30))]
+        texts.append("".join(c for c in chars if not "\ud800" <= c < "\ue000"))
+    for text, ids in zip(texts, own.encode_batch(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_both_trees_merge_alike():
     rng, own = random.Random(5), bpe.WordBpe(PATH)
     words = ["".join(rng.choices("etaoinsh", k=rng.randint(1, 200))).encode() for _ in range(300)]
