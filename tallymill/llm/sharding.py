@@ -16,14 +16,16 @@ is taken as parts of at most one shard's rows, each gathered by itself.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymill.llm.common import release, staged
 
 SHARDS = 40
-MOST_ROUNDS = 20
 ROWS_PER_CHUNK = 50_000
+PLANNED = 4  # rounds that one plan holds
 OVERHEAD = 16
 
 
@@ -45,13 +47,12 @@ def chunk_count(total: int) -> int:
 def ranked(rows: DataFrame, keys: list[str], name: str, total: int) -> DataFrame:
     """Adds a gapless rank from 0 per keys.
 
-    Rows are dealt to chunks by the hash of doc_id; a rank is the size of the
-    earlier chunks plus the row number in its own, so a key of any size is
-    ranked by many tasks.  Equal rows get neighbouring ranks.
+    Rows are dealt to chunks by a hash of the row; a rank is the size of the
+    earlier chunks plus the row number in its own, so a key of any size, or a
+    doc_id of many rows, is ranked by many tasks.  Equal rows get neighbouring ranks.
     """
-    dealt = rows.withColumn(
-        "_chunk", F.pmod(F.xxhash64("doc_id"), F.lit(chunk_count(total))).cast("int")
-    )
+    row = F.xxhash64("doc_id", "size", "text_crc32", "link")
+    dealt = rows.withColumn("_chunk", F.pmod(row, F.lit(chunk_count(total))).cast("int"))
     sizes = dealt.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(
         Window.unboundedPreceding, -1
@@ -184,9 +185,14 @@ def seated(free: DataFrame, left: list[int], total: int) -> DataFrame:
 
 def settled_units(held: DataFrame, room: list[int], total: int) -> tuple[list, list[int]]:
     """Rounds of label propagation: granted (link, part, wish, members) of each
-    round, and the room that is left."""
-    rounds, pending = [], held
-    for turn in range(MOST_ROUNDS):
+    round, and the room that is left.
+
+    The last round is one that grants nothing: then no pending unit fits a shard.  As
+    only shards with room for a unit are asked, each round settles at least the first
+    request of every shard that is asked, so there is a last one.
+    """
+    rounds, cuts, pending = [], [], held
+    for turn in itertools.count():
         moves = staged(granted(requests(pending, room, turn), room, total), "shard-moves")
         rounds.append(moves)
         taken = dict(moves.groupBy("wish").agg(F.sum("members")).collect())
@@ -194,6 +200,12 @@ def settled_units(held: DataFrame, room: list[int], total: int) -> tuple[list, l
             break
         room = [n - taken.get(s, 0) for s, n in enumerate(room)]
         pending = pending.join(moves, ["link", "part"], "left_anti")
+        if turn % PLANNED == PLANNED - 1:  # so a plan does not grow with the rounds
+            pending = staged(pending, "shard-pending")
+            if cuts:
+                release(cuts.pop())
+            cuts.append(pending)
+    release(*cuts)
     return rounds, room
 
 

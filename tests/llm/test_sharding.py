@@ -73,5 +73,30 @@ def test_ranks_over_many_chunks(spark, monkeypatch):
     check(sharding.assign_shards(messy.documents(spark, texts), 7).collect(), texts, 7)
 
 
+def test_as_many_rounds_as_it_takes(spark, monkeypatch):
+    """One unit a round: all groups are gathered, and none is scattered while it fits."""
+    grant = sharding.granted
+    monkeypatch.setattr(sharding, "granted", lambda *a: grant(*a).orderBy("link").limit(1))
+    monkeypatch.setattr(sharding, "staged", lambda df, purpose: kept(df))
+    monkeypatch.setattr(sharding, "release", lambda *frames: None)
+
+    def kept(df):
+        return df.sparkSession.createDataFrame(df.collect(), df.schema).coalesce(1)
+
+    texts = [(i, f"g{i // 2}") for i in range(52)] + [(100 + i, f"single {i}") for i in range(8)]
+    rows = sharding.assign_shards(messy.documents(spark, texts), 3).collect()
+    check(rows, texts, 3)
+    assert set(cut(rows, texts).values()) == {1}
+
+
+def test_one_doc_id_of_many_rows(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "ROWS_PER_CHUNK", 10)
+    texts = [(7, f"t{i}") for i in range(300)]
+    rows = sharding.described(messy.documents(spark, texts))
+    sizes = sharding.ranked(rows, [], "rank", 300)
+    assert sorted(r.rank for r in sizes.collect()) == [*range(300)]
+    check(sharding.assign_shards(messy.documents(spark, texts), 7).collect(), texts, 7)
+
+
 def test_empty_table(spark):
     assert sharding.assign_shards(messy.documents(spark, [])).count() == 0
