@@ -1,31 +1,36 @@
 """Secret scans through nested encodings.
 
 A text is a layer.  Each layer is scanned for secrets, then unwrapped: URL and
-Unicode escapes are resolved over the whole layer, bytes that are no text staying
-as they are; base64 runs, over line breaks as well, are decoded from each of four
-letters on, streams that begin anywhere in them are inflated, and every printable
-stretch of what comes out is a layer, whatever bytes stand beside it.  What comes out is a new layer on the worklist unless
-the same content from the same places was seen before, so a text that unwraps to
-itself ends the loop, and equal blobs at two places are two layers.
+Unicode escapes and entities are resolved over the whole layer, bytes that are no text
+staying as they are; base64 runs, over line breaks as well, are decoded from each of
+four letters on, streams that begin anywhere in them (gzip, zlib, bzip2; deflate without
+a header where it fills the run) are inflated, and every printable stretch of what comes
+out, of UTF-8 or UTF-16, is a layer, whatever bytes stand beside it.  What comes out is a
+new layer on the worklist unless the same content from the same places was seen before,
+so a text that unwraps to itself ends the loop, and equal blobs at two places are two
+layers.
 Every layer knows which code points of the document its own came from, and
 spans are reported in the document's code points.
 
 Defined results: a null or empty text has no spans; texts of any length are
 scanned whole; repeated rows are scanned as rows of their own; an empty table
-gives no rows; further columns are kept by `redact` and ignored by `scan`.  A
-compressed run that inflates beyond MOST_INFLATED bytes is not unwrapped; it is
-reported whole, with the kind `inflated`.
+gives no rows; further columns are kept by `redact` and ignored by `scan`.  What a
+stream inflates to is read to its end, whatever its size: in blocks of BLOCK bytes that
+overlap by OVERLAP, so a secret, or a blob within of up to OVERLAP bytes, lies whole in
+one of them, and memory stays bounded.
 """
 
 from __future__ import annotations
 
 import base64
+import bz2
 import hashlib
 import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from html.entities import html5
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,8 +38,8 @@ from pyspark.sql import functions as F
 
 from tallymill.llm.common import texts_of
 
-KINDS = ("assign", "access", "hex", "inflated")
-MOST_INFLATED = 1 << 24
+KINDS = ("assign", "access", "hex")
+BLOCK, OVERLAP = 1 << 23, 1 << 22
 PLACEHOLDER = "[secret]"
 
 ASSIGN = re.compile(
@@ -48,6 +53,7 @@ KEYWORDS = ("passw", "secret", "token", "apikey", "api_key")
 URL_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(
     r"(?:\\u[0-9A-Fa-f]{4})+|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#x[0-9A-Fa-f]{1,6};|&#[0-9]{1,7};"
+    r"|&[A-Za-z][A-Za-z0-9]{1,30};"
 )
 LEAST_LETTERS = 16  # of base64, which are the 12 bytes of the shortest secret
 BASE64_RUN = re.compile(
@@ -59,7 +65,17 @@ PRINTABLE = re.compile(
     rb"(?:[\t\n\r\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}"
     rb"|[\xf0-\xf4][\x80-\xbf]{3}){12,}"
 )
-STREAM = re.compile(rb"\x1f\x8b\x08|[\x08\x18\x28\x38\x48\x58\x68\x78]", re.DOTALL)
+PRINTABLE_16 = re.compile(
+    rb"(?:[\t\n\r\x20-\x7e]\x00){12,}|(?:\x00[\t\n\r\x20-\x7e]){12,}"
+)
+# The headers that a gzip, bzip2 or zlib stream can have; a zlib header is a number of
+# two bytes that 31 divides, with method 8 and no dictionary.
+ZLIB_HEADERS = [
+    h.to_bytes(2, "big") for h in range(0, 1 << 16, 31) if h >> 8 & 15 == 8 and h >> 15 == 0 and not h & 32
+]
+STREAM = re.compile(
+    b"|".join([rb"\x1f\x8b\x08", rb"BZh[1-9]1AY&SY", *map(re.escape, ZLIB_HEADERS)]), re.DOTALL
+)
 SURROGATE = re.compile("[\ud800-\udfff]")
 
 SCAN_SCHEMA = (
@@ -146,6 +162,8 @@ def _url(run: str) -> str:
 
 def _escape(run: str) -> str | None:
     try:
+        if run[0] == "&" and run[1] != "#":
+            return html5.get(run[1:])
         if run[0] == "&":
             code = int(run[3:-1], 16) if run[2] == "x" else int(run[2:-1])
         elif run[1] == "u":
@@ -158,51 +176,84 @@ def _escape(run: str) -> str | None:
         return None
 
 
-def inflated(data: memoryview) -> tuple[bytes, int, bool] | None:
-    """Content of the gzip or zlib stream that data begins with, how many bytes
-    it takes, and whether it ends there; None if it is none.  Raises when it
-    would be larger than MOST_INFLATED."""
-    if data[:2] != b"\x1f\x8b" and not (
-        len(data) > 2 and data[0] & 15 == 8 and int.from_bytes(data[:2], "big") % 31 == 0
-    ):
-        return None
-    opened = zlib.decompressobj(47)
-    try:
-        plain = opened.decompress(data, MOST_INFLATED + 1)
-    except zlib.error:
-        return None
-    if len(plain) > MOST_INFLATED:
-        raise OverflowError
-    return plain, len(data) - len(opened.unused_data), opened.eof
+def _opened(data: memoryview, raw: bool = False):
+    if bytes(data[:3]) == b"BZh":
+        return bz2.BZ2Decompressor()
+    return zlib.decompressobj(-15 if raw else 47)
 
 
-def _contents(data: bytes) -> Iterator[tuple[str | None, int, int]]:
-    """(text, start, end): printable stretches of data and of all streams in
-    it, with the bytes of data they are from; no text for a stream that
-    inflates too far."""
-    work, seen = [(data, None)], set()
-    while work:
-        raw, place = work.pop()
-        if (raw, place) in seen:
-            continue
-        seen.add((raw, place))
-        for m in PRINTABLE.finditer(raw):
-            yield m[0].decode(errors="replace"), *(place or m.span())
-        at = 0
-        while m := STREAM.search(raw, at):
-            begin, at = m.start(), m.start() + 1
-            try:
-                stream = inflated(memoryview(raw)[begin:])
-            except OverflowError:
-                yield None, *(place or (begin, len(raw)))
-                continue
-            if stream:
-                plain, used, ended = stream
-                work.append((plain, place or (begin, begin + used)))
-                at = begin + used if ended else at
-
-
-def _base64(layer: Layer, found: set) -> Iterator[Layer]:
+def _pieces(data: memoryview, size: int, raw: bool = False) -> Iterator[bytes]:
+    """What a stream at the start of data inflates to, in pieces of at most `size`
+    bytes; then how many bytes of data it takes, and whether it ends there."""
+    opened = _opened(data, raw)
+    given = data
+    try:
+        while True:
+            piece = opened.decompress(given, size)
+            if piece:
+                yield piece
+            if opened.eof:
+                break
+            if not piece:
+                break
+            given = getattr(opened, "unconsumed_tail", b"")  # bzip2 keeps its own
+    except (zlib.error, OSError):
+        pass
+    yield len(data) - len(opened.unused_data) if opened.eof else len(data), opened.eof
+
+
+def _blocks(data: memoryview, raw: bool) -> Iterator[bytes]:
+    """The content of a stream in blocks that overlap."""
+    held = b""
+    for piece in _pieces(data, BLOCK - OVERLAP, raw):
+        if isinstance(piece, bytes):
+            yield held + piece
+            held = (held + piece)[-OVERLAP:]
+
+
+def _stream(data: memoryview, raw: bool = False) -> tuple[Iterator[bytes], int, bool] | None:
+    """Blocks of the stream that data begins with, the bytes it takes, and whether it
+    ends there; None if nothing comes of it."""
+    first, more, used, ended = None, False, 0, False
+    for piece in _pieces(data, BLOCK - OVERLAP, raw):
+        if not isinstance(piece, bytes):
+            used, ended = piece
+        elif first is None:
+            first = piece
+        else:
+            more = True  # too large to be held; it is inflated once more to be read
+    if first is None or raw and not ended:
+        return None
+    return (_blocks(data, raw) if more else iter([first])), used, ended
+
+
+def _contents(data: bytes, place: tuple[int, int] | None = None, seen: set | None = None, bare=False):
+    """(text, start, end): printable stretches of data and of all streams in it, with
+    the bytes of data they are from.  bare: data itself may be deflated."""
+    seen = set() if seen is None else seen
+    if (key := (hashlib.sha256(data).digest(), place)) in seen:
+        return
+    seen.add(key)
+    for m in PRINTABLE.finditer(data):
+        yield m[0].decode(errors="replace"), *(place or m.span())
+    if b"\x00" in data:
+        for m in PRINTABLE_16.finditer(data):
+            text = m[0].replace(b"\x00", b"").decode("ascii")
+            yield text, *(place or m.span())
+    view, at = memoryview(data), 0
+    if bare and (stream := _stream(view, raw=True)):
+        for block in stream[0]:
+            yield from _contents(block, place or (0, stream[1]), seen)
+    while m := STREAM.search(data, at):
+        begin, at = m.start(), m.start() + 1
+        if stream := _stream(view[begin:]):
+            blocks, used, ended = stream
+            for block in blocks:
+                yield from _contents(block, place or (begin, begin + used), seen)
+            at = begin + used if ended else at
+
+
+def _base64(layer: Layer) -> Iterator[Layer]:
     """What a run holds, read from each of its first four letters on, so a blob
     is found wherever it begins; lines of a wrapped run are read as one."""
     for m in BASE64_RUN.finditer(layer.text):
@@ -213,6 +264,8 @@ def _base64(layer: Layer, found: set) -> Iterator[Layer]:
         if size < LEAST_LETTERS:
             continue
         letters = "".join(BASE64_LINE.findall(m[0])).replace("-", "+").replace("_", "/")
+        if letters[0] * len(letters) == letters:
+            continue  # one letter again and again: no text, no stream
         for shift in range(4):
             body = letters[shift:]
             body = body[: len(body) - (len(body) % 4 == 1)]  # no whole byte: not part of it
@@ -226,22 +279,18 @@ def _base64(layer: Layer, found: set) -> Iterator[Layer]:
                 stop = m.end() if end == len(data) else b[1] + last - b[0] + 1
                 return layer.outer(a[1] + first - a[0], stop)
 
-            for text, start, end in _contents(data):
-                if text is None:
-                    span = outer(start, end)
-                    found.add((span[0], KINDS.index("inflated"), span[1]))
-                else:
-                    yield Layer(text, [(0, *outer(start, end), False)])
+            for text, start, end in _contents(data, bare=True):
+                yield Layer(text, [(0, *outer(start, end), False)])
 
 
-def unwrapped(layer: Layer, found: set) -> Iterator[Layer]:
+def unwrapped(layer: Layer) -> Iterator[Layer]:
     if "%" in layer.text and (next_one := _resolved(layer, URL_RUN, _url)):
         yield next_one
-    if ("\\" in layer.text or "&#" in layer.text) and (
+    if ("\\" in layer.text or "&" in layer.text) and (
         next_one := _resolved(layer, ESCAPE, _escape)
     ):
         yield next_one
-    yield from _base64(layer, found)
+    yield from _base64(layer)
 
 
 def all_spans(text: str) -> tuple[list[tuple], list[tuple]]:
@@ -259,7 +308,7 @@ def all_spans(text: str) -> tuple[list[tuple], list[tuple]]:
                 for kind, s, e in matches(layer.text)
                 for start, end in [layer.outer(s, e)]
             }
-        for below in unwrapped(layer, found):
+        for below in unwrapped(layer):
             if (key := below.key()) not in seen:
                 seen.add(key)
                 work.append(below)
