@@ -15,7 +15,7 @@ def session_of(df: DataFrame) -> SparkSession:
     return df.sparkSession
 
 
-def staged(df: DataFrame, purpose: str) -> DataFrame:
+def staged(df: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
     """Write df below spark.checkpoint.dir and read it again.
 
     Cuts the lineage in a place all executors reach: a lost executor costs the
@@ -23,7 +23,7 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     """
     spark = session_of(df)
     path = shared_folder(spark, purpose)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_at = path
     return out

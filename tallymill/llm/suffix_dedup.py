@@ -464,7 +464,9 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long"), "text"
     )
     read = staged(
-        numbered.select("rid", "doc_id", "text").mapInArrow(_chunk_rows, CHUNKS), "repeats-chunks"
+        numbered.select("rid", "doc_id", "text").mapInArrow(_chunk_rows, CHUNKS),
+        "repeats-chunks",
+        "zstd",
     )
     each = read.select("rid", F.posexplode("chunks").alias("number", "chunk")).select(
         "rid", "number", "chunk.anchor", "chunk.body"
@@ -478,6 +480,7 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
         .join(per_document, "rid", "left")
         .mapInArrow(_place_rows, PLACED),
         "repeats-placed",
+        "zstd",
     )
     release(read, shared)
 
