@@ -26,3 +26,9 @@ def exists(spark: SparkSession, path: str) -> bool:
 def drop(spark: SparkSession, path: str) -> None:
     hadoop, system = _path(spark, path)
     system.delete(hadoop, True)
+
+
+def drop_at_exit(spark: SparkSession, path: str) -> None:
+    """Remove a path when this application ends, whether it fails or not."""
+    hadoop, system = _path(spark, path)
+    system.deleteOnExit(hadoop)
