@@ -28,7 +28,8 @@ def drop(spark: SparkSession, path: str) -> None:
     system.delete(hadoop, True)
 
 
-def drop_at_exit(spark: SparkSession, path: str) -> None:
-    """Remove a path when this application ends, whether it fails or not."""
+def make_until_exit(spark: SparkSession, path: str) -> None:
+    """Make a folder that goes when this application ends, whether it fails or not."""
     hadoop, system = _path(spark, path)
+    system.mkdirs(hadoop)
     system.deleteOnExit(hadoop)

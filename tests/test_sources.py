@@ -104,25 +104,25 @@ def test_reports_from_table_and_path(spark, tmp_path):
 SCRIPT = """
 import sys
 from pyspark.sql import SparkSession
-from tallymill.sources.folders import drop_at_exit
-spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
-for name in ("a", "b"):
-    drop_at_exit(spark, f"{sys.argv[1]}/{name}")
-    spark.range(3).write.parquet(f"{sys.argv[1]}/{name}")
+from tallymill.sinks.shared import run_folder
+conf = {"spark.ui.enabled": "false", "spark.checkpoint.dir": sys.argv[1]}
+spark = SparkSession.builder.master("local[1]").config(map=conf).getOrCreate()
+assert run_folder(spark) == run_folder(spark) and run_folder(spark).startswith(sys.argv[1])
+spark.range(3).write.parquet(f"{run_folder(spark)}/a")
 spark.range(3).write.parquet(f"{sys.argv[1]}/kept")
 raise SystemExit(int(sys.argv[2]))
 """
 
 
 @pytest.mark.parametrize("code", [0, 1])
-def test_folders_go_when_the_application_ends(tmp_path, code):
+def test_run_folder_goes_when_the_application_ends(tmp_path, code):
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     done = subprocess.run(
         [sys.executable, "-c", SCRIPT, str(tmp_path), str(code)], cwd=root, capture_output=True
     )
-    assert done.returncode == code
+    assert done.returncode == code, done.stderr
     for _ in range(100):  # the JVM ends a little later
-        if sorted(p.name for p in tmp_path.iterdir()) == ["kept"]:
+        if [p.name for p in tmp_path.iterdir()] == ["kept"]:
             return
         time.sleep(0.1)
-    raise AssertionError(list(tmp_path.iterdir()))
+    raise AssertionError([*tmp_path.rglob("*")])
