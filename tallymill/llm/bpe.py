@@ -31,7 +31,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tallymill.llm.common import texts_of, vocabulary_path
+from tallymill.llm.common import text_slices, texts_of, vocabulary_path
 
 VOCABULARY = "word_bpe_49k.json"
 LONG = 256  # symbols from which a word has a tree of its own
@@ -299,23 +299,11 @@ def tokenizer(path: str) -> WordBpe:
     return WordBpe(path)
 
 
-def _slices(texts: list[str], chars: int = 2_000_000) -> Iterator[slice]:
-    """Consecutive slices of about so many characters, whatever a batch holds."""
-    start, held = 0, 0
-    for at, text in enumerate(texts):
-        held += len(text)
-        if held >= chars:
-            yield slice(start, at + 1)
-            start, held = at + 1, 0
-    if start < len(texts):
-        yield slice(start, len(texts))
-
-
 def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple]:
     bpe = tokenizer(path)
     for batch in batches:
         texts = texts_of(batch)
-        for part in _slices(texts):
+        for part in text_slices(texts):
             ids = bpe.encode_batch(texts[part])
             length = part.stop - part.start
             yield batch.column(0).slice(part.start, length), ids, [bpe.decode(i) for i in ids]

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import functools
+import uuid
+from collections.abc import Iterator
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymill.sinks.shared import shared_folder
+from tallymill.sinks.shared import run_folder
 from tallymill.sources.folders import drop
 
 
@@ -16,13 +19,15 @@ def session_of(df: DataFrame) -> SparkSession:
 
 
 def staged(df: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
-    """Write df below spark.checkpoint.dir and read it again.
+    """Write df to the run's folder below spark.checkpoint.dir and read it again.
 
     Cuts the lineage in a place all executors reach: a lost executor costs the
-    running tasks only, and what was expensive is not made twice.
+    running tasks only, and what was expensive is not made twice.  What `release` does
+    not remove, as a result still reads it or a run has failed, goes when the
+    application ends.
     """
     spark = session_of(df)
-    path = shared_folder(spark, purpose)
+    path = f"{run_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_at = path
@@ -52,6 +57,18 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [t or "" for t in batch.column(batch.schema.get_field_index(name)).to_pylist()]
 
 
+def text_slices(texts: list[str], chars: int = 2_000_000) -> Iterator[slice]:
+    """Consecutive slices of about so many characters, whatever a batch holds."""
+    start, held = 0, 0
+    for at, text in enumerate(texts):
+        held += len(text)
+        if held >= chars:
+            yield slice(start, at + 1)
+            start, held = at + 1, 0
+    if start < len(texts):
+        yield slice(start, len(texts))
+
+
 @functools.cache
 def vocabulary_path(name: str) -> str:
     """Place of a public tokenizer's file on this machine."""

@@ -29,7 +29,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tallymill.llm.common import session_of, shuffle_partitions, staged, texts_of, vocabulary_path
+from tallymill.llm.common import (
+    session_of,
+    shuffle_partitions,
+    staged,
+    text_slices,
+    texts_of,
+    vocabulary_path,
+)
 
 LIBRARY_FILE = "byte_bpe_50k.json"
 RANKS_FILE = "byte_bpe_50k.tiktoken"
@@ -139,21 +146,21 @@ def tokenized(documents: DataFrame, library_path: str, ranks_path: str) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokens(library_path, ranks_path).encode
         for batch in batches:
-            ids = [encode(t) for t in texts_of(batch)]
-            if not ids:
-                continue
-            counts = np.array([len(i) for i in ids])
-            starts = np.cumsum(counts) - counts
-            keys = hilbert_key(curve_points(np.concatenate(ids), starts, counts))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(keys, pa.int64()),
-                    pa.array(counts, pa.int64()),
-                    pa.array([i.tobytes() for i in ids], pa.binary()),
-                ],
-                names=["doc_id", "curve", "tokens", "ids"],
-            )
+            texts = texts_of(batch)
+            for part in text_slices(texts):
+                ids = [encode(t) for t in texts[part]]
+                counts = np.array([len(i) for i in ids])
+                starts = np.cumsum(counts) - counts
+                keys = hilbert_key(curve_points(np.concatenate(ids), starts, counts))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(part.start, len(ids)),
+                        pa.array(keys, pa.int64()),
+                        pa.array(counts, pa.int64()),
+                        pa.array([i.tobytes() for i in ids], pa.binary()),
+                    ],
+                    names=["doc_id", "curve", "tokens", "ids"],
+                )
 
     narrow = documents.selectExpr("cast(doc_id as bigint) AS doc_id", "text")
     return narrow.mapInArrow(run, TOKEN_SCHEMA)

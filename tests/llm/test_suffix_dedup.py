@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallymill.llm import queries, suffix_dedup
+from tallymill.sinks.shared import run_folder
 from tests.llm import messy
 
 SIZE = suffix_dedup.LENGTH
@@ -144,7 +145,7 @@ def test_order_of_suffixes():
 
 
 def test_nothing_is_left_behind(spark, sf_dir):
-    folder = spark.conf.get("spark.checkpoint.dir")
+    folder = run_folder(spark)
     before = set(os.listdir(folder))
     suffix_dedup.remove_repeats(messy.table(spark, sf_dir, "documents")).agg(F.sum("n_bytes")).collect()
     left = {n.split("-")[1] for n in set(os.listdir(folder)) - before}
