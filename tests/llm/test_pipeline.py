@@ -102,8 +102,15 @@ def test_awkward_documents_pass_all_stages(spark, tmp_path):
     assert corpus_pipeline.run(spark, folder).count() > 0
 
 
+def test_empty_tables_pass_all_stages(spark, tmp_path):
+    folder = str(tmp_path)
+    messy.documents(spark, []).write.parquet(f"{folder}/documents.parquet")
+    messy.labels(spark).write.parquet(f"{folder}/labels.parquet")
+    assert corpus_pipeline.run(spark, folder).collect() == []
+
+
 def test_registered():
     names = entry_points.queries()
     assert names["pipeline"] is corpus_pipeline.run
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == [*range(1, 11)] and queries.QUERIES.keys() <= names.keys()
+    assert numbers == [*range(1, 14)] and queries.QUERIES.keys() <= names.keys()
