@@ -2,13 +2,16 @@
 
 Equal vectors of a label are one vector with a count.  Vectors are turned into
 the principal axes of a bounded sample, which changes no inner product, and
-sorted along the first axis into tiles.  Two tiles are compared unless their
-ranges on that axis lie too far apart.  Within a pair of tiles the leading
-dimensions are multiplied first; the rest of a product is at most the product of
-the suffix norms, so most pairs are settled early.  Those left are decided by
-the cosine of the vectors as they came, in double precision.
-
-A pair of tiles reports numbers of links per vector and a spanning forest of
+sorted along the first axis into tiles.  Up to MOST_SIDE tiles in a row are a square's
+side: a task gets two sides and compares all their tiles, so a vector is sent to as many
+tasks as there are sides, not tiles.  Two sides meet unless their ranges on the axis lie
+too far apart, and two tiles of them unless their centres do, given how far their vectors
+lie from these.  Within a pair of tiles the leading dimensions are multiplied first; the
+rest of a product is at most the product of the suffix norms, so most pairs are settled
+early.  Those left are decided by the cosine of the vectors as they came, in double
+precision.
+
+A pair of sides reports numbers of links per vector and a spanning forest of
 them, never its list of pairs, so clusters of any size stay linear.
 
 Defined results: a vector that is null, zero, or holds a null or a value that is
@@ -19,6 +22,7 @@ their own; an empty table gives no rows; further columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +34,7 @@ from tallymill.llm.common import components, release, staged
 
 THRESHOLD = 0.93
 TILE = 2048
+MOST_SIDE = 16  # tiles that a task gets of each of two sides
 SAMPLE = 4096  # vectors that the axes are fitted on; any axes give the same links
 STRIDES = (8, 16, 32)
 SLACK = 1e-9
@@ -114,40 +119,62 @@ def with_first_axis(vectors: DataFrame, axes: dict[int, np.ndarray]) -> DataFram
     return vectors.select("label", "rep", "copies", "vector").mapInArrow(run, TILE_SCHEMA)
 
 
-def tiled(vectors: DataFrame, purpose: str) -> DataFrame:
-    """Adds the tile: the range, along label, length and first axis.
+def tiled(vectors: DataFrame, purpose: str) -> tuple[DataFrame, int]:
+    """Adds the tile, the range along label, length and first axis, and the side it
+    belongs to; and the tiles of a side, few where there are few tiles, so that all
+    tasks have work.
 
     Staged, since a tile's number must be the same wherever it is read.
     """
     rows = staged(vectors, purpose)
     count = max(1, -(-rows.count() // TILE))
+    width = max(1, min(MOST_SIDE, math.isqrt(count) // 2))
     ranged = rows.repartitionByRange(count, "label", "dim", "first", "rep")
-    out = staged(ranged.withColumn("tile", F.spark_partition_id()), purpose)
+    tile = F.spark_partition_id()
+    out = staged(
+        ranged.withColumn("tile", tile).withColumn("side", F.expr(f"tile div {width}")), purpose
+    )
     release(rows)
-    return out
+    return out, width
 
 
-def tile_pairs(rows: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of tiles of one label and length that can hold a link.
+def side_pairs(rows: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of sides of one label and length that can hold a link.
 
     Unit vectors with cosine t differ by at most sqrt(2 - 2 t) on any axis.
     """
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold)) + SLACK)
-    ranges = rows.groupBy("label", "dim", "tile").agg(
+    ranges = rows.groupBy("label", "dim", "side").agg(
         F.min("first").alias("low"), F.max("first").alias("high")
     )
     later = ranges.select(
-        "label", "dim", F.col("tile").alias("other"), F.col("low").alias("low2"),
+        "label", "dim", F.col("side").alias("other"), F.col("low").alias("low2"),
         F.col("high").alias("high2"),
     )
     return (
         ranges.join(later, ["label", "dim"])
-        .where(F.col("tile") <= F.col("other"))
+        .where(F.col("side") <= F.col("other"))
         .where((F.col("low2") <= F.col("high") + reach) & (F.col("low") <= F.col("high2") + reach))
-        .select("label", "dim", "tile", "other")
+        .select("label", "dim", "side", "other")
     )
 
 
+def centre(spun: np.ndarray) -> tuple[np.ndarray, float]:
+    """Mean direction of unit vectors, and the largest angle to it; any direction
+    would be right, a near one prunes more."""
+    mean = spun.sum(axis=0)
+    size = np.sqrt(mean @ mean)
+    mean = mean / size if size > 0 else spun[0]
+    return mean, float(np.arccos(np.clip(spun @ mean, -1, 1)).max())
+
+
+def apart(one: tuple, other: tuple, threshold: float) -> bool:
+    """Whether no vectors of two tiles can be as near as the threshold: angles obey the
+    triangle inequality."""
+    between = float(np.arccos(np.clip(one[0] @ other[0], -1, 1)))
+    return between - one[1] - other[1] > np.arccos(max(-1.0, threshold)) + 1e-6
+
+
 def close_pairs(
     a: np.ndarray, b: np.ndarray, threshold: float, same: bool
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -202,31 +229,36 @@ def _prints(vectors: list) -> np.ndarray:
     return np.array(prints, dtype=np.uint64).view(np.int64)
 
 
-def compare_tiles(group: pa.Table, axes: dict[int, np.ndarray], threshold: float) -> pa.Table:
-    """All links between (or in) two tiles, as counts and a forest."""
+def compare_sides(group: pa.Table, axes: dict[int, np.ndarray], threshold: float) -> pa.Table:
+    """All links between the tiles of two sides, or in one, as counts and a forest."""
     order = np.lexsort(
         (group["rep"].to_numpy(), group["first"].to_numpy(), group["tile"].to_numpy())
     )
     group = group.take(pa.array(order))
     vectors = _matrix(group["vector"].combine_chunks())
-    spun, tile = turned(vectors, axes), group["tile"].to_numpy()
-    same = group["left"][0] == group["right"][0]
-    cut = len(tile) if same else int(np.searchsorted(tile, tile[-1], side="left"))
-    begin = 0 if same else cut
+    spun, tile, side = turned(vectors, axes), group["tile"].to_numpy(), group["side"].to_numpy()
+    left, right = group["left"][0].as_py(), group["right"][0].as_py()
+    starts = np.flatnonzero(np.r_[True, tile[1:] != tile[:-1]])
+    tiles = [(int(a), int(b)) for a, b in zip(starts, [*starts[1:], len(tile)])]
+    centres = [centre(spun[a:b]) for a, b in tiles]
     links = np.zeros(len(tile), dtype=np.int64)
-    copies, all_i, all_j = group["copies"].to_numpy(), [], []
-    if cut < len(tile) or same:
-        i, j = close_pairs(spun[:cut], spun[begin:], threshold, same)
-        j = j + begin
-        for part in np.array_split(np.arange(len(i)), 1 + len(i) // 500_000):
-            x, y = i[part], j[part]
-            linked = exact_cosine(vectors[x], vectors[y]) >= threshold
-            all_i.append(x[linked])
-            all_j.append(y[linked])
-        i, j = np.concatenate(all_i), np.concatenate(all_j)
-        np.add.at(links, i, copies[j])
-        np.add.at(links, j, copies[i])
-        root = forest(len(tile), i, j)
+    copies, trees = group["copies"].to_numpy(), []
+    for p, (a, b) in enumerate(tiles):
+        for q, (c, d) in enumerate(tiles):
+            if q < p or side[a] != left or side[c] != right or apart(centres[p], centres[q], threshold):
+                continue
+            i, j = close_pairs(spun[a:b], spun[c:d], threshold, p == q)
+            tree: list[np.ndarray] = []
+            for part in np.array_split(np.arange(len(i)), 1 + len(i) // 500_000):
+                x, y = i[part] + a, j[part] + c
+                linked = exact_cosine(vectors[x], vectors[y]) >= threshold
+                x, y = x[linked], y[linked]
+                np.add.at(links, x, copies[y])
+                np.add.at(links, y, copies[x])
+                tree = [spanning(np.concatenate([*tree, np.stack([x, y], axis=1)]))]
+            trees += tree
+    edges = np.concatenate(trees) if trees else np.zeros((0, 2), dtype=np.int64)
+    root = forest(len(tile), edges[:, 0], edges[:, 1])
     told = np.flatnonzero(links)
     rep, prints = group["rep"].to_numpy(), _prints([vectors[k] for k in told])
     return pa.table(
@@ -241,6 +273,15 @@ def compare_tiles(group: pa.Table, axes: dict[int, np.ndarray], threshold: float
     )
 
 
+def spanning(edges: np.ndarray) -> np.ndarray:
+    """As few edges as connect what these connect: each node and its root."""
+    nodes, where = np.unique(edges, return_inverse=True)
+    where = where.reshape(edges.shape)
+    root = forest(len(nodes), where[:, 0], where[:, 1])
+    some = root != np.arange(len(nodes))
+    return np.stack([nodes[some], nodes[root[some]]], axis=1)
+
+
 def link_counts(embeddings: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(vec_id, n_links, component_id, kept), one row per row of embeddings."""
     rows = staged(
@@ -256,15 +297,15 @@ def link_counts(embeddings: DataFrame, threshold: float = THRESHOLD) -> DataFram
     )
     distinct = staged(distinct_vectors(rows.where("usable")), "vectors-distinct")
     axes = principal_axes(distinct)
-    tiles = tiled(with_first_axis(distinct, axes), "vectors-tiled")
-    pairs = tile_pairs(tiles, threshold).select(
-        "label", "dim", F.col("tile").alias("left"), F.col("other").alias("right"),
-        F.explode(F.array_distinct(F.array("tile", "other"))).alias("tile"),
+    tiles = tiled(with_first_axis(distinct, axes), "vectors-tiled")[0]
+    pairs = side_pairs(tiles, threshold).select(
+        "label", "dim", F.col("side").alias("left"), F.col("other").alias("right"),
+        F.explode(F.array_distinct(F.array("side", "other"))).alias("side"),
     )
     found = staged(
-        tiles.join(pairs, ["label", "dim", "tile"])
+        tiles.join(pairs, ["label", "dim", "side"])
         .groupBy("label", "dim", "left", "right")
-        .applyInArrow(lambda group: compare_tiles(group, axes, threshold), FOUND_SCHEMA),
+        .applyInArrow(lambda group: compare_sides(group, axes, threshold), FOUND_SCHEMA),
         "vectors-linked",
     )
     release(tiles)

@@ -65,6 +65,56 @@ def test_clusters_over_several_tiles(spark, monkeypatch):
     check(spark, rows)
 
 
+@pytest.mark.parametrize("most", [1, 2, 16])
+def test_sides_of_several_tiles(spark, monkeypatch, most):
+    monkeypatch.setattr(ed, "TILE", 8)
+    monkeypatch.setattr(ed, "MOST_SIDE", most)
+    rows = [(n, n % 2 if n % 3 else 0, v) for n, v in enumerate(clustered(7, 400))]
+    check(spark, rows)
+
+
+def test_vectors_are_sent_once_a_side(spark, sf_dir, monkeypatch):
+    """Not once a tile: the rows that meet fall with the width of a side."""
+    monkeypatch.setattr(ed, "TILE", 16)
+    rows = ed.distinct_vectors(
+        messy.table(spark, sf_dir, "embeddings").selectExpr(
+            "cast(vec_id AS long) vec_id", "1L AS label", "cast(embedding AS array<double>) vector"
+        )
+    )
+    firsts = ed.with_first_axis(rows, ed.principal_axes(rows))
+    sent = {}
+    for most in (1, 8):
+        monkeypatch.setattr(ed, "MOST_SIDE", most)
+        tiles, width = ed.tiled(firsts, "test-tiles")
+        pairs = ed.side_pairs(tiles, ed.THRESHOLD).collect()
+        sides = dict(tiles.groupBy("side").count().collect())
+        sent[width] = sum(sides[s] for p in pairs for s in {p.side, p.other})
+    (one, many), (width, wide) = sorted(sent.items())
+    assert one == 1 and width > 1 and wide < 1.2 * many / width
+
+
+def test_tiles_apart_hold_no_link():
+    pruned = 0
+    for seed in range(5):
+        unit = ed.units(np.array(clustered(seed, 600, 6, noise=0.05)))
+        tiles = np.array_split(unit[np.argsort(unit[:, 0])], 40)
+        centres = [ed.centre(t) for t in tiles]
+        for a, x in zip(tiles, centres):
+            for b, y in zip(tiles, centres):
+                if ed.apart(x, y, ed.THRESHOLD):
+                    pruned += 1
+                    assert (a @ b.T).max() < ed.THRESHOLD
+    assert pruned > 100
+
+
+def test_spanning_forest():
+    rng = np.random.default_rng(4)
+    edges = rng.integers(0, 60, (50, 2))
+    kept = ed.spanning(edges)
+    want = ed.forest(60, edges[:, 0], edges[:, 1])
+    assert ed.forest(60, kept[:, 0], kept[:, 1]).tolist() == want.tolist() and len(kept) <= 50
+
+
 def test_awkward_vectors(spark):
     rows = [
         (1, 0, None), (2, 0, []), (3, 0, [0.0, 0.0]), (4, 0, [1.0, None]), (5, 0, [1.0, NAN]),
