@@ -6,4 +6,9 @@ SETTINGS = {
     "spark.sql.codegen.cache.maxEntries": "4000",
     # HotSpot compiles no method above 8000 bytes; let Spark split those.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # An oversized partition is split by adaptive execution: from 64 MB on, not from
+    # 256 MB, if it is three times the median, into parts of about 32 MB.
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
 }
