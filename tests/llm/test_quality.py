@@ -1,9 +1,12 @@
 """The rule ensemble: rules, lasso, compiled column, held-out accuracy."""
 
+import math
+import zlib
+
 import numpy as np
 import pytest
 
-from tallymill.llm import quality
+from tallymill.llm import quality, queries
 from tests.llm import messy
 
 
@@ -65,6 +68,35 @@ def test_held_out_accuracy(spark):
     assert sum(good) >= 0.99 * len(good) and sum(poor) <= 0.05 * len(poor)
 
 
+def test_query_against_a_plain_version(spark):
+    """From labels to scores, row by row, over the whole table."""
+    folder = "/root/testdata/sf0.01"
+    documents = messy.table(spark, folder, "documents").select("doc_id", "text").collect()
+    turns = messy.table(spark, folder, "labels").selectExpr(
+        "doc_id", "quality", "xxhash64(doc_id, 'quality') AS turn"
+    )
+    labels = {r.doc_id: (r.turn, r.quality) for r in turns.collect()}
+    fold = {r.doc_id: zlib.crc32(str(r.doc_id).encode()) % 4 for r in documents}
+    stats = {r.doc_id: [float(v) for v in quality.statistics(r.text or "")] for r in documents}
+    learn = sorted(
+        (*labels[i], *stats[i], i) for i in stats if i in labels and fold[i] != 2 and labels[i][1] is not None
+    )
+    model = quality.fit(
+        np.array([row[2:-1] for row in learn]), np.array([row[1] for row in learn], dtype=float)
+    )
+    want = {}
+    for i, x in stats.items():
+        logit = model.intercept
+        for rule, weight in zip(model.rules, model.weights):
+            if all(x[s] > bound if above else x[s] <= bound for s, above, bound in rule.terms):
+                logit += weight
+        want[i] = 1 / (1 + math.exp(-logit))
+    rows = queries.QUERIES["op7_quality_rules"](spark, folder).collect()
+    assert {r.doc_id: r.score for r in rows} == pytest.approx(want, abs=1e-9)
+    assert all(r.held_out == (fold[r.doc_id] == 2) and r.predicted == (r.score >= 0.7) for r in rows)
+    assert len({*want.values()}) > 10
+
+
 def test_awkward_documents(spark):
     documents = messy.documents(spark)
     rows = quality.score(documents, messy.labels(spark)).collect()
