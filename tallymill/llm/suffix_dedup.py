@@ -39,13 +39,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymill.llm.common import release, staged, texts_of
+from tallymill.llm.common import release, session_of, shuffle_partitions, staged, texts_of
 from tallymill.llm.words import mixed
 
 LENGTH = 200
 GRAM = 64
 WINDOW = LENGTH - GRAM + 1  # grams in a window
-LARGE = 2000
+LARGE = 500
 BLOCK_BYTES = 1 << 20  # least bytes that are sorted at a time
 
 BASE = 0xD1342543DE82EF95
@@ -488,7 +488,9 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
         placed.where("size(compare) > 0").select("rid", "text", "compare").mapInArrow(_piece_rows, PIECES)
     )
     spans = (
-        pieces.repartition("key")
+        # A given number, as adaptive execution would pack these few bytes, which take
+        # long to sort, into few tasks.
+        pieces.repartition(shuffle_partitions(session_of(documents)), "key")
         .sortWithinPartitions("key")
         .mapInArrow(_sort_rows, "rid long, start long, end long")
         .groupBy("rid")
