@@ -17,11 +17,17 @@ copies of any size are a single candidate.  A bucket of a band is compared in
 tiles of at most 2 * BLOCK documents, each within one task, which reports no more
 links than connect what is linked.  Members of a larger bucket first meet a few
 pivots; those found connected to one another need not meet any more, so a large
-group of near copies costs few tiles.
+group of near copies costs few tiles.  Where many members are left that nothing
+connects, only those meet that have one of their rarest elements in common: in
+whatever order both use, the first element that two texts of similarity THRESHOLD
+share lies in the first fifth of the weight of the heavier one, and in the first
+ninth of the other's.  A bucket is split so where that makes fewer rows than tiles
+of the whole bucket; links are the same.
 
 The document frequency of a shingle counts all documents.  It is told exactly
 for shingles in more than a share FREQUENT of them, at most (shingles per
 document) / FREQUENT in number; rarer ones count as if they were in that share.
+Candidates for that list are counted LISTED at a time, however long texts are.
 
 Defined results: a text of fewer than five words is one shingle; texts without
 any word are alike only if equal, a null text is empty; rows of one id are one
@@ -33,7 +39,7 @@ further columns are ignored by `groups` and kept by `keep_first`.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +56,7 @@ FREQUENT = 1 / 500
 SEED = 811
 TABLE = 1 << 16
 CHUNK = 1 << 22  # shingles that are counted at a time
+LISTED = 1 << 22  # candidates for frequent shingles that a walk over the texts counts
 SAMPLED = 1 << 15  # shingles that are sampled at a time
 DOCUMENTS_PER_TASK = 8192
 BLOCK = 512  # documents of a bucket that are compared in one task
@@ -85,17 +92,20 @@ class Frequencies:
 
 
 def _chunk_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shingles that two documents of a chunk share; a chunk also reports
-    itself, with no shingle."""
+    """Shingles that two documents of a chunk share; such a chunk also reports
+    itself, with no shingle.  A chunk of few documents reports all its shingles,
+    so that chunks of the first kind are at most half of FREQUENT of the documents."""
     held, size = [], 0
 
     def counted():
         found, counts = np.unique(np.concatenate(held), return_counts=True)
-        found, counts = found[counts > 1], counts[counts > 1]
+        chunk = int(len(held) >= 2 / FREQUENT)
+        if chunk:
+            found, counts = found[counts > 1], counts[counts > 1]
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([None, *found.view(np.int64).tolist()], pa.int64()),
-                pa.array([1, *counts.tolist()], pa.int64()),
+                pa.array([chunk, *counts.tolist()], pa.int64()),
             ],
             names=["shingle", "n"],
         )
@@ -115,9 +125,9 @@ def frequencies(documents: DataFrame) -> Frequencies:
     """Exact frequencies of all shingles in more than FREQUENT of the documents.
 
     A first pass finds which shingles these can be: one that a chunk holds only
-    once is not reported by that chunk, so a total falls short by at most the
-    number of chunks.  A second pass counts those.  Both lists are bounded by
-    the number of shingles that can be so frequent.
+    once may not be reported by that chunk, so a total falls short by at most the
+    number of chunks.  Further passes count those, LISTED at a time.  What is
+    kept is bounded by the number of shingles that can be so frequent.
     """
     total = documents.count()
     texts = documents.select("text").coalesce(max(1, -(-total // DOCUMENTS_PER_TASK)))
@@ -130,10 +140,23 @@ def frequencies(documents: DataFrame) -> Frequencies:
     chunks = found.where("shingle IS NULL").select("n").first()
     least = FREQUENT * total - (chunks.n if chunks else 0)
     maybe = found.where("shingle IS NOT NULL").where(F.col("n") >= least).select("shingle")
-    listed = np.sort(maybe.toPandas()["shingle"].to_numpy(np.int64).view(np.uint64))
+    walks = -(-maybe.count() // LISTED)
+    share = F.pmod(F.xxhash64("shingle"), F.lit(walks))
+    exact = [_counted(documents, maybe.where(share == w), total) for w in range(walks)]
     release(found)
+    return Frequencies(
+        np.concatenate([np.zeros(0, np.uint64), *(h for h, _ in exact)]),
+        np.concatenate([np.zeros(0, np.int64), *(n for _, n in exact)]),
+        total,
+    )
+
+
+def _counted(documents: DataFrame, maybe: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the listed shingles those in more than FREQUENT of all documents, and
+    in how many they are."""
+    listed = np.sort(maybe.toPandas()["shingle"].to_numpy(np.int64).view(np.uint64))
     if not len(listed):
-        return Frequencies(listed, np.zeros(0), total)
+        return listed, np.zeros(0, np.int64)
     known = session_of(documents).sparkContext.broadcast(listed)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,9 +178,7 @@ def frequencies(documents: DataFrame) -> Frequencies:
         .where(F.col("n") > FREQUENT * total)
         .toPandas()
     )
-    return Frequencies(
-        exact["shingle"].to_numpy(np.int64).view(np.uint64), exact["n"].to_numpy(), total
-    )
+    return exact["shingle"].to_numpy(np.int64).view(np.uint64), exact["n"].to_numpy(np.int64)
 
 
 # Signatures ----------------------------------------------------------------
@@ -332,48 +353,64 @@ class Tile:
                     self.root[self.root == self.root[j]] = self.root[i]
 
 
-def tile_links(tiles: DataFrame, texts: DataFrame, known: Frequencies) -> DataFrame:
-    """Links (a, b) within each tile of tiles(tile, doc_id, label, pivot).
+def per_tile(
+    tiles: DataFrame, texts: DataFrame, known: Frequencies, work: Callable, schema: str
+) -> DataFrame:
+    """Rows that work(known, rows) returns for the rows of each tile, which are
+    the columns of tiles after the first one, by doc_id, and the text.
 
-    Where a tile has pivots, they are compared with all others; else the tile's
-    documents with each other, as far as their labels do not say that they are
-    connected.  A tile's rows come one after the other, so a task holds one tile.
+    A tile's rows come one after the other, so a task holds one tile.
     """
     shared = session_of(tiles).sparkContext.broadcast(known)
-
-    def found(rows: list[tuple]) -> list[tuple]:
-        tile = Tile(shared.value, [r[4] for r in rows], [r[2] for r in rows])
-        pivots = [i for i, r in enumerate(rows) if r[3]]
-        pairs = [(i, j) for i in pivots for j in tile.partners(i) if i != j]
-        if not pivots:
-            pairs = tile.spanning()
-        return [(rows[i][1], rows[j][1]) for i, j in pairs]
+    columns = tiles.columns
+    names = [f.split()[0] for f in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, []
 
-        def made(links: list[tuple]) -> pa.RecordBatch:
-            columns = zip(*links) if links else ((), ())
-            arrays = [pa.array(c, pa.int64()) for c in columns]
-            return pa.RecordBatch.from_arrays(arrays, names=["a", "b"])
+        def made(out: list[tuple]) -> pa.RecordBatch:
+            made_columns = zip(*out) if out else [()] * len(names)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in made_columns], names=names
+            )
 
         for batch in batches:
-            links = []
+            out = []
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if row[0] != now:
-                    links += found(rows) if rows else []
+                    out += work(shared.value, rows) if rows else []
                     now, rows = row[0], []
-                rows.append(row)
-            yield made(links)
-        yield made(found(rows) if rows else [])
+                rows.append(row[1:])
+            yield made(out)
+        yield made(work(shared.value, rows) if rows else [])
 
     return (
         tiles.hint("merge").join(texts, "doc_id")
-        .select("tile", "doc_id", "label", "pivot", "text")
+        .select(*columns, "text")
         .repartition("tile")
         .sortWithinPartitions("tile", "doc_id")
-        .mapInArrow(run, "a long, b long")
-    )
+        .mapInArrow(run, schema)
+    )
+
+
+def _links_within(known: Frequencies, rows: list[tuple]) -> list[tuple]:
+    tile = Tile(known, [r[3] for r in rows], [r[1] for r in rows])
+    pivots = [i for i, r in enumerate(rows) if r[2]]
+    pairs = [(i, j) for i in pivots for j in tile.partners(i) if i != j]
+    if not pivots:
+        pairs = tile.spanning()
+    return [(rows[i][0], rows[j][0]) for i, j in pairs]
+
+
+def tile_links(tiles: DataFrame, texts: DataFrame, known: Frequencies) -> DataFrame:
+    """Links (a, b) within each tile of tiles(tile, doc_id, label, pivot).
+
+    Where a tile has pivots, they are compared with all others; else the tile's
+    documents with each other, as far as their labels do not say that they are
+    connected.
+    """
+    told = tiles.select("tile", "doc_id", "label", "pivot")
+    return per_tile(told, texts, known, _links_within, "a long, b long")
 
 
 def chunk_of(chunks: str) -> F.Column:
@@ -402,37 +439,48 @@ def pivot_tiles(members: DataFrame) -> DataFrame:
     return (
         pivots.unionByName(rest)
         .groupBy("bucket", "chunk", "doc_id")
-        .agg(F.max("pivot").alias("pivot"))
+        .agg(F.max("pivot").alias("pivot"), F.max(~F.col("pivot")).alias("own"))
         .select(
             F.xxhash64("bucket", "chunk").alias("tile"),
+            "bucket",
             "doc_id",
             F.col("doc_id").alias("label"),
             "pivot",
+            "own",
         )
     )
 
 
-def all_tiles(members: DataFrame) -> DataFrame:
-    """Tiles in which any two members of a bucket meet that have two labels.
-
-    A bucket of at most BLOCK members is a tile.  In a larger one the members of
-    the most frequent label need not meet each other: the others are cut into
-    chunks, and so are they, and each chunk of the others meets every chunk.
-    """
-    counts = members.groupBy("bucket", "n", "label").agg(F.count(F.lit(1)).alias("c"))
-    buckets = (
+def outline(members: DataFrame) -> DataFrame:
+    """Of each bucket whose members are on two sides: its most frequent side,
+    into how many chunks the others and those of that side are cut, and how
+    many rows its tiles have."""
+    counts = members.groupBy("bucket", "n", "side").agg(F.count(F.lit(1)).alias("c"))
+    return (
         counts.groupBy("bucket", "n")
-        .agg(F.max(F.struct("c", "label")).alias("most"))
+        .agg(F.max(F.struct("c", "side")).alias("most"))
         .where("most.c < n")
         .select(
             "bucket",
-            F.col("most.label").alias("main"),
+            "n",
+            F.col("most.c").alias("c"),
+            F.col("most.side").alias("main"),
             F.expr(f"if(n <= {BLOCK}, 1L, ceil((n - most.c) / {BLOCK}))").alias("others"),
             F.expr(f"if(n <= {BLOCK}, 0L, ceil(most.c / {BLOCK}))").alias("mains"),
         )
+        .withColumn("rows", F.expr("if(mains = 0, n, (n - c) * (others + mains) + c * others)"))
     )
-    placed = members.join(buckets, "bucket")
-    is_main = "mains > 0 AND label = main"
+
+
+def all_tiles(members: DataFrame) -> DataFrame:
+    """Tiles in which any two members of a bucket meet that are on two sides.
+
+    A bucket of at most BLOCK members is a tile.  In a larger one the members of
+    the most frequent side need not meet each other: the others are cut into
+    chunks, and so are they, and each chunk of the others meets every chunk.
+    """
+    placed = members.join(outline(members).drop("n", "c", "rows"), "bucket")
+    is_main = "mains > 0 AND side <=> main"
     own = F.when(F.expr(is_main), chunk_of("mains")).otherwise(chunk_of("others"))
     others, mains = each("others"), each("mains")
     meets = F.expr(
@@ -450,13 +498,42 @@ def all_tiles(members: DataFrame) -> DataFrame:
     )
 
 
-def class_links(documents: DataFrame, classes: DataFrame, known: Frequencies) -> DataFrame:
-    """Links (a, b) between class representatives that connect every two
-    candidates of one bucket that a chain of links connects."""
-    buckets = classes.select("doc_id", F.explode("bands").alias("bucket"))
+def rarest(known: Frequencies, rows: list[tuple]) -> list[tuple]:
+    """(bucket, doc_id, element, early) of rows(bucket, doc_id, pivot, own, text):
+    the elements of each own document that come first, by how few pivots of the
+    bucket hold them, then by weight.
+
+    A text shares THRESHOLD of its weight with one of that similarity, and
+    2 / (1 + 1 / THRESHOLD) of it with one that is no lighter.  All that the two
+    share stands behind the first shared element, or is it: that element is given
+    here for both, and is early in the lighter one.
+    """
+    sets = [elements(known, r[4]) for r in rows]
+    held = [s[0] for s, r in zip(sets, rows) if r[2]]
+    common, holders = np.unique(np.concatenate(held), return_counts=True)
+    out, exact = [], 1 - 1e-9
+    for (bucket, doc_id, _, own, _), (hashes, weights, first) in zip(rows, sets):
+        if not own:
+            continue
+        at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
+        among = np.where(common[at] == hashes, holders[at], 0)
+        order = np.lexsort((hashes, -weights, among))
+        hashes = hashes[order]
+        told, early = np.zeros((2, len(order)), dtype=bool)
+        for w in (weights[order], first[order].astype(float)):
+            rest = w.sum() - (np.cumsum(w) - w)  # from an element on
+            told |= (w > 0) & (rest >= exact * THRESHOLD * w.sum())
+            early |= (w > 0) & (rest >= exact * 2 / (1 + 1 / THRESHOLD) * w.sum())
+        given = zip(hashes[told].view(np.int64).tolist(), early[told].astype(int).tolist())
+        out += [(bucket, doc_id, element, is_early) for element, is_early in given]
+    return out
+
+
+def distinct_buckets(buckets: DataFrame) -> DataFrame:
+    """Buckets of two or more, with n; those of the same members, of which
+    alike documents have many, are one."""
     own = F.xxhash64("doc_id", F.lit(3))
-    # Buckets of the same members, of which alike documents have many, are one.
-    distinct = (
+    return (
         buckets.groupBy("bucket")
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -468,8 +545,78 @@ def class_links(documents: DataFrame, classes: DataFrame, known: Frequencies) ->
         .agg(F.min("bucket").alias("bucket"))
         .select("bucket", "n")
     )
+
+
+def distinct_parts(parts: DataFrame) -> DataFrame:
+    """Parts in which two members must meet: they have two labels, and an early
+    one.  Parts of the same members, as early, are one."""
+    own = F.xxhash64("doc_id", "early")
+    return (
+        parts.groupBy("whole", "bucket")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.bit_xor(own).alias("x"),
+            F.sum(own % 1_000_003).alias("s"),
+            F.min("label").alias("low"), F.max("label").alias("high"), F.max("early").alias("any"),
+        )
+        .where("low < high AND any = 1")
+        .groupBy("n", "x", "s")
+        .agg(F.min(F.struct("bucket", "whole")).alias("b"))
+        .select("b.bucket", "b.whole", "n")
+    )
+
+
+def split_buckets(members: DataFrame, texts: DataFrame, known: Frequencies) -> DataFrame:
+    """The members (bucket, n, doc_id, label) and their side, with buckets split
+    by their rarest elements, where more than one chunk of them is not connected
+    and the parts have fewer rows than tiles of the whole bucket.
+
+    Members of one label are on one side; in a part, so are all that are not early.
+    """
+    members = members.withColumn("side", F.col("label"))
+    wide = staged(outline(members).where("others > 1").select("bucket", "rows"), "wide-buckets")
+    if wide.isEmpty():
+        return members
+    inside = members.join(wide.hint("merge"), "bucket").select("bucket", "n", "doc_id", "label")
+    tiles = pivot_tiles(inside).select("tile", "bucket", "doc_id", "pivot", "own")
+    found = per_tile(
+        tiles, texts, known, rarest, "whole long, doc_id long, element long, early long"
+    )
+    labels = inside.select(F.col("bucket").alias("whole"), "doc_id", "label")
+    parts = staged(
+        found.join(labels.hint("merge"), ["whole", "doc_id"]).select(
+            "whole", F.xxhash64("whole", "element").alias("bucket"), "doc_id", "label", "early"
+        ),
+        "bucket-parts",
+    )
+    part = staged(
+        parts.join(distinct_parts(parts).hint("merge"), ["whole", "bucket"]).select(
+            "whole", "bucket", "n", "doc_id", "label", F.expr("if(early = 1, label, null)").alias("side")
+        ),
+        "bucket-part-members",
+    )
+    of_part = part.select(F.col("bucket").alias("part"), "whole").distinct()
+    cost = (
+        outline(part).join(of_part.hint("merge"), F.col("bucket") == F.col("part"))
+        .groupBy("whole").agg(F.sum("rows").alias("cost"))
+    )
+    chosen = staged(
+        wide.join(cost, F.col("bucket") == F.col("whole"), "left")
+        .where("coalesce(cost, 0) < rows")
+        .select(F.col("bucket").alias("whole")),
+        "split-buckets",
+    )
+    kept = members.join(chosen.hint("merge"), F.col("bucket") == F.col("whole"), "left_anti")
+    split = part.join(chosen.hint("merge"), "whole", "left_semi").drop("whole")
+    return staged(kept.unionByName(split), "bucket-split")
+
+
+def class_links(documents: DataFrame, classes: DataFrame, known: Frequencies) -> DataFrame:
+    """Links (a, b) between class representatives that connect every two
+    candidates of one bucket that a chain of links connects."""
+    buckets = classes.select("doc_id", F.explode("bands").alias("bucket"))
     members = staged(
-        buckets.join(distinct, "bucket").select("bucket", "n", "doc_id"), "bucket-members"
+        buckets.join(distinct_buckets(buckets), "bucket").select("bucket", "n", "doc_id"), "bucket-members"
     )
     texts = staged(
         # Both sides grow with the input, so the plan is the same at every size.
@@ -486,7 +633,8 @@ def class_links(documents: DataFrame, classes: DataFrame, known: Frequencies) ->
             "bucket", "n", "doc_id", F.coalesce("root", "doc_id").alias("label")
         )
     labelled = staged(labelled, "bucket-labels")
-    second = staged(tile_links(all_tiles(labelled), texts, known), "bucket-links")
+    apart = split_buckets(labelled, texts, known)
+    second = staged(tile_links(all_tiles(apart), texts, known), "bucket-links")
     release(members, texts, labelled)
     return first.unionByName(second)
 

@@ -4,6 +4,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallymill.llm import weighted_minhash as wm
@@ -151,8 +152,87 @@ def test_samples_follow_the_weighted_jaccard_similarity(monkeypatch):
     assert abs((one == other).mean() - expected) < 0.04
 
 
+def of_template(i, edits=24):
+    """A text that shares about two thirds of its shingles with each other one."""
+    words = messy.prose(77, 240).split()
+    words[:edits] = messy.prose(9000 + i, edits).split()
+    own = [f"w{i}x{n}" for n in range(25)]
+    return " ".join([*words, *own])
+
+
+def members_of(spark, ids, bucket=7):
+    rows = [(bucket, len(ids), i, i) for i in ids]
+    return spark.createDataFrame(rows, "bucket long, n long, doc_id long, label long")
+
+
+def test_unlinked_members_of_a_bucket_cost_what_they_number(spark, monkeypatch):
+    """Texts of one template without any link: rows of texts grow with the
+    bucket, not with its square; and a link among them is still found."""
+    monkeypatch.setattr(wm, "BLOCK", 8)
+    sizes = {}
+    for n in (60, 240):
+        rows = [(i, of_template(i)) for i in range(n)]
+        rows.append((n, rows[5][1].replace("w5x24", "other")))
+        known = plain_frequencies([t for _, t in rows])
+        texts = messy.documents(spark, rows).select("doc_id", "text")
+        members = members_of(spark, range(n + 1))
+        split = wm.split_buckets(members, texts, known)
+        links = wm.tile_links(wm.all_tiles(split), texts, known).collect()
+        assert {tuple(sorted(r)) for r in links} == {(5, n)}
+        whole = wm.all_tiles(members.withColumn("side", members.label)).count()
+        sizes[n] = whole, wm.pivot_tiles(members).count() + wm.all_tiles(split).count()
+    assert sizes[240][0] > 12 * sizes[60][0]
+    assert sizes[240][1] < 5 * sizes[60][1] and sizes[240][1] < sizes[240][0] / 10
+
+
+def test_buckets_stay_whole_where_that_is_less(spark, monkeypatch):
+    monkeypatch.setattr(wm, "BLOCK", 8)
+    rows = [(i, edited(messy.prose(3, 60), 12, i)) for i in range(20)]
+    known = plain_frequencies([t for _, t in rows])
+    members = members_of(spark, range(20))
+    texts = messy.documents(spark, rows).select("doc_id", "text")
+    split = wm.split_buckets(members, texts, known)
+    whole = members.withColumn("side", members.label)
+    assert wm.all_tiles(split).count() <= wm.all_tiles(whole).count()
+
+
+@pytest.mark.parametrize("edits", [1, 2, 3, 5])
+def test_links_share_one_of_the_rarest_elements(edits):
+    """Whatever the pivots are; texts with repeated shingles too."""
+    texts = []
+    for seed in range(30):
+        text = messy.prose(seed % 6, 300)
+        texts.append(edited(text + " again and again" * (seed % 9), edits, seed))
+    known = plain_frequencies(texts * 20 + [messy.prose(400 + i, 50) for i in range(400)])
+    sets = [wm.shingles(t) for t in texts]
+    linked = 0
+    for pivots in ([0], [3, 4, 5, 9], [*range(30)]):
+        found = wm.rarest(known, [(1, i, i in pivots, True, t) for i, t in enumerate(texts)])
+        own, early = defaultdict(set), defaultdict(set)
+        for _, i, element, is_early in found:
+            own[i].add(element)
+            if is_early:
+                early[i].add(element)
+        for i in range(30):
+            assert len(own[i]) < len(wm.elements(known, texts[i])[0]) / 2
+            for j in range(i):
+                if max(similarities(known, sets[i], sets[j])) >= wm.THRESHOLD:
+                    linked += 1
+                    assert own[i] & early[j] or early[i] & own[j]
+    assert linked > 20 or edits == 5
+
+
+def test_splitting_changes_no_group(spark, monkeypatch):
+    """Buckets of many tiles, with links within templates and across labels."""
+    monkeypatch.setattr(wm, "BLOCK", 8)
+    rows = [(i, of_template(i, 10)) for i in range(120)]
+    rows += [(500 + i, rows[3 * i][1].replace(f"w{3 * i}x9 ", "")) for i in range(20)]
+    rows += [(600 + i, edited(messy.prose(77, 240), 1, i)) for i in range(40)]
+    check(spark, messy.documents(spark, rows), rows)
+
+
 def test_frequencies_are_exact(spark, monkeypatch):
-    monkeypatch.setattr(wm, "CHUNK", 2000)
+    monkeypatch.setattr(wm, "LISTED", 20)
     monkeypatch.setattr(wm, "FREQUENT", 0.05)
     rows = [(i, messy.prose(0, 12) + " " + messy.prose(i, 30)) for i in range(150)]
     rows += [(500 + i, messy.prose(9999, 20)) for i in range(9)]
@@ -162,6 +242,19 @@ def test_frequencies_are_exact(spark, monkeypatch):
     assert got.of(want.hashes) == pytest.approx(want.of(want.hashes))
 
 
+def test_chunks_lose_no_frequent_shingle(monkeypatch):
+    """However many shingles a document has: a chunk that closes before it holds
+    many documents reports all of them."""
+    monkeypatch.setattr(wm, "CHUNK", 300)
+    texts = [messy.prose(0, 12) + " " + messy.prose(i, 200) for i in range(40)]
+    total = Counter()
+    for out in wm._chunk_counts(iter([pa.RecordBatch.from_pydict({"text": texts})])):
+        for shingle, n in zip(*(c.to_pylist() for c in out.columns)):
+            total[shingle] += n
+    want = Counter(h for t in texts for h in wm.shingles(t)[0].view(np.int64).tolist())
+    assert total.pop(None) == 0 and total == want
+
+
 def test_kept_rows(spark):
     documents = messy.documents(spark)
     kept = wm.keep_first(documents)
