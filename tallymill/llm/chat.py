@@ -2,7 +2,9 @@
 
 Prompt, instruction and message layouts are converted into canonical turns by
 declarative mappings; turns are written with a template whose control strings
-cannot occur inside a text, and can be read back exactly.
+cannot occur inside a text, and can be read back exactly.  The hash of the paths
+that a row fills selects its mapping: that of just these paths, or, as a null is
+an empty text, the only one that has all of them among its own.
 
 Defined results: a null text or role is the empty string; an empty or very long
 text is one turn; equal turn numbers are ordered by role, then text, and
@@ -15,12 +17,15 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import product
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallymill.llm.common import unused_name
+
 START, END = "<|im_start|>", "<|im_end|>"
 LEARNED_ROLE = "assistant"
 
@@ -128,17 +133,29 @@ def field_paths(schema: T.StructType) -> set[str]:
     return found
 
 
-def layout_fingerprint(schema: T.StructType, fitting: list[Mapping]) -> F.Column:
-    """Per row: the hash of the layout paths that this row fills.
+def layouts(fitting: list[Mapping]) -> dict[str, str]:
+    """Fingerprint of each set of filled paths that tells one mapping -> its name.
 
-    Paths inside an array count as filled with the array.  A table that fits a
-    single mapping has the fingerprint of that mapping in every row, so that
-    null texts do not change a row's layout.
+    Paths inside an array are filled with the array, so they come and go together.
     """
-    if len(fitting) == 1:
-        return F.lit(fitting[0].fingerprint)
+    found: dict[str, str | None] = {}
+    for m in fitting:
+        columns = sorted({_column(p) for p in m.paths})
+        for filled in product([False, True], repeat=len(columns)):
+            there = {c for c, is_filled in zip(columns, filled) if is_filled}
+            told = fingerprint(p for p in m.paths if _column(p) in there)
+            found[told] = None if told in found else m.name
+    return {k: name for k, name in found.items() if name} | {m.fingerprint: m.name for m in fitting}
+
+
+def _column(path: str) -> str:
+    return path.split("[")[0]
+
+
+def layout_fingerprint(schema: T.StructType, fitting: list[Mapping]) -> F.Column:
+    """Per row: the hash of the layout paths that this row fills."""
     known = sorted({p for m in fitting for p in m.paths} & field_paths(schema))
-    filled = [F.when(F.col(f"`{p.split('[')[0]}`").isNotNull(), F.lit(p)) for p in known]
+    filled = [F.when(F.col(f"`{_column(p)}`").isNotNull(), F.lit(p)) for p in known]
     return F.sha2(F.concat_ws("\n", *filled), 256)
 
 
@@ -148,12 +165,14 @@ def canonical_turns(df: DataFrame, key: str = "conv_id") -> DataFrame:
     fitting = [m for m in MAPPINGS if set(m.paths) <= paths]
     if not fitting:
         raise ValueError(f"no mapping fits the fields {sorted(paths)}")
+    mark = unused_name(df, "_print")
     layout, turns = F.lit(None).cast("string"), F.lit(None)
+    told_by = layouts(fitting)
     for m in fitting:
-        same = F.col("_print") == m.fingerprint
+        same = F.col(mark).isin([k for k, name in told_by.items() if name == m.name])
         layout = F.when(same, F.lit(m.name)).otherwise(layout)
         turns = F.when(same, F.expr(m.turns)).otherwise(turns)
-    known = df.withColumn("_print", layout_fingerprint(df.schema, fitting))
+    known = df.withColumn(mark, layout_fingerprint(df.schema, fitting))
     unknown = F.raise_error(F.concat(F.lit("unknown layout of conversation "), F.col(key)))
     told = known.select(
         F.col(key).cast("long").alias("conv_id"),
@@ -179,8 +198,8 @@ def format_turns(turns: DataFrame) -> DataFrame:
     """One formatted piece per turn, and which code points of it are learned.
 
     The pieces of a conversation, joined in order, are its formatted text, so a
-    conversation of any length needs no row of its own.  loss_start and
-    loss_length are counted in the piece; a turn that is not learned has none.
+    conversation of any length needs no row of its own.  text_start, loss_start
+    and loss_length are counted in the piece; a turn that is not learned has no loss.
     """
     role = F.replace(escaped(F.col("role")), F.lit("\n"), F.lit("\\\n"))
     head = F.concat(F.lit(START), role, F.lit("\n"))
@@ -192,11 +211,29 @@ def format_turns(turns: DataFrame) -> DataFrame:
         "role",
         "text",
         F.concat(head, body, F.lit(END + "\n")).alias("formatted"),
+        F.char_length(head).alias("text_start"),
         F.when(learned, F.char_length(head)).otherwise(0).alias("loss_start"),
         F.when(learned, F.char_length(body)).otherwise(0).alias("loss_length"),
     )
 
 
+def read_role(piece: str = "formatted", start: str = "text_start") -> F.Column:
+    """The role of a piece whose text begins at start."""
+    length = F.col(start) - F.lit(len(START) + 1)
+    return unescaped(F.substring(F.col(piece), F.lit(len(START) + 1), length))
+
+
+def read_text(piece: str = "formatted", start: str = "text_start") -> F.Column:
+    """The text of a piece, which begins at start."""
+    length = F.char_length(piece) - F.col(start) - F.lit(len(END) + 1)
+    return unescaped(F.substring(F.col(piece), F.col(start) + F.lit(1), length))
+
+
+def unescaped(column: F.Column) -> F.Column:
+    """A backslash stands for the character after it."""
+    return F.regexp_replace(column, r"(?s)\\(.)", "$1")
+
+
 def unescape(text: str) -> str:
     if "\\" not in text:
         return text
@@ -266,11 +303,16 @@ def digest(pieces: DataFrame) -> DataFrame:
     """Per conversation, what can be read back from its formatted pieces.
 
     A digest is sequential by nature, so a conversation's pieces pass one task;
-    they stream through it in sorted batches and are never held together.
+    they stream through it in sorted batches and are never held together.  A
+    piece is all that is shuffled of a turn: what equal turn numbers are ordered
+    by is read back from it after that.
     """
+    dealt = pieces.select(
+        "conv_id", "turn", "formatted", "text_start", "loss_start", "loss_length"
+    ).repartition("conv_id")
     return (
-        pieces.select("conv_id", "formatted", "loss_start", "loss_length", "turn", "role", "text")
-        .repartition("conv_id")
+        dealt.withColumn("role", read_role())
+        .withColumn("text", read_text())
         .sortWithinPartitions("conv_id", "turn", "role", "text")
         .select("conv_id", "formatted", "loss_start", "loss_length")
         .mapInArrow(_digests, DIGEST_SCHEMA)

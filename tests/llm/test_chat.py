@@ -82,6 +82,42 @@ def test_layouts_become_the_same_turns(spark):
     }
 
 
+def test_fingerprint_of_filled_paths_selects_the_mapping(spark):
+    """Each row by its own paths: a null text is empty where only one mapping fits."""
+    schema = "conv_id long, instruction string, input string, output string, _print string"
+    rows = [(1, "q", None, "a", "x"), (2, "q", "i", "a", None), (3, "q", "i", None, "x"), (4, None, "i", "a", "x")]
+    df = spark.createDataFrame(rows, schema)
+    got = {}
+    for r in chat.canonical_turns(df).orderBy("conv_id", "turn").collect():
+        got.setdefault((r.conv_id, r.layout), []).append(r.text)
+    assert got == {
+        (1, "instruction"): ["q", "a"],
+        (2, "instruction_input"): ["q\n\ni", "a"],
+        (3, "instruction_input"): ["q\n\ni", ""],
+        (4, "instruction_input"): ["", "a"],
+    }
+    fitting = [m for m in chat.MAPPINGS if set(m.paths) <= chat.field_paths(df.schema)]
+    prints = [r[0] for r in df.orderBy("conv_id").select(chat.layout_fingerprint(df.schema, fitting)).collect()]
+    assert len(set(prints)) == 4 and set(prints) <= set(chat.layouts(fitting))
+    ambiguous = spark.createDataFrame([(5, None, None, "a", "x")], schema)
+    with pytest.raises(Exception, match="unknown layout"):
+        chat.canonical_turns(ambiguous).collect()
+
+
+def test_a_turn_is_shuffled_once(spark):
+    """Text and role are read back from the piece after the shuffle."""
+    rows = [(1, 0, t, u) for t in HARD for u in HARD[:9]]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    pieces = chat.format_turns(chat.canonical_turns(df))
+    for r in pieces.select("role", "text", chat.read_role().alias("a"), chat.read_text().alias("b")).collect():
+        assert (r.a, r.b) == (r.role, r.text)
+    node = chat.digest(pieces)._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() != "RepartitionByExpression":
+        node = node.children().apply(0)
+    shuffled = {name.split("#")[0] for name in node.output().mkString(",").split(",")}
+    assert shuffled == {"conv_id", "turn", "formatted", "text_start", "loss_start", "loss_length"}
+
+
 def test_unknown_layouts_stop_the_run(spark):
     with pytest.raises(ValueError, match="no mapping"):
         chat.canonical_turns(spark.range(1).withColumnRenamed("id", "conv_id"))
