@@ -73,7 +73,8 @@ def serving_view_sql(reports: str, increments: str, since: str = VIEW_SINCE) ->
     """The same result as SQL text over two tables.
 
     ``increments`` may be a published table or its largest totals: the largest of the
-    largest is the same.
+    largest is the same.  Spark takes the largest totals for smaller than they are, as their
+    table has many more columns; hence the merge hint, or they end in a broadcast.
     """
     return f"""
 WITH by_code AS (
@@ -83,7 +84,8 @@ WITH by_code AS (
 ),
 by_day AS (SELECT unit, day, max(total) total, true found FROM by_code GROUP BY 1, 2),
 by_month AS (SELECT unit, trunc(day, 'MM') month, max(total) total FROM by_day GROUP BY 1, 2)
-SELECT g.`UC / MD`, g.STATUS, g.DATA_EXECUCAO, g.COD, g.EQUIPE,
+SELECT /*+ MERGE(by_code, by_day, by_month) */
+       g.`UC / MD`, g.STATUS, g.DATA_EXECUCAO, g.COD, g.EQUIPE,
        coalesce(CASE WHEN by_code.found THEN by_code.total
                      WHEN by_day.found THEN by_day.total
                      ELSE by_month.total END, 0) INC_TOTAL

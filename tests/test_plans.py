@@ -106,6 +106,19 @@ def test_view_reads_increments_once_and_not_before_the_month(spark, tmp_path):
         assert "GreaterThanOrEqual(DATA_EXECUCAO,2026-01-01)" in scans[0]
 
 
+def test_the_serving_view_broadcasts_no_totals(spark, tmp_path):
+    """Totals in few columns of a wide table look small; small here as well."""
+    reps, incs = str(tmp_path / "reps"), str(tmp_path / "incs")
+    spark.sql(
+        "SELECT '1' `UC / MD`, '109' COD, DATE '2026-01-15' DATA_EXECUCAO, 'E' EQUIPE,"
+        " 'OK' STATUS, 'SUL' REGIONAL, 'BT' GRUPO"
+    ).write.parquet(reps)
+    increments(spark, inc(exec="2026-01-05")).write.parquet(incs)
+    sql = serving_view_sql(f"parquet.`{reps}`", f"parquet.`{incs}`", "2026-01-10")
+    plan = plan_of(spark.sql(sql))
+    assert "Broadcast" not in plan and plan.count("SortMergeJoin") == 3
+
+
 @pytest.mark.parametrize("all_keys", ["true", "false"])
 def test_a_hot_key_is_split(spark, tmp_path, all_keys):
     """One key owns most rows; no task of the final join gets all of them,
