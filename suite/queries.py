@@ -41,6 +41,7 @@ from tallymill.schema import (
     MONTHS,
     TEXT_COLUMNS,
 )
+from tallymill.session import tune
 from tallymill.sinks.kept import kept_reports, merge_reports
 from tallymill.sinks.pending import export_pending
 from tallymill.sinks.publish import (
@@ -377,4 +378,10 @@ def queries():
     }
     for name, rule in zip(RULE_NAMES, WATERFALL):
         registered[name] = partial(one_rule, rule=rule)
-    return registered
+    return {name: partial(_tuned, query) for name, query in registered.items()}
+
+
+def _tuned(query, spark, sf_dir):
+    """A query with the settings that the command line starts its session with."""
+    tune(spark)
+    return query(spark, sf_dir)

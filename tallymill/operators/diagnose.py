@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallymill.functions.domain import code_class
 from tallymill.operators.first_hit import best_hits, key_profile
-from tallymill.operators.lookup import NO_MONTH, NO_NUMBER, first_reports
+from tallymill.operators.lookup import NO_MONTH, NO_NUMBER, dealt_by_unit, first_reports
 from tallymill.operators.reconcile import KEYS, keyed, ways_to_reports
 from tallymill.plans.rules import WATERFALL, Rule
 
@@ -58,8 +58,8 @@ def rule_metrics(
     row comes to depends on its keys alone, so the keys are counted and walked;
     the rows themselves are not shuffled.
     """
-    profile = key_profile(keyed(increments.select(_MATCH_INPUT)), KEYS)
-    firsts = first_reports(reports.where("instalacao <> 0"), tie_breakers)
+    profile = key_profile(keyed(increments.select(_MATCH_INPUT)), KEYS, "_unit")
+    firsts = dealt_by_unit(first_reports(reports.where("instalacao <> 0"), tie_breakers))
     ways = ways_to_reports(firsts, rules)
     found = best_hits(profile, ways)
     counts = []

@@ -102,6 +102,20 @@ def first_reports(reports: DataFrame, tie_breakers: Sequence[str] = ()) -> DataF
     )
 
 
+def dealt_by_unit(firsts: DataFrame) -> DataFrame:
+    """``first_reports``, all of a unit in one partition.
+
+    Every lookup key begins with the unit, so the lookups made of it, and joins of them
+    with keys that are dealt by unit as well, need no shuffle of their own.  A unit's
+    reports are few by now: one per code and months.
+    """
+    # The code itself, as there always is a report.  An expression that is not
+    # deterministic and reads all columns keeps every lookup's filter and column list above
+    # the shuffle, so all read the same one.
+    code = "if(report IS NULL, exec_month + baixa_month + bigint(rand()), code)"
+    return firsts.repartition("unit").withColumn("code", F.expr(code))
+
+
 def hit_struct(step: str, equipe="string(null)", day="date(null)", code="bigint(null)"):
     """SQL of a hit: its step and what a match takes from the report."""
     return (

@@ -17,6 +17,7 @@ from tallymill.operators.lookup import (
     NO_MONTH,
     NO_NUMBER,
     class_bit,
+    dealt_by_unit,
     families,
     family_lookup,
     first_reports,
@@ -104,10 +105,11 @@ def match(
     """
     facts = keyed(increments)
     nowhere = f"_unit IN (0, {_KEYED['INSTALACAO'][1]})"
+    dealt_by = "_unit" if kept is None else None  # kept ones lie in buckets of their own
     if kept is None:
-        kept = first_reports(reports.where("instalacao <> 0"), tie_breakers)
+        kept = dealt_by_unit(first_reports(reports.where("instalacao <> 0"), tie_breakers))
     ways = ways_to_reports(kept, rules)
-    found = first_hit(facts.where(f"NOT {nowhere}"), KEYS, ways)
+    found = first_hit(facts.where(f"NOT {nowhere}"), KEYS, ways, dealt_by)
     missed = facts.where(nowhere).withColumn("hit", F.lit(None).cast(found.schema["hit"].dataType))
     return _restored(found.unionByName(missed))
 

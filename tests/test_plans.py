@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from suite import projection
+from suite.queries import queries
 from tallymill.operators.diagnose import rule_metrics
 from tallymill.operators.reconcile import match, reconcile
 from tests.frames import inc, increments, rep, reports
@@ -147,3 +148,21 @@ def test_a_hot_key_is_split(spark, tmp_path, all_keys):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+def test_keys_are_dealt_by_unit_once(spark, sf_dir):
+    """The distinct keys and the reports are; no lookup's join deals them again."""
+    setting = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(setting)
+    result = queries()["reconcile"](spark, sf_dir)
+    try:
+        assert spark.conf.get(setting) == "false"
+        plan = plan_of(result)
+    finally:
+        spark.conf.set(setting, before)
+    dealt = re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", plan)
+    by_unit = [re.sub(r"#\d+L?", "", keys) for keys in dealt if "hash" not in keys]
+    assert "_unit" in by_unit and "unit" in by_unit
+    # Of several keys: the profile's and the reduced reports' own grouping, before.
+    several = {k for k in by_unit if "," in k and "unit" in k}
+    assert all(k.count(",") >= 3 for k in several), several
