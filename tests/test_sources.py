@@ -8,7 +8,11 @@ import time
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
+from suite import projection
+from suite.queries import drop_snapshots
+from tallymill.sources.folders import entries
 from tallymill.sources.reports import read_reports
 from tallymill.sources.snapshot import newest_snapshot, read_snapshot
 
@@ -127,3 +131,15 @@ def test_run_folder_goes_when_the_application_ends(tmp_path, code):
             return
         time.sleep(0.1)
     raise AssertionError([*tmp_path.rglob("*")])
+
+
+def test_the_drop_folder_of_the_queries_is_compressed(spark, sf_dir):
+    """And is read as it was written."""
+    newest = newest_snapshot(spark, drop_snapshots(spark, sf_dir))
+    parts = [path for path, _ in entries(spark, newest) if "part-" in path]
+    assert parts and all(path.endswith(".csv.gz") for path in parts)
+    read = read_snapshot(spark, newest.rsplit("/", 1)[0], missing=[""])
+    raw = projection.raw_increments(spark, sf_dir)
+    blank_as_null = raw.select([F.nullif(F.col(c), F.lit("")).alias(c) for c in raw.columns])
+    assert read.exceptAll(blank_as_null).count() == 0
+    assert blank_as_null.exceptAll(read).count() == 0
