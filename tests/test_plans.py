@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from suite import projection
 from suite.queries import queries
+from tallymill.operators import first_hit
 from tallymill.operators.diagnose import rule_metrics
 from tallymill.operators.reconcile import match, reconcile
 from tests.frames import inc, increments, rep, reports
@@ -166,3 +167,21 @@ def test_keys_are_dealt_by_unit_once(spark, sf_dir):
     # Of several keys: the profile's and the reduced reports' own grouping, before.
     several = {k for k in by_unit if "," in k and "unit" in k}
     assert all(k.count(",") >= 3 for k in several), several
+
+
+def test_the_verdicts_hash_is_not_shuffled(spark):
+    """Both sides of the final join are sorted by one number, made after the shuffle."""
+    plan = plan_of(match(increments(spark, inc()), reports(spark, rep())))
+    assert len(re.findall(r"Sort \[xxhash64\([^\]]*\) ASC NULLS FIRST\]", plan)) == 2
+    assert "_hash" not in plan
+
+
+def test_equal_hashes_are_told_apart(spark, monkeypatch):
+    """All keys have one hash, and each increment still gets its own report."""
+    one = "xxhash64({0} - {0})"
+    monkeypatch.setattr(first_hit.F, "xxhash64", lambda *keys: F.expr(one.format(keys[0])))
+    units = range(1, 9)
+    incs = increments(spark, *[inc(n, 109, "2026-01-05") for n in units])
+    reps = reports(spark, *[rep(n, exec="2026-01-05", team=f"T{n}") for n in units])
+    found = reconcile(incs, reps).select("INSTALACAO", "EQUIPE").collect()
+    assert sorted(map(tuple, found)) == [(n, f"T{n}") for n in units]
