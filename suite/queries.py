@@ -51,7 +51,7 @@ from tallymill.sinks.publish import (
     publish,
     run_ledger,
 )
-from tallymill.sinks.shared import shared_folder
+from tallymill.sinks.shared import run_folder, shared_folder
 from tallymill.sources.snapshot import read_snapshot
 
 TIES = ["rep_id"]
@@ -61,6 +61,16 @@ def reconciled(spark, sf_dir, rules=WATERFALL):
     return reconcile(p.increments(spark, sf_dir), p.reports(spark, sf_dir), rules, TIES)
 
 
+def staged(spark, sf_dir):
+    """Reconciling of increments and reports that are tables, as each is read more than once."""
+    folder = f"{run_folder(spark)}/inputs-{uuid.uuid4().hex}"
+    tables = {"increments": p.increments(spark, sf_dir), "reports": p.reports(spark, sf_dir)}
+    for name, rows in tables.items():
+        rows.write.parquet(f"{folder}/{name}")
+        tables[name] = spark.read.schema(rows.schema).parquet(f"{folder}/{name}")
+    return lambda rules=WATERFALL: reconcile(*tables.values(), rules, TIES)
+
+
 def reconcile_kept(spark, sf_dir):
     """Reports come in three lots, which are merged into the kept ones."""
     name, root = f"kept_{uuid.uuid4().hex}", shared_folder(spark, "kept")
@@ -119,15 +129,17 @@ def published(spark, routes):
 
 def publish_replace(spark, sf_dir):
     routes, root = fresh_routes(), shared_folder(spark, "publish")
-    publish(reconciled(spark, sf_dir, WATERFALL[:1]), root, routes)
-    publish(reconciled(spark, sf_dir), root, routes)
+    reconciled_by = staged(spark, sf_dir)
+    publish(reconciled_by(WATERFALL[:1]), root, routes)
+    publish(reconciled_by(), root, routes)
     return published(spark, routes)
 
 
 def publish_append(spark, sf_dir):
     routes, root = fresh_routes(), shared_folder(spark, "publish")
-    publish(reconciled(spark, sf_dir, WATERFALL[:1]), root, routes)
-    publish(reconciled(spark, sf_dir), root, routes, strategy="append")
+    reconciled_by = staged(spark, sf_dir)
+    publish(reconciled_by(WATERFALL[:1]), root, routes)
+    publish(reconciled_by(), root, routes, strategy="append")
     return published(spark, routes)
 
 
@@ -141,8 +153,9 @@ def publish_routing(spark, sf_dir):
 
 def publish_empty_group(spark, sf_dir):
     routes, root = fresh_routes(), shared_folder(spark, "publish")
-    publish(reconciled(spark, sf_dir), root, routes)
-    later = reconciled(spark, sf_dir, WATERFALL[:1])
+    reconciled_by = staged(spark, sf_dir)
+    publish(reconciled_by(), root, routes)
+    later = reconciled_by(WATERFALL[:1])
     publish(later.where("GRUPO <> 'GESTAO CENTRALIZADA'"), root, routes)
     return published(spark, routes)
 
@@ -178,17 +191,19 @@ def layout_lookups(spark, sf_dir):
 def publish_uncommitted(spark, sf_dir):
     """A second day that is written in full and whose commit never comes."""
     routes, root = fresh_routes(), shared_folder(spark, "publish")
-    publish(reconciled(spark, sf_dir, WATERFALL[:1]), root, routes)
-    prepare(reconciled(spark, sf_dir), root, routes)
+    reconciled_by = staged(spark, sf_dir)
+    publish(reconciled_by(WATERFALL[:1]), root, routes)
+    prepare(reconciled_by(), root, routes)
     return published(spark, routes)
 
 
 def publish_append_repeated(spark, sf_dir):
     """The same load appended twice, after another."""
     routes, root = fresh_routes(), shared_folder(spark, "publish")
+    reconciled_by = staged(spark, sf_dir)
     loads = {"one": WATERFALL[:1], "two": WATERFALL}
     for load in ("one", "two", "two", "one"):
-        rows = reconciled(spark, sf_dir, loads[load])
+        rows = reconciled_by(loads[load])
         publish(rows, root, routes, "append", load_id=load)
     return published(spark, routes)
 
@@ -196,7 +211,8 @@ def publish_append_repeated(spark, sf_dir):
 def two_loads(spark, sf_dir, purpose):
     """Published tables of two appended loads, of the first halves and second of notes."""
     routes, root = fresh_routes(), shared_folder(spark, purpose)
-    result = reconciled(spark, sf_dir)
+    reconciled_by = staged(spark, sf_dir)
+    result = reconciled_by()
     odd = F.col("NOTA").cast("bigint") % 2 == 1
     publish(result.where(odd), root, routes)
     publish(result.where(~odd), root, routes, strategy="append")

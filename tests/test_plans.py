@@ -12,6 +12,7 @@ from tallymill.operators.diagnose import rule_metrics
 from tallymill.operators.reconcile import match, reconcile
 from tests.frames import inc, increments, rep, reports
 from tallymill.plans.serving import best_match, serving_view_sql
+from tallymill.sinks import publish as publish_module
 
 
 def plan_of(df):
@@ -185,3 +186,17 @@ def test_equal_hashes_are_told_apart(spark, monkeypatch):
     reps = reports(spark, *[rep(n, exec="2026-01-05", team=f"T{n}") for n in units])
     found = reconcile(incs, reps).select("INSTALACAO", "EQUIPE").collect()
     assert sorted(map(tuple, found)) == [(n, f"T{n}") for n in units]
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["publish_replace", "publish_append", "publish_empty_group", "publish_uncommitted", "largest_totals"],
+)
+def test_increments_are_joined_once(spark, sf_dir, monkeypatch, name):
+    """A query that reconciles the same increments again reads them from a table."""
+    plans, whole = [], publish_module.sink_types
+    monkeypatch.setattr(
+        publish_module, "sink_types", lambda result: plans.append(plan_of(result)) or whole(result)
+    )
+    queries()[name](spark, sf_dir)
+    assert len(plans) == 2 and not [p for p in plans if "l_orderkey" in p]
