@@ -39,14 +39,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymill.llm.common import release, session_of, shuffle_partitions, staged, texts_of
+from tallymill.llm.common import parts_of, release, session_of, shuffle_partitions, staged, texts_of
 from tallymill.llm.words import mixed
 
 LENGTH = 200
 GRAM = 64
 WINDOW = LENGTH - GRAM + 1  # grams in a window
 LARGE = 500
-BLOCK_BYTES = 1 << 20  # least bytes that are sorted at a time
+BLOCK_BYTES = 1 << 18  # least bytes that are sorted at a time
 
 BASE = 0xD1342543DE82EF95
 _powers = np.ones(1, dtype=np.uint64)
@@ -147,7 +147,7 @@ def _digest(raw: bytes) -> int:
 
 def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kind = pa.struct([("anchor", pa.int64()), ("body", pa.int64())])
-    for batch in batches:
+    for batch in parts_of(batches):
         raws = [t.encode() for t in texts_of(batch)]
         anchors, bodies, sizes = [], [], [0]
         for raw in raws:
@@ -179,7 +179,7 @@ def _place_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     piece = pa.struct(
         [("anchor", pa.int64()), *span, ("cuts", pa.int32()), ("wanted", pa.bool_())]
     )
-    for batch in batches:
+    for batch in parts_of(batches):
         full, compare = [], []
         for raw, told in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
             mine, theirs = [], []
@@ -230,7 +230,7 @@ def cut(raw: bytes, anchor: int, cuts: int) -> list[tuple[int, int, int]]:
 
 def _piece_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [c.split()[0] for c in PIECES.split(", ")]
-    for batch in batches:
+    for batch in parts_of(batches):
         for rid, raw, compare in zip(*(c.to_pylist() for c in batch.columns)):
             rows = [
                 (key, c["anchor"], rid, c["start"] + s, c["wanted"], chunk[s:e])
@@ -332,6 +332,7 @@ def repeated_windows(
     anchored = np.flatnonzero(grams == np.repeat(anchors, lengths)[: len(grams)])
     distance = anchored[np.searchsorted(anchored, at)] - at
     segment = np.unique(keys, return_inverse=True)[1][chunk] * WINDOW + distance
+    del grams, anchored, distance  # each as long as the block, in eight bytes a place
     order = np.argsort(segment, kind="stable")
     fresh = np.r_[True, segment[order][1:] != segment[order][:-1]]
     first = np.flatnonzero(fresh)
@@ -358,25 +359,17 @@ def repeated_windows(
 
 
 def whole_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Tables of about BLOCK_BYTES that divide no key; the first column is the key."""
+    """Tables that divide no key, of BLOCK_BYTES to twice as much where no key needs more;
+    the first column is the key."""
     held, size = [], 0
-    for batch in batches:
-        key = batch.column(0).to_numpy()
+    for batch in parts_of(batches, BLOCK_BYTES):
         if size >= BLOCK_BYTES:
-            fresh = int((key != held[-1].column(0)[-1].as_py()).argmax())
-            if key[fresh] != held[-1].column(0)[-1].as_py():
+            key, last = batch.column(0).to_numpy(), held[-1].column(0)[-1].as_py()
+            fresh = int((key != last).argmax())
+            if key[fresh] != last:
                 held.append(batch.slice(0, fresh))
                 yield pa.Table.from_batches(held)
                 held, size, batch = [], 0, batch.slice(fresh)
-        # A batch of many bytes is itself cut where a key begins.
-        while batch.nbytes > 2 * BLOCK_BYTES and not held:
-            key = batch.column(0).to_numpy()
-            edges = np.flatnonzero(key[1:] != key[:-1]) + 1
-            edges = edges[edges >= batch.num_rows * BLOCK_BYTES // batch.nbytes]
-            if not len(edges):
-                break
-            yield pa.Table.from_batches([batch.slice(0, int(edges[0]))])
-            batch = batch.slice(int(edges[0]))
         held.append(batch)
         size += batch.nbytes
     if held:
@@ -407,7 +400,7 @@ def _sort_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _kept_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
-    for batch in batches:
+    for batch in parts_of(batches):
         raws, kept, spans = batch.column(1).to_pylist(), [], []
         for raw, *found in zip(raws, *(c.to_pylist() for c in batch.columns[2:])):
             joined: list[list[int]] = []
